@@ -68,9 +68,13 @@ def _tags(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _unfolded(rows: DataFrame, ids: Sequence[str], vector: str = "embedding") -> DataFrame:
-    """One row per place of a vector, numbers rounded."""
-    placed = rows.select(*ids, F.posexplode(vector).alias("place", "value"))
-    return placed.withColumn("value", F.round("value", 6))
+    """One row per place of a vector, numbers rounded.
+
+    The outer form keeps Spark from testing the vector's size before unfolding it,
+    which would compute the vector again for the test.
+    """
+    placed = rows.select(*ids, F.posexplode_outer(vector).alias("place", "value"))
+    return placed.where(F.col("place").isNotNull()).withColumn("value", F.round("value", 6))
 
 
 def _workspace(spark: SparkSession) -> Workspace:

@@ -6,6 +6,7 @@ with it, in one pass and without a shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -17,6 +18,9 @@ from shiftwell.functions.dates import strict_date
 ERRORS = "row_errors"
 RAW = "raw_row"
 
+_BREAK = "\x1f"
+_NO_COLUMN = ": no such column"
+
 
 @dataclass(frozen=True)
 class LoadReport:
@@ -51,34 +55,18 @@ def checked(raw: DataFrame, schema: T.StructType, broken: str | None = None) ->
     is the input row as JSON, for bad rows only.
     """
     found = {field.name.lower(): field for field in raw.schema if field.name != broken}
-    tests: list[tuple[Column, str]] = []
-    if broken is not None:
-        tests.append((F.col(broken).isNotNull(), "unreadable row"))
-    columns: dict[str, Column] = {}
+    given: dict[str, tuple[Column, T.DataType]] = {}
     for field in schema:
         source = found.pop(field.name.lower(), None)
-        if source is None:
-            columns[field.name] = F.lit(None).cast(field.dataType)
-        else:
-            value = F.col(f"`{source.name}`")
-            columns[field.name] = _typed(value, source.dataType, field.dataType)
-            tests.append(
-                (
-                    value.isNotNull() & columns[field.name].isNull(),
-                    f"{field.name}: not of type {field.dataType.simpleString()}",
-                )
-            )
-        if not field.nullable:
-            missing = F.lit(True) if source is None else F.col(f"`{source.name}`").isNull()
-            tests.append((missing, f"{field.name}: required"))
-    for extra in found.values():
-        tests.append((F.col(f"`{extra.name}`").isNotNull(), f"{extra.name}: no such column"))
-    errors = F.array_compact(F.array(*(F.when(test, message) for test, message in tests)))
-    return raw.select(
-        *(column.alias(name) for name, column in columns.items()),
-        errors.alias(ERRORS),
-        F.when(F.size(errors) > 0, F.to_json(F.struct("*"))).alias(RAW),
-    )
+        if source is not None:
+            given[field.name] = (F.col(f"`{source.name}`"), source.dataType)
+    tests = [
+        F.when(F.col(f"`{extra.name}`").isNotNull(), extra.name + _NO_COLUMN)
+        for extra in found.values()
+    ]
+    if broken is not None:
+        tests.insert(0, F.when(F.col(broken).isNotNull(), "unreadable row"))
+    return _judged(raw, schema, given, tests, F.to_json(F.struct("*")))
 
 
 def checked_json(lines: DataFrame, schema: T.StructType, column: str = "value") -> DataFrame:
@@ -86,30 +74,80 @@ def checked_json(lines: DataFrame, schema: T.StructType, column: str = "value")
     fields = F.from_json(F.col(column), "map<string,string>")
     parsed = lines.select(
         F.col(column),
-        F.transform_keys(fields, lambda name, _: F.lower(name)).alias("fields"),
+        F.transform_keys(fields, lambda name, _: F.lower(name)).alias("__fields"),
     )
-    tests = [F.when(F.col("fields").isNull(), "unreadable row")]
+    fields = F.col("__fields")
+    given = {
+        field.name: (F.try_element_at(fields, F.lit(field.name.lower())), T.StringType())
+        for field in schema
+    }
+    known = F.array(*(F.lit(field.name.lower()) for field in schema))
+    unknown = F.array_except(F.map_keys(fields), known)
+    tests = [
+        F.when(fields.isNull(), "unreadable row"),
+        F.when(
+            F.size(unknown) > 0,
+            F.concat_ws(_BREAK, F.transform(unknown, lambda name: F.concat(name, F.lit(_NO_COLUMN)))),
+        ),
+    ]
+    return _judged(parsed, schema, given, tests, F.col(column), readable=fields.isNotNull())
+
+
+def _judged(
+    rows: DataFrame,
+    schema: T.StructType,
+    given: Mapping[str, tuple[Column, T.DataType]],
+    tests: list[Column],
+    raw: Column,
+    readable: Column | None = None,
+) -> DataFrame:
+    """Type the given values, then test each against what was given."""
+    names = {field.name: f"__given_{i}" for i, field in enumerate(schema)}
+    typed = {field.name: f"__typed_{i}" for i, field in enumerate(schema)}
+    nothing = (F.lit(None).cast("string"), T.StringType())
+    readable = F.lit(True) if readable is None else readable
+    read = rows.select(
+        raw.alias(RAW),
+        readable.alias("__readable"),
+        F.concat_ws(_BREAK, *tests).alias("__found"),
+        *(given.get(name, nothing)[0].alias(alias) for name, alias in names.items()),
+    )
+    errors: list[Column] = []
     columns: dict[str, Column] = {}
     for field in schema:
-        value = F.try_element_at(F.col("fields"), F.lit(field.name.lower()))
-        typed = _typed(value, T.StringType(), field.dataType)
-        columns[field.name] = typed
-        wrong = f"{field.name}: not of type {field.dataType.simpleString()}"
-        tests.append(F.when(value.isNotNull() & typed.isNull(), wrong))
+        value, kind = F.col(names[field.name]), given.get(field.name, nothing)[1]
+        read = read.withColumn(typed[field.name], _typed(value, kind, field.dataType))
+        columns[field.name] = F.col(typed[field.name])
+        wrong = value.isNotNull() & columns[field.name].isNull()
+        errors.append(F.when(wrong, f"{field.name}: not of type {field.dataType.simpleString()}"))
         if not field.nullable:
-            absent = F.col("fields").isNotNull() & value.isNull()
-            tests.append(F.when(absent, f"{field.name}: required"))
-    known = F.array(*(F.lit(field.name.lower()) for field in schema))
-    unknown = F.transform(
-        F.array_except(F.map_keys("fields"), known),
-        lambda name: F.concat(name, F.lit(": no such column")),
+            missing = F.col("__readable") & value.isNull()
+            errors.append(F.when(missing, f"{field.name}: required"))
+    errors.append(F.when(F.col("__found") != "", F.col("__found")))
+    return flagged(read, columns, errors, F.col(RAW))
+
+
+def flagged(
+    rows: DataFrame, columns: Mapping[str, Column], errors: Sequence[Column], raw: Column
+) -> DataFrame:
+    """The columns with the errors that are not NULL, and ``raw`` where there are any.
+
+    All is computed once for each row. The columns are unfolded from an array of
+    one: a filter on the errors, pushed down to a plain projection, would parse
+    the row again for every value it tests.
+    """
+    row = F.struct(
+        *(column.alias(name) for name, column in columns.items()),
+        F.concat_ws(_BREAK, *errors).alias(ERRORS),
     )
-    errors = F.concat(F.array(*tests), F.coalesce(unknown, F.array().cast("array<string>")))
-    found = F.array_compact(errors)
-    return parsed.select(
-        *(value.alias(name) for name, value in columns.items()),
-        found.alias(ERRORS),
-        F.when(F.size(found) > 0, F.col(column)).alias(RAW),
+    unfolded = rows.select(raw.alias(RAW), F.inline_outer(F.array(row)))
+    fine = F.col(ERRORS) == ""
+    return unfolded.select(
+        *columns,
+        F.when(fine, F.array().cast("array<string>"))
+        .otherwise(F.split(ERRORS, _BREAK))
+        .alias(ERRORS),
+        F.when(~fine, F.col(RAW)).alias(RAW),
     )
 
 

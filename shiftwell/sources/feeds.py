@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shiftwell.functions.dates import free_timestamp, iso_text
 from shiftwell.functions.text import or_empty
-from shiftwell.operators.checks import ERRORS, RAW, LoadReport
+from shiftwell.operators.checks import LoadReport, flagged
 from shiftwell.schemas import NEWS_ITEMS
 from shiftwell.sources.tables import append_checked
 from shiftwell.workspace import Workspace
@@ -47,23 +47,20 @@ def checked_items(entries: DataFrame) -> DataFrame:
         link = F.get(F.coalesce(main, link), 0)["_href"]
     written = field("pubDate", "published", "updated")
     published = free_timestamp(written)
-    errors = F.array_compact(
-        F.array(
-            F.when(F.col("title").isNull(), "title: required"),
-            F.when(link.isNull(), "link: required"),
-            F.when(written.isNull(), "published: required"),
-            F.when(written.isNotNull() & published.isNull(), "published: not a date"),
-        )
-    )
-    return entries.select(
-        "title",
-        or_empty(field("description", "summary", "content")).alias("description"),
-        link.alias("link"),
-        published.alias("published"),
-        or_empty(field("summary", "description")).alias("summary"),
-        errors.alias(ERRORS),
-        F.when(F.size(errors) > 0, F.to_json(F.struct("*"))).alias(RAW),
-    )
+    columns = {
+        "title": F.col("title"),
+        "description": or_empty(field("description", "summary", "content")),
+        "link": link,
+        "published": published,
+        "summary": or_empty(field("summary", "description")),
+    }
+    errors = [
+        F.when(F.col("title").isNull(), "title: required"),
+        F.when(link.isNull(), "link: required"),
+        F.when(written.isNull(), "published: required"),
+        F.when(written.isNotNull() & published.isNull(), "published: not a date"),
+    ]
+    return flagged(entries, columns, errors, F.to_json(F.struct("*")))
 
 
 def with_iso_dates(items: DataFrame) -> DataFrame:
