@@ -13,9 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiftwell.functions.text import main_tag
+from shiftwell.functions.vectors import TOKEN
 from shiftwell.operators import checks, inference
 from shiftwell.operators import models as M
 from shiftwell.operators.answers import AnswerStore
+from shiftwell.operators.models import TAG_FILLER, TAG_RULES, Client
 from shiftwell.plans import articles as articles_plan
 from shiftwell.plans import drivers as drivers_plan
 from shiftwell.plans import embeddings as embeddings_plan
@@ -67,6 +69,13 @@ def _tags(spark: SparkSession, folder: str) -> DataFrame:
     return stress_plan.driver_reason_tags(_metrics(spark, folder), M.rule_tags())
 
 
+def _written(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """The rows as a table in the shared scratch folder, for steps that read them twice."""
+    path = scratch_path(spark, "written")
+    rows.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def _unfolded(rows: DataFrame, ids: Sequence[str], vector: str = "embedding") -> DataFrame:
     """One row per place of a vector, numbers rounded.
 
@@ -142,8 +151,8 @@ def articles_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return articles_plan.articles_metrics(shipped.articles(spark, folder), models)
 
 
-def _lexicon_client(terms: Sequence[str]) -> Callable[[], M.Client]:
-    def make() -> M.Client:
+def _lexicon_client(terms: Sequence[str]) -> Callable[[], Client]:
+    def make() -> Client:
         def answer(prompts: list[str]) -> list[str]:
             texts = (prompt.split("\nText: ", 1)[1].lower() for prompt in prompts)
             return ["yes" if sum(t in text for t in terms) >= MIN_HITS else "no" for text in texts]
@@ -193,13 +202,13 @@ def driver_reason_tags(spark: SparkSession, folder: str) -> DataFrame:
     return _tags(spark, folder)
 
 
-def _tag_client() -> M.Client:
+def _tag_client() -> Client:
     def answer(prompts: list[str]) -> list[str]:
         replies = []
         for prompt in prompts:
             reason = prompt.split("\n\n", 1)[1]
-            words = [keyword for found, keyword in M.TAG_RULES if found in reason]
-            filled = words + list(M.TAG_FILLER)
+            words = [keyword for found, keyword in TAG_RULES if found in reason]
+            filled = words + list(TAG_FILLER)
             replies.append(", ".join(filled[: min(max(len(words), 2), 3)]))
         return replies
 
@@ -231,7 +240,7 @@ def driver_main_tag(spark: SparkSession, folder: str) -> DataFrame:
 
 @_register
 def tag_embeddings(spark: SparkSession, folder: str) -> DataFrame:
-    tags = _tags(spark, folder).where(F.col("stress_report_tags").isNotNull())
+    tags = _written(spark, _tags(spark, folder)).where(F.col("stress_report_tags").isNotNull())
     distinct = inference.distinct_values(tags, "stress_report_tags")
     vectors = inference.embed(distinct, "stress_report_tags", M.hash_embedding(TAG_DIM))
     return _unfolded(vectors, ["stress_report_tags"])
@@ -239,21 +248,18 @@ def tag_embeddings(spark: SparkSession, folder: str) -> DataFrame:
 
 @_register
 def driver_reason_embeddings(spark: SparkSession, folder: str) -> DataFrame:
-    vectors = embeddings_plan.driver_reason_embeddings(
-        _tags(spark, folder), M.hash_embedding(TAG_DIM)
-    )
+    tags = _written(spark, _tags(spark, folder))
+    vectors = embeddings_plan.driver_reason_embeddings(tags, M.hash_embedding(TAG_DIM))
     return _unfolded(vectors, ["driver_ID", "stress_report_tags"])
 
 
-def _hash_client(dim: int) -> Callable[[], M.Client]:
-    def make() -> M.Client:
+def _hash_client(dim: int) -> Callable[[], Client]:
+    def make() -> Client:
         import hashlib
 
         import numpy as np
         import regex
 
-        from shiftwell.functions.vectors import TOKEN
-
         words = regex.compile(TOKEN)
 
         def place(word: str) -> int:
@@ -277,7 +283,8 @@ def _hash_client(dim: int) -> Callable[[], M.Client]:
 def driver_reason_embeddings_batch(spark: SparkSession, folder: str) -> DataFrame:
     """The embeddings by a model that is called from tasks, once per distinct text."""
     model = M.BatchModel("hash", _hash_client(TAG_DIM))
-    vectors = embeddings_plan.driver_reason_embeddings(_tags(spark, folder), model)
+    tags = _written(spark, _tags(spark, folder))
+    vectors = embeddings_plan.driver_reason_embeddings(tags, model)
     return _unfolded(vectors, ["driver_ID", "stress_report_tags"])
 
 

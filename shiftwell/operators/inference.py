@@ -31,6 +31,7 @@ from shiftwell.operators.models import BatchModel, ColumnModel, Model
 KINDS = {"bool": "boolean", "double": "double", "string": "string"}
 
 NULL_PROMPT = "null prompt"
+NO_ANSWER = "no answer"
 UNREADABLE = "unreadable answer"
 _KEY = "__prompt_key"
 
@@ -83,10 +84,7 @@ def generate(
     for prompts the store does not know, and later runs reuse them. Keep only
     the columns that are needed later: they travel through the join.
     """
-    out = rows
-    for question in questions:
-        if isinstance(question.model, ColumnModel):
-            out = _by_column(out, question)
+    out = _by_columns(rows, [q for q in questions if isinstance(q.model, ColumnModel)])
     batch = [q for q in questions if isinstance(q.model, BatchModel)]
     if batch and store is not None:
         for question in batch:
@@ -100,13 +98,20 @@ def generate(
     return out
 
 
-def _by_column(rows: DataFrame, question: Question) -> DataFrame:
-    prompt = question.prompt
-    raw = F.when(prompt.complete(), question.model.answer(prompt.values))
-    status = (
-        F.when(~prompt.complete(), NULL_PROMPT).when(raw.isNull(), "no answer").otherwise(OK)
-    )
-    return rows.withColumn(question.name, _result(raw, status, question.kind))
+def _by_columns(rows: DataFrame, questions: Sequence[Question]) -> DataFrame:
+    shared: dict[str, Column] = {}
+    answered: dict[str, Column] = {}
+    for question in questions:
+        prompt, model = question.prompt, question.model
+        shared |= {name: work(prompt.values) for name, work in model.shared.items()}
+        values = prompt.values | {name: F.col(name) for name in model.shared}
+        raw = F.when(prompt.complete(), model.answer(values))
+        status = (
+            F.when(~prompt.complete(), NULL_PROMPT).when(raw.isNull(), NO_ANSWER).otherwise(OK)
+        )
+        answered[question.name] = _result(raw, status, question.kind)
+    prepared = rows.withColumns(shared) if shared else rows
+    return prepared.select(*rows.columns, *(c.alias(name) for name, c in answered.items()))
 
 
 def _hash(texts: Sequence[Column]) -> Column:
@@ -197,26 +202,37 @@ def embed(
     model: Model,
     out: str = "embedding",
     tasks: int | None = None,
+    dedupe: bool | None = None,
 ) -> DataFrame:
-    """Add a vector for a text column; each distinct text is embedded once.
+    """Add a vector for a text column.
 
-    NULL texts, and texts the model failed on, have a NULL vector.
+    With ``dedupe`` each distinct text is embedded once and the vectors are joined
+    back. Batch models always do so. For column models it pays when few texts
+    stand for many rows, and is off unless asked for. NULL texts, and texts the
+    model failed on, have a NULL vector.
     """
-    if isinstance(model, ColumnModel):
-        vector = model.answer({"text": F.col(text)})
-        return rows.withColumn(out, F.when(F.col(text).isNotNull(), vector))
+    column_model = isinstance(model, ColumnModel)
+    if column_model and not dedupe:
+        return rows.withColumn(out, _vector(model, F.col(text)))
     asked = (
         rows.select(F.col(text).alias("p0"))
         .where(F.col("p0").isNotNull())
         .distinct()
         .select(_hash([F.col("p0")]).alias("key"), "p0")
     )
-    vectors = _ask(asked, [model], "array<double>", _tasks(rows, tasks)).select("key", "a0")
+    if column_model:
+        vectors = asked.select("key", _vector(model, F.col("p0")).alias("a0"))
+    else:
+        vectors = _ask(asked, [model], "array<double>", _tasks(rows, tasks)).select("key", "a0")
     keyed = rows.withColumn(_KEY, _spread(_hash([F.col(text)]), rows))
     joined = keyed.join(vectors, keyed[_KEY] == vectors["key"], "left")
     return joined.select(*(keyed[name] for name in rows.columns), F.col("a0").alias(out))
 
 
+def _vector(model: ColumnModel, text: Column) -> Column:
+    return F.when(text.isNotNull(), model.answer({"text": text}))
+
+
 def distinct_values(rows: DataFrame, column: str) -> DataFrame:
     """The distinct values of one column."""
     return rows.select(column).distinct()

@@ -7,7 +7,7 @@ hosted model. They do not claim to answer as a language model would.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column
@@ -20,10 +20,15 @@ Client = Callable[[list[str]], Sequence[object]]
 
 @dataclass(frozen=True)
 class ColumnModel:
-    """A model written as a column expression over the prompt's columns."""
+    """A model written as a column expression over the prompt's columns.
+
+    ``shared`` names columns worked out from them beforehand, once per row for all
+    questions that share the name; ``answer`` finds them among its columns.
+    """
 
     name: str
     answer: Callable[[Mapping[str, Column]], Column]
+    shared: Mapping[str, Callable[[Mapping[str, Column]], Column]] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -50,12 +55,17 @@ Model = ColumnModel | BatchModel
 def lexicon_bool(terms: Sequence[str], min_hits: int = 1, column: str = "content") -> ColumnModel:
     """Yes when at least ``min_hits`` of the terms occur in the lower-cased text."""
 
+    lowered = f"__lower_{column}"
+
     def answer(values: Mapping[str, Column]) -> Column:
-        text = F.lower(values[column])
-        hits = (text.contains(term).cast("int") for term in terms)
+        hits = (values[lowered].contains(term).cast("int") for term in terms)
         return reduce(Column.__add__, hits) >= min_hits
 
-    return ColumnModel(f"lexicon_bool/{column}/{min_hits}/{','.join(terms)}", answer)
+    return ColumnModel(
+        f"lexicon_bool/{column}/{min_hits}/{','.join(terms)}",
+        answer,
+        {lowered: lambda values: F.lower(values[column])},
+    )
 
 
 def _stress(values: Mapping[str, Column]) -> Column:

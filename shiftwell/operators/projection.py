@@ -21,12 +21,9 @@ def project_2d(rows: DataFrame, vector: str) -> DataFrame:
     table. Vectors must be present and of one length.
     """
     fitted = rows.withColumn("__vector", dense_vector(F.col(vector)))
-    summary = fitted.select(
-        Summarizer.metrics("mean", "count").summary(F.col("__vector")).alias("s")
-    ).select("s.mean", "s.count")
-    mean, count = summary.first()
-    if count < 2:
+    if fitted.limit(2).count() < 2:
         return rows.withColumns({"x": F.lit(0.0), "y": F.lit(0.0)})
+    mean = fitted.select(Summarizer.mean(F.col("__vector"))).first()[0]
 
     model = PCA(k=2, inputCol="__vector", outputCol="__projected").fit(fitted)
     axes = model.pc.toArray()

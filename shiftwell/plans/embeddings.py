@@ -17,13 +17,15 @@ from shiftwell.workspace import conform
 def driver_reason_embeddings(
     tags: DataFrame, model: Model, tasks: int | None = None
 ) -> DataFrame:
-    """driver_ID, keywords and their embedding, for drivers with keywords."""
+    """driver_ID, keywords and their embedding, for drivers with keywords.
+
+    Drivers share keywords, so each distinct text is embedded once.
+    """
     wanted = tags.select("driver_ID", "stress_report_tags").where(
         F.col("stress_report_tags").isNotNull()
     )
-    return conform(
-        embed(wanted, "stress_report_tags", model, tasks=tasks), DRIVER_REASON_EMBEDDINGS
-    )
+    embedded = embed(wanted, "stress_report_tags", model, tasks=tasks, dedupe=True)
+    return conform(embedded, DRIVER_REASON_EMBEDDINGS)
 
 
 def with_embedding(embeddings: DataFrame) -> DataFrame:

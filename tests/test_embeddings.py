@@ -1,0 +1,88 @@
+import numpy as np
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from shiftwell.operators import models as M
+from shiftwell.operators.projection import point_bins, project_2d
+from shiftwell.plans.embeddings import (
+    driver_reason_embeddings,
+    embedding_point_bins,
+    embedding_points,
+    with_embedding,
+)
+from shiftwell.schemas import DRIVER_REASON_EMBEDDINGS
+
+EMBEDDED = "driver_ID bigint, stress_report_tags string, embedding array<double>"
+
+
+@pytest.fixture(scope="module")
+def vectors():
+    noise = np.random.default_rng(7).normal(size=(60, 5))
+    return noise * np.array([5.0, 3.0, 1.0, 0.5, 0.1]) + np.array([10.0, -4.0, 0.0, 2.0, 1.0])
+
+
+def frame_of(spark, vectors):
+    data = [(i, f"tag{i % 3} , other", row.tolist()) for i, row in enumerate(vectors)]
+    return spark.createDataFrame(data, EMBEDDED)
+
+
+def expected_points(vectors):
+    centred = vectors - vectors.mean(axis=0)
+    _, axes = np.linalg.eigh(np.cov(centred, rowvar=False))
+    axes = axes[:, ::-1][:, :2]
+    signs = np.sign(axes[np.abs(axes).argmax(axis=0), range(2)])
+    return centred @ (axes * signs)
+
+
+def test_projection_agrees_with_numpy(spark, vectors):
+    points = embedding_points(frame_of(spark, vectors)).orderBy("driver_ID").collect()
+    found = np.array([(row["x"], row["y"]) for row in points])
+    assert found == pytest.approx(expected_points(vectors), abs=1e-9)
+    assert found.mean(axis=0) == pytest.approx([0, 0], abs=1e-9)
+    assert found[:, 0].var() > found[:, 1].var()
+    assert found[:, 0] @ found[:, 1] == pytest.approx(0, abs=1e-6)
+    assert [row["main_tag"] for row in points[:3]] == ["tag0", "tag1", "tag2"]
+
+
+@pytest.mark.parametrize("count", [0, 1])
+def test_too_few_vectors(spark, vectors, count):
+    found = embedding_points(frame_of(spark, vectors[:count]))
+    assert [(row["x"], row["y"]) for row in found.collect()] == [(0.0, 0.0)] * count
+
+
+def test_missing_vectors_and_tags_are_left_out(spark):
+    data = [(1, "a", [1.0, 0.0]), (2, "a", None), (3, "a", []), (4, None, [0.0, 1.0])]
+    frame = spark.createDataFrame(data, EMBEDDED)
+    assert [row["driver_ID"] for row in with_embedding(frame).collect()] == [1]
+
+
+def test_bins_count_every_point(spark, vectors):
+    frame = frame_of(spark, vectors)
+    bins = embedding_point_bins(frame, 2.0).collect()
+    assert sum(row["points"] for row in bins) == len(vectors)
+    points = expected_points(vectors)
+    squares = {(*np.floor(p / 2.0).astype(int), f"tag{i % 3}") for i, p in enumerate(points)}
+    assert {(r["x_bin"], r["y_bin"], r["main_tag"]) for r in bins} == squares
+
+
+def test_bin_borders(spark):
+    points = spark.createDataFrame([(-0.1, 0.0, "a"), (0.0, 0.99, "a"), (0.5, 1.0, "a")], "x double, y double, main_tag string")
+    assert rows(point_bins(points, 1.0)) == [(-1, 0, "a", 1), (0, 0, "a", 1), (0, 1, "a", 1)]
+
+
+def test_driver_embeddings(spark):
+    tags = spark.createDataFrame(
+        [(1, "Overwork, Calm"), (2, None), (3, "Overwork, Calm")],
+        "driver_ID bigint, stress_report_tags string",
+    )
+    found = driver_reason_embeddings(tags, M.hash_embedding(16))
+    assert found.columns == DRIVER_REASON_EMBEDDINGS.names
+    data = rows(found)
+    assert [row[0] for row in data] == [1, 3]
+    assert data[0][2] == data[1][2]
+
+
+def test_projection_keeps_columns(spark, vectors):
+    frame = frame_of(spark, vectors).withColumn("more", F.lit(1))
+    assert project_2d(frame, "embedding").columns == [*frame.columns, "x", "y"]

@@ -1,0 +1,330 @@
+import uuid
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from shiftwell.functions.prompts import REASON_TAGS, STRESS_SCORE, Prompt
+from shiftwell.functions.text import tag_shape_ok
+from shiftwell.operators import models as M
+from shiftwell.operators.answers import AnswerStore
+from shiftwell.operators.inference import Question, embed, generate, results
+from shiftwell.plans.articles import articles_metrics
+from shiftwell.plans.stress import driver_reason_tags, drivers_metrics
+
+ASK = Prompt("Say: %s", ("word",))
+METRICS = (
+    "driver_ID bigint, Age bigint, City string, Experience_Years bigint, Average_Rating double, "
+    "total_rides_all_days bigint, active_days bigint, total_duration_min_all_days bigint, "
+    "min_fare double, max_fare double, stddev_fare double"
+)
+ANCHOR = (1, 44, "Los Angeles", 11, 4.9, 7, 5, 402, 20.45, 215.37, 75.0)
+
+
+def recorder(folder, reply):
+    """A client factory that leaves one file per answered text."""
+
+    def make():
+        def answer(texts):
+            for text in texts:
+                (folder / uuid.uuid4().hex).write_text(text)
+            return [reply(text) for text in texts]
+
+        return answer
+
+    return make
+
+
+def calls(folder):
+    return sorted(path.read_text() for path in folder.iterdir())
+
+
+@pytest.fixture
+def folder(tmp_path):
+    made = tmp_path / "calls"
+    made.mkdir()
+    return made
+
+
+def words(spark, *values):
+    frame = spark.createDataFrame(list(enumerate(values)), "id bigint, word string")
+    return frame.repartition(3)
+
+
+def echo(text):
+    return text.removeprefix("Say: ")
+
+
+def asked(frame, model, kind="string", **options):
+    return generate(frame, [Question("said", ASK, kind, model)], **options)
+
+
+def test_one_call_per_distinct_prompt(spark, folder):
+    frame = words(spark, "a", "b", "a", None, "a", "b", "c")
+    model = M.BatchModel("echo", recorder(folder, echo), batch_size=2)
+    found = rows(results(asked(frame, model), ["said"]))
+    assert found == [
+        (0, "a", "a"),
+        (1, "b", "b"),
+        (2, "a", "a"),
+        (3, None, None),
+        (4, "a", "a"),
+        (5, "b", "b"),
+        (6, "c", "c"),
+    ]
+    assert calls(folder) == ["Say: a", "Say: b", "Say: c"]
+
+
+def test_several_questions_share_one_pass(spark, folder):
+    other = Prompt("Spell: %s", ("word",))
+    model = M.BatchModel("echo", recorder(folder, str.upper), batch_size=2)
+    questions = [Question("x", ASK, "string", model), Question("y", other, "string", model)]
+    frame = generate(words(spark, "a", "a", "b"), questions)
+    found = rows(results(frame, ["x", "y"]))
+    assert found[0] == (0, "a", "SAY: A", "SPELL: A")
+    assert calls(folder) == ["Say: a", "Say: b", "Spell: a", "Spell: b"]
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInPandas") == 1
+
+
+@pytest.mark.parametrize(
+    ("raw", "kind", "value", "status"),
+    [
+        ("0.72", "double", 0.72, "ok"),
+        ("about 0.7", "double", None, "unreadable answer"),
+        ("1.4", "double", 1.4, "ok"),
+        ("yes", "bool", True, "ok"),
+        ("True", "bool", True, "ok"),
+        ("maybe", "bool", None, "unreadable answer"),
+        ("", "double", None, "unreadable answer"),
+        ("", "string", "", "ok"),
+    ],
+)
+def test_parsing(spark, raw, kind, value, status):
+    model = M.BatchModel("echo", lambda: lambda texts: [echo(text) for text in texts])
+    row = asked(words(spark, raw), model, kind).first()["said"]
+    assert (row["result"], row["full_response"], row["status"]) == (value, raw, status)
+
+
+def failing():
+    def answer(texts):
+        if any("bad" in text for text in texts):
+            raise RuntimeError("no answer today")
+        return [echo(text) for text in texts]
+
+    return answer
+
+
+def test_a_failing_row_does_not_stop_the_rest(spark):
+    model = M.BatchModel("failing", failing, batch_size=10, attempts=2, backoff=0)
+    found = {r["word"]: r["said"] for r in asked(words(spark, "a", "bad", "b"), model).collect()}
+    assert found["a"]["result"] == "a" and found["b"]["result"] == "b"
+    assert found["bad"]["result"] is None
+    assert found["bad"]["status"] == "error: no answer today"
+
+
+def test_null_prompt_status(spark):
+    for model in (M.BatchModel("e", failing), M.ColumnModel("c", lambda v: v["word"])):
+        row = asked(words(spark, None), model).first()["said"]
+        assert (row["result"], row["status"]) == (None, "null prompt")
+
+
+def test_retry_succeeds(spark, tmp_path):
+    marker = tmp_path / "tried"
+
+    def flaky():
+        def answer(texts):
+            if not marker.exists():
+                marker.touch()
+                raise RuntimeError("again")
+            return [echo(text) for text in texts]
+
+        return answer
+
+    row = asked(words(spark, "a"), M.BatchModel("flaky", flaky, backoff=0)).first()["said"]
+    assert row["status"] == "ok"
+
+
+def test_wrong_number_of_answers_is_a_failure(spark):
+    model = M.BatchModel("short", lambda: lambda texts: [], attempts=1)
+    row = asked(words(spark, "a"), model).first()["said"]
+    assert row["status"] == "error: 0 answers to 1 texts"
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_result_does_not_depend_on_partitions(spark, parts):
+    frame = words(spark, *"abcabcaab").repartition(parts)
+    model = M.BatchModel("echo", lambda: lambda texts: [echo(t) * 2 for t in texts], batch_size=2)
+    found = rows(results(asked(frame, model, tasks=parts), ["said"]))
+    assert found == [(i, w, w * 2) for i, w in enumerate("abcabcaab")]
+
+
+def test_store_asks_only_new_prompts(spark, folder, tmp_path):
+    store = AnswerStore(str(tmp_path / "store"))
+    model = M.BatchModel("echo", recorder(folder, echo))
+    first = asked(words(spark, "a", "b", "a", None), model, store=store)
+    assert calls(folder) == ["Say: a", "Say: b"]
+    assert len(rows(first)) == len(rows(first)) == 4
+    again = asked(words(spark, "b", "c"), model, store=store)
+    assert rows(results(again, ["said"])) == [(0, "b", "b"), (1, "c", "c")]
+    assert calls(folder) == ["Say: a", "Say: b", "Say: c"]
+    other = M.BatchModel("other", recorder(folder, echo))
+    asked(words(spark, "a"), other, store=store)
+    assert len(calls(folder)) == 4
+
+
+def test_store_asks_failures_again(spark, tmp_path):
+    store = AnswerStore(str(tmp_path / "store"))
+    bad = M.BatchModel("m", failing, attempts=1)
+    found = asked(words(spark, "bad", "a"), bad, store=store)
+    statuses = {r["word"]: r["said"]["status"] for r in found.collect()}
+    assert statuses == {"bad": "error: no answer today", "a": "ok"}
+    good = M.BatchModel("m", lambda: lambda texts: [echo(t) for t in texts])
+    assert rows(results(asked(words(spark, "bad"), good, store=store), ["said"])) == [
+        (0, "bad", "bad")
+    ]
+
+
+def test_hot_prompt_is_split_in_the_join_back(spark, conf):
+    """Nine tenths of the rows share a prompt: adaptive execution splits that key."""
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="10KB",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+    )
+    hot = F.when(F.col("id") % 10 < 9, "hot").otherwise(F.col("id").cast("string"))
+    frame = spark.range(0, 20000, 1, 8).select("id", hot.alias("word"))
+    model = M.BatchModel("echo", lambda: lambda texts: [echo(text) for text in texts])
+    answered = results(asked(frame, model), ["said"])
+    found = answered.collect()
+    assert len(found) == 20000 and all(row["word"] == row["said"] for row in found)
+    assert "skew=true" in answered._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_without_prompt_are_spread(spark):
+    """Their join keys differ, so they do not meet in one partition."""
+    frame = spark.range(1000).select("id", F.lit(None).cast("string").alias("word"))
+    from shiftwell.operators.inference import _hash, _spread
+
+    keys = frame.select(_spread(_hash([F.col("word")]), frame).alias("k"))
+    assert keys.distinct().count() == 1000
+
+
+# Offline models
+
+
+def test_score_of_the_example(spark):
+    frame = spark.createDataFrame([ANCHOR], METRICS)
+    row = drivers_metrics(frame, M.stress_linear(), M.reason_template()).first()
+    assert round(row["stress_score"], 1) == 0.2
+    assert row["stress_reason"].count(". ") == 1
+    assert "low" in row["stress_reason"] and "402 minutes" in row["stress_reason"]
+
+
+def test_score_stays_between_0_and_1(spark):
+    worst = (2, 44, "X", 11, 0.0, 700, 1, 99999, 0.0, 1.0, 500.0)
+    best = (3, 44, "X", 11, 6.0, 0, 5, 0, 1.0, 1.0, 0.0)
+    frame = spark.createDataFrame([worst, best], METRICS)
+    metrics = drivers_metrics(frame, M.stress_linear(), M.reason_template())
+    found = {r["driver_ID"]: r for r in metrics.collect()}
+    assert found[2]["stress_score"] == 1.0 and "high" in found[2]["stress_reason"]
+    assert found[3]["stress_score"] == 0.0
+
+
+def test_no_days_or_fares_give_no_score(spark):
+    no_days = (*ANCHOR[:6], 0, *ANCHOR[7:])
+    no_fare = (*ANCHOR[:9], 0.0, 0.0)
+    frame = spark.createDataFrame([no_days, no_fare], METRICS)
+    metrics = drivers_metrics(frame, M.stress_linear(), M.reason_template(), structs=True)
+    for row in metrics.collect():
+        assert row["stress_score"]["result"] is None
+        assert row["stress_score"]["status"] == "no answer"
+
+
+@pytest.mark.parametrize("place", range(1, 11))
+def test_missing_metric_gives_null_score_and_reason(spark, place):
+    row = tuple(None if i == place else value for i, value in enumerate(ANCHOR))
+    frame = spark.createDataFrame([row], METRICS)
+    found = drivers_metrics(frame, M.stress_linear(), M.reason_template()).first()
+    assert found["stress_score"] is None and found["stress_reason"] is None
+
+
+def test_tags(spark):
+    reasons = [(1, "a workload of long days. uneven, likely high"), (2, "nothing"), (3, None)]
+    frame = spark.createDataFrame(reasons, "driver_ID bigint, stress_reason string")
+    tags = driver_reason_tags(frame, M.rule_tags())
+    assert rows(tags) == [
+        (1, "High strain, Overwork, Income worry"),
+        (2, "Driving work, Gig worker"),
+        (3, None),
+    ]
+    present = tags.where("stress_report_tags IS NOT NULL")
+    shapes = present.select(tag_shape_ok(F.col("stress_report_tags")))
+    assert [row[0] for row in shapes.collect()] == [True, True]
+
+
+def test_prompts_reach_a_batch_model(spark, folder):
+    frame = spark.createDataFrame([ANCHOR], METRICS)
+    score = M.BatchModel("score", recorder(folder, lambda text: "0.3"))
+    reason = M.BatchModel("reason", recorder(folder, lambda text: "Works. Rests."))
+    row = drivers_metrics(frame, score, reason).first()
+    assert (row["stress_score"], row["stress_reason"]) == (0.3, "Works. Rests.")
+    assert frame.select(STRESS_SCORE.render()).first()[0] in calls(folder)
+    frame = spark.createDataFrame([(1, "50% off")], "driver_ID bigint, stress_reason string")
+    assert frame.select(REASON_TAGS.render()).first()[0].endswith("\n\n50% off")
+
+
+def test_article_flags(spark):
+    articles = [
+        ("a", "X", None, "Debt and a LOAN"),
+        ("b", "X", None, "debt only"),
+        ("c", "X", None, ""),
+        ("d", "X", None, None),
+        ("e", "X", None, " "),
+    ]
+    frame = spark.createDataFrame(
+        articles, "article_name string, city string, published date, content string"
+    )
+    flags = ("financial_pressure", "unsafe_conditions", "lack_of_support", "overwork_burnout")
+    models = dict.fromkeys(flags, M.lexicon_bool(("debt", "loan"), 2))
+    found = rows(articles_metrics(frame, models).select("article_name", "financial_pressure"))
+    assert found == [("a", True), ("b", False), ("e", False)]
+    whole = articles_metrics(frame, models, structs=True).where("article_name = 'a'").first()
+    assert tuple(whole["overwork_burnout"]) == (True, "true", "ok")
+
+
+def test_embed_calls_once_per_text(spark, folder):
+    model = M.BatchModel("len", recorder(folder, lambda text: [float(len(text)), 1.0]))
+    found = rows(embed(words(spark, "a", "bb", "a", None), "word", model))
+    assert found == [
+        (0, "a", [1.0, 1.0]),
+        (1, "bb", [2.0, 1.0]),
+        (2, "a", [1.0, 1.0]),
+        (3, None, None),
+    ]
+    assert calls(folder) == ["a", "bb"]
+
+
+@pytest.mark.parametrize("dedupe", [False, True])
+def test_column_embedding(spark, dedupe):
+    frame = words(spark, "a b", "", None, "a b")
+    found = rows(embed(frame, "word", M.hash_embedding(8), dedupe=dedupe))
+    assert found[0][2] == found[3][2]
+    assert sum(v * v for v in found[0][2]) == pytest.approx(1)
+    assert found[1][2] == [0.0] * 8
+    assert found[2][2] is None
+
+
+def test_long_texts_are_read_whole(spark):
+    text = " ".join(f"w{i}" for i in range(20000))
+    counts = [0] * 8
+    import hashlib
+
+    for word in text.split():
+        counts[int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % 8] += 1
+    length = sum(c * c for c in counts) ** 0.5
+    found = embed(words(spark, text), "word", M.hash_embedding(8)).first()["embedding"]
+    assert found == pytest.approx([c / length for c in counts])
