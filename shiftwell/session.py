@@ -36,14 +36,14 @@ def scratch_root(spark: SparkSession) -> str:
     A local session without the setting gets a folder of its own. On a cluster
     the setting is required: executors could not see a folder of one machine.
     """
-    root = spark.conf.get(CHECKPOINT_DIR, None)
+    context = spark.sparkContext
+    root = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="shiftwell-")
-    spark.conf.set(CHECKPOINT_DIR, root)
-    return root
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="shiftwell-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
