@@ -208,7 +208,7 @@ def plan_of(frame):
 def test_rides_are_reduced_before_the_join(spark, conf):
     conf(spark__sql__adaptive__enabled="false", spark__sql__autoBroadcastJoinThreshold="-1")
     drivers, rides = frames(spark, EDGE_DRIVERS, EDGE_RIDES)
-    for build, shuffles in ((drivers_metrics_core, 4), (drivers_metrics_core_unique, 3)):
+    for build, shuffles in ((drivers_metrics_core, 5), (drivers_metrics_core_unique, 3)):
         plan = plan_of(build(drivers, rides))
         exchanges = re.findall(r"Exchange (\w+)\(([^)]*)\)", plan)
         assert len(exchanges) == shuffles
