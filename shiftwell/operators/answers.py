@@ -44,9 +44,15 @@ class AnswerStore:
         return good.select("key", "answer", "status").dropDuplicates(["key"])
 
     def add(self, answered: DataFrame, model: str) -> str:
-        """Make the calls of ``answered`` and keep the outcome; returns the run."""
+        """Keep (key, a0, s0) as answers of a new run, whose name is returned."""
         run = uuid.uuid4().hex
-        parted = answered.withColumns({"model": F.lit(_folder(model)), "run": F.lit(run)})
+        parted = answered.select(
+            "key",
+            F.col("a0").alias("answer"),
+            F.col("s0").alias("status"),
+            F.lit(_folder(model)).alias("model"),
+            F.lit(run).alias("run"),
+        )
         parted.write.mode("append").partitionBy("model", "run").parquet(self.path)
         return run
 

@@ -3,14 +3,16 @@
 Column models are projections: nothing is shuffled and no Python runs. Batch
 models are asked through a second, deduplicated frame:
 
-    rows -> distinct prompt inputs -> model, in tasks -> answers
-    rows -- left join on the inputs' hash -------------> rows with answers
+    rows -> distinct prompt inputs -> model, in tasks -> answers, written
+    rows -- left join on the inputs' hash ----------------> rows with answers
 
 The distinct step folds repeats inside each task before it shuffles, so an input
-shared by a third of all rows arrives as one row per task. In the join back the
-answers are unique per key and the rows are the streamed side, whose hot key
-adaptive execution can split over several tasks. Rows without a prompt carry a
-key of their own and so are spread instead of meeting in one NULL partition.
+shared by a third of all rows arrives as one row per task. The answers are
+written to the shared scratch folder, so neither a lost executor nor a second
+use of the result asks again. Their size is measured by that write: a small
+answer table is broadcast, any other is joined by sort and merge, with the rows
+as the side whose hot keys adaptive execution can split over several tasks. Rows
+without a prompt get a key of their own and so do not meet in one partition.
 """
 
 from __future__ import annotations
@@ -19,13 +21,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from shiftwell.functions.prompts import Prompt
 from shiftwell.operators.answers import AnswerStore, answer_key
 from shiftwell.operators.calls import OK, model_task
 from shiftwell.operators.models import BatchModel, ColumnModel, Model
+from shiftwell.session import scratch_path
 
 # The kinds of result and their Spark types.
 KINDS = {"bool": "boolean", "double": "double", "string": "string"}
@@ -33,6 +36,7 @@ KINDS = {"bool": "boolean", "double": "double", "string": "string"}
 NULL_PROMPT = "null prompt"
 NO_ANSWER = "no answer"
 UNREADABLE = "unreadable answer"
+BROADCAST_BYTES = 8 * 1024 * 1024
 _KEY = "__prompt_key"
 
 
@@ -79,10 +83,11 @@ def generate(
     """Add a struct(result, full_response, status) column for each question.
 
     A NULL prompt gives a NULL result with status ``null prompt`` and no call.
-    Without a store the calls are part of the returned plan: write the frame
-    once and go on from the written table. With a store they are made here,
-    for prompts the store does not know, and later runs reuse them. Keep only
-    the columns that are needed later: they travel through the join.
+    Batch models are called here, in ``tasks`` tasks; column models are part of the
+    returned plan. With a store only prompts it does not know are asked, and later
+    runs reuse the answers. ``rows`` are read twice for batch models, so let them
+    come from a table, and keep only columns needed later: they travel through the
+    join.
     """
     out = _by_columns(rows, [q for q in questions if isinstance(q.model, ColumnModel)])
     batch = [q for q in questions if isinstance(q.model, BatchModel)]
@@ -131,9 +136,7 @@ def _tasks(rows: DataFrame, tasks: int | None) -> int:
     return tasks or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _ask(
-    asked: DataFrame, models: Sequence[BatchModel], answer: str, tasks: int
-) -> DataFrame:
+def _ask(asked: DataFrame, models: Sequence[BatchModel], answer: str, tasks: int) -> DataFrame:
     """(key, p0, ..) to (key, a0, s0, ..) with one call per row and model."""
     fields = ", ".join(f"a{i} {answer}, s{i} string" for i in range(len(models)))
     return asked.repartition(tasks, "key").mapInPandas(
@@ -141,6 +144,22 @@ def _ask(
     )
 
 
+def _kept(answers: DataFrame) -> DataFrame:
+    """The answers as a written table, marked for the join their size allows."""
+    spark = answers.sparkSession
+    sizes = [
+        F.size(name) * 8 if kind.startswith("array") else F.octet_length(name)
+        for name, kind in answers.dtypes
+    ]
+    row_size = reduce(Column.__add__, (F.coalesce(size, F.lit(0)) for size in sizes))
+    seen = Observation()
+    path = scratch_path(spark, "answers")
+    answers.observe(seen, F.sum(row_size.cast("bigint") + 100).alias("bytes")).write.parquet(path)
+    allowed = spark.conf.get("spark.sql.autoBroadcastJoinThreshold") != "-1"
+    small = allowed and (seen.get["bytes"] or 0) <= BROADCAST_BYTES
+    return spark.read.parquet(path).hint("broadcast" if small else "merge")
+
+
 def _by_batch(rows: DataFrame, questions: Sequence[Question], tasks: int | None) -> DataFrame:
     inputs = list(questions[0].prompt.inputs.items())
     names = [f"i{n}" for n in range(len(inputs))]
@@ -155,45 +174,39 @@ def _by_batch(rows: DataFrame, questions: Sequence[Question], tasks: int | None)
             *(q.prompt.render(texts).alias(f"p{i}") for i, q in enumerate(questions)),
         )
     )
-    answers = _ask(asked, [q.model for q in questions], "string", _tasks(rows, tasks))
+    answers = _kept(_ask(asked, [q.model for q in questions], "string", _tasks(rows, tasks)))
     keyed = rows.withColumn(_KEY, _spread(_hash([column for _, column in inputs]), rows))
-    joined = keyed.join(answers, keyed[_KEY] == answers["key"], "left")
     structs = [
-        _result(
-            F.col(f"a{i}"), F.coalesce(F.col(f"s{i}"), F.lit(NULL_PROMPT)), q.kind
-        ).alias(q.name)
+        _result(F.col(f"a{i}"), F.coalesce(F.col(f"s{i}"), F.lit(NULL_PROMPT)), q.kind).alias(
+            q.name
+        )
         for i, q in enumerate(questions)
     ]
-    return joined.select(*(keyed[name] for name in rows.columns), *structs)
+    return _joined(keyed, answers).select(*rows.columns, *structs)
+
+
+def _joined(keyed: DataFrame, answers: DataFrame) -> DataFrame:
+    answers = answers.withColumnRenamed("key", "__answer_key")
+    return keyed.join(answers, F.col(_KEY) == F.col("__answer_key"), "left")
 
 
 def _through_store(
     rows: DataFrame, question: Question, store: AnswerStore, tasks: int | None
 ) -> DataFrame:
-    text = question.prompt.render()
-    model = question.model
+    spark, model, text = rows.sparkSession, question.model, question.prompt.render()
     asked = (
         rows.select(text.alias("p0"))
         .where(F.col("p0").isNotNull())
         .distinct()
-        .withColumn("key", answer_key(model.name, F.col("p0")))
+        .select(answer_key(model.name, F.col("p0")).alias("key"), "p0")
     )
-    fresh = asked.join(store.known(rows.sparkSession, model.name).select("key"), "key", "left_anti")
-    answered = _ask(fresh.select("key", "p0"), [model], "string", _tasks(rows, tasks))
-    run = store.add(
-        answered.select(
-            "key", F.col("a0").alias("answer"), F.col("s0").alias("status")
-        ),
-        model.name,
-    )
-    answers = store.answers(rows.sparkSession, model.name, run)
+    fresh = asked.join(store.known(spark, model.name).hint("merge"), "key", "left_anti")
+    run = store.add(_ask(fresh, [model], "string", _tasks(rows, tasks)), model.name)
+    answers = store.answers(spark, model.name, run).hint("merge")
     keyed = rows.withColumn(_KEY, _spread(answer_key(model.name, text), rows))
-    joined = keyed.join(answers, keyed[_KEY] == answers["key"], "left")
     status = F.coalesce(F.col("status"), F.lit(NULL_PROMPT))
-    return joined.select(
-        *(keyed[name] for name in rows.columns),
-        _result(F.col("answer"), status, question.kind).alias(question.name),
-    )
+    answer = _result(F.col("answer"), status, question.kind).alias(question.name)
+    return _joined(keyed, answers).select(*rows.columns, answer)
 
 
 def embed(
@@ -206,10 +219,10 @@ def embed(
 ) -> DataFrame:
     """Add a vector for a text column.
 
-    With ``dedupe`` each distinct text is embedded once and the vectors are joined
-    back. Batch models always do so. For column models it pays when few texts
-    stand for many rows, and is off unless asked for. NULL texts, and texts the
-    model failed on, have a NULL vector.
+    With ``dedupe`` each distinct text is embedded once, here and now, and the
+    vectors are joined back. Batch models always do so. For column models it pays
+    when few texts stand for many rows, and is off unless asked for. NULL texts,
+    and texts the model failed on, have a NULL vector.
     """
     column_model = isinstance(model, ColumnModel)
     if column_model and not dedupe:
@@ -221,12 +234,11 @@ def embed(
         .select(_hash([F.col("p0")]).alias("key"), "p0")
     )
     if column_model:
-        vectors = asked.select("key", _vector(model, F.col("p0")).alias("a0"))
+        answers = asked.select("key", _vector(model, F.col("p0")).alias("a0"))
     else:
-        vectors = _ask(asked, [model], "array<double>", _tasks(rows, tasks)).select("key", "a0")
+        answers = _ask(asked, [model], "array<double>", _tasks(rows, tasks)).select("key", "a0")
     keyed = rows.withColumn(_KEY, _spread(_hash([F.col(text)]), rows))
-    joined = keyed.join(vectors, keyed[_KEY] == vectors["key"], "left")
-    return joined.select(*(keyed[name] for name in rows.columns), F.col("a0").alias(out))
+    return _joined(keyed, _kept(answers)).select(*rows.columns, F.col("a0").alias(out))
 
 
 def _vector(model: ColumnModel, text: Column) -> Column:

@@ -84,7 +84,7 @@ def test_several_questions_share_one_pass(spark, folder):
     assert found[0] == (0, "a", "SAY: A", "SPELL: A")
     assert calls(folder) == ["Say: a", "Say: b", "Spell: a", "Spell: b"]
     plan = frame._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("MapInPandas") == 1
+    assert plan.count("Join") == 1
 
 
 @pytest.mark.parametrize(
@@ -189,7 +189,6 @@ def test_hot_prompt_is_split_in_the_join_back(spark, conf):
     """Nine tenths of the rows share a prompt: adaptive execution splits that key."""
     conf(
         spark__sql__autoBroadcastJoinThreshold="-1",
-        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20KB",
         spark__sql__adaptive__skewJoin__skewedPartitionFactor="1",
         spark__sql__adaptive__advisoryPartitionSizeInBytes="10KB",
@@ -204,6 +203,26 @@ def test_hot_prompt_is_split_in_the_join_back(spark, conf):
     assert "skew=true" in answered._jdf.queryExecution().executedPlan().toString()
 
 
+def test_answers_are_broadcast_only_when_small(spark, monkeypatch):
+    model = M.BatchModel("echo", lambda: lambda texts: [echo(text) for text in texts])
+
+    def join_of(frame):
+        return frame._jdf.queryExecution().executedPlan().toString()
+
+    frame = words(spark, "a", "b")
+    assert "BroadcastHashJoin" in join_of(asked(frame, model))
+    monkeypatch.setattr("shiftwell.operators.inference.BROADCAST_BYTES", 150)
+    assert "SortMergeJoin" in join_of(asked(frame, model))
+    long_vectors = M.BatchModel("long", lambda: lambda texts: [[0.0] * 100 for _ in texts])
+    assert "SortMergeJoin" in join_of(embed(frame, "word", long_vectors))
+
+
+def test_the_result_may_be_read_twice(spark, folder):
+    found = asked(words(spark, "a"), M.BatchModel("echo", recorder(folder, echo)))
+    assert rows(found) == rows(found)
+    assert calls(folder) == ["Say: a"]
+
+
 def test_rows_without_prompt_are_spread(spark):
     """Their join keys differ, so they do not meet in one partition."""
     frame = spark.range(1000).select("id", F.lit(None).cast("string").alias("word"))
