@@ -15,8 +15,10 @@ _SPECIFIER = re.compile(r"%(?:\.\d+)?[sdf]|%%")
 
 def formatted(column: Column, specifier: str) -> Column:
     """One value as text; NULL stays NULL, where ``format_string`` would print it."""
-    if specifier in ("%s", "%d"):
+    if specifier == "%s":
         return column.cast("string")
+    if specifier == "%d":
+        return column.cast("bigint").cast("string")
     return F.when(column.isNotNull(), F.format_string(specifier, column.cast("double")))
 
 

@@ -31,13 +31,15 @@ def append_stream(
     checkpoint: str,
     id_column: str | None = None,
     trigger: dict | None = None,
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Append JSON lines arriving in ``source`` to ``target``, bad ones to ``rejects``.
 
     Each batch owns the folder ``batch=<id>`` and writes it as a whole, so a batch
     repeated after a failure replaces its own rows. With ``id_column``, ids that
     earlier batches wrote are left out. The default trigger takes what is there
-    and stops; pass ``{"processingTime": "1 minute"}`` to go on.
+    and stops; pass ``{"processingTime": "1 minute"}`` to go on. ``files_per_batch``
+    cuts a large backlog into several batches.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -50,8 +52,11 @@ def append_stream(
         good.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
         bad_rows(rows, id_column).write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
 
+    reader = spark.readStream
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return (
-        spark.readStream.text(source)
+        reader.text(source)
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))

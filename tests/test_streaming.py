@@ -46,5 +46,13 @@ def test_known_ids_are_left_out(spark, tmp_path):
     assert run(spark, tmp_path, id_column="article_name").count() == 2
 
 
+def test_a_backlog_in_several_batches(spark, tmp_path):
+    for name in ("One", "Two", "Three"):
+        drop(tmp_path / "in", f"{name}.json", ARTICLE | {"article_name": name})
+    found = run(spark, tmp_path, files_per_batch=1, id_column="article_name")
+    assert found.count() == 3
+    assert len(list((tmp_path / "target").glob("batch=*"))) == 3
+
+
 def test_nothing_appended_yet(spark, tmp_path):
     assert read_appended(spark, str(tmp_path / "none"), ARTICLES).count() == 0
