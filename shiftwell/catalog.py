@@ -223,6 +223,13 @@ def driver_reason_tags_stored(spark: SparkSession, folder: str) -> DataFrame:
     return stress_plan.driver_reason_tags(_metrics(spark, folder), model, store)
 
 
+@_register
+def driver_tag_shapes(spark: SparkSession, folder: str) -> DataFrame:
+    """Keywords with the check of their shape."""
+    metrics = _metrics(spark, folder)
+    return stress_plan.driver_reason_tags(metrics, M.rule_tags(), check_shape=True)
+
+
 @_register
 def distinct_tags(spark: SparkSession, folder: str) -> DataFrame:
     return inference.distinct_values(_tags(spark, folder), "stress_report_tags")
@@ -410,9 +417,12 @@ def view_over_tables(spark: SparkSession, folder: str) -> DataFrame:
     workspace.view(
         view,
         f"""
-        SELECT d.City, COUNT(r.Ride_ID) AS rides, ROUND(SUM(r.fare), 2) AS fare
+        WITH per_driver AS (
+          SELECT driver_id, COUNT(ride_id) AS rides, SUM(fare) AS fare
+          FROM {workspace.staged("rides_data")} GROUP BY driver_id)
+        SELECT d.City, COALESCE(SUM(r.rides), 0) AS rides, ROUND(SUM(r.fare), 2) AS fare
         FROM {workspace.staged("drivers_data")} d
-        LEFT JOIN {workspace.staged("rides_data")} r ON d.driver_id = r.driver_id
+        LEFT JOIN per_driver r ON d.driver_id = r.driver_id
         GROUP BY d.City
         """,
     )

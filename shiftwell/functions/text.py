@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def main_tag(tags: Column) -> Column:
-    """The first of comma-separated tags, trimmed."""
-    return F.trim(F.split_part(tags, F.lit(","), F.lit(1)))
+    """The first of comma-separated tags without white space around it."""
+    return F.regexp_replace(F.split_part(tags, F.lit(","), F.lit(1)), r"(?U)^\s+|\s+$", "")
 
 
 def has_text(column: Column) -> Column:

@@ -210,6 +210,11 @@ SQL: dict[str, str] = {
       FROM metrics""",
     "driver_reason_tags": f"WITH {_TAGS} SELECT driver_ID, stress_report_tags FROM tags",
     "driver_reason_tags_stored": f"WITH {_TAGS} SELECT driver_ID, stress_report_tags FROM tags",
+    "driver_tag_shapes": f"""WITH {_TAGS}, keywords AS (
+        SELECT driver_ID, stress_report_tags, string_split(stress_report_tags, ',') AS k FROM tags)
+      SELECT driver_ID, stress_report_tags, len(k) BETWEEN 2 AND 3 AND len(list_filter(k,
+        lambda w: NOT len(string_split(trim(w), ' ')) BETWEEN 1 AND 2)) = 0 AS tags_ok
+      FROM keywords""",
     "distinct_tags": f"WITH {_TAGS} SELECT DISTINCT stress_report_tags FROM tags",
     "driver_main_tag": f"""WITH {_TAGS}
       SELECT driver_ID, TRIM(split_part(stress_report_tags, ',', 1)) AS main_tag FROM tags""",

@@ -56,13 +56,14 @@ def build_marts(
 ) -> dict[str, DataFrame]:
     """Results from the staging tables of drivers and rides, and of articles if loaded.
 
-    Every result is written before the next one reads it, so no model is asked
-    twice for the same step.
+    Every result is written before the next one reads it, the core metrics (to
+    staging) included, so nothing is computed or asked twice.
     """
     models = models or Models()
     drivers = workspace.read(workspace.staged("drivers_data"))
     rides = workspace.read(workspace.staged("rides_data"))
-    core = drivers_metrics_core_unique if has_unique_ids(drivers) else drivers_metrics_core
+    core_plan = drivers_metrics_core_unique if has_unique_ids(drivers) else drivers_metrics_core
+    core = workspace.replace(workspace.staged("drivers_metrics_core"), core_plan(drivers, rides))
     marts: dict[str, DataFrame] = {}
 
     def write(name: str, frame: DataFrame, schema=None) -> DataFrame:
@@ -71,9 +72,7 @@ def build_marts(
 
     metrics = write(
         "drivers_metrics",
-        drivers_metrics(
-            core(drivers, rides), models.score, models.reason, store=store, tasks=tasks
-        ),
+        drivers_metrics(core, models.score, models.reason, store=store, tasks=tasks),
     )
     tags = write("drivers_reason_tags", driver_reason_tags(metrics, models.tags, store, tasks))
     vectors = write(

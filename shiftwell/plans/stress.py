@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from shiftwell.functions.prompts import REASON_TAGS, STRESS_REASON, STRESS_SCORE
+from shiftwell.functions.text import tag_shape_ok
 from shiftwell.operators.answers import AnswerStore
 from shiftwell.operators.inference import Question, generate, results
 from shiftwell.operators.models import Model
@@ -46,9 +48,15 @@ def driver_reason_tags(
     model: Model,
     store: AnswerStore | None = None,
     tasks: int | None = None,
+    check_shape: bool = False,
 ) -> DataFrame:
-    """driver_ID and keywords of the stress reason; NULL for a NULL reason."""
+    """driver_ID and keywords of the stress reason; NULL for a NULL reason.
+
+    ``check_shape`` adds ``tags_ok``: whether the model kept to two or three keywords
+    of at most two words.
+    """
     question = Question("stress_report_tags", REASON_TAGS, "string", model)
     reasons = metrics.select("driver_ID", "stress_reason")
     answered = generate(reasons, [question], store, tasks)
-    return results(answered.select("driver_ID", question.name), [question.name])
+    tags = results(answered.select("driver_ID", question.name), [question.name])
+    return tags.withColumn("tags_ok", tag_shape_ok(F.col(question.name))) if check_shape else tags

@@ -111,7 +111,8 @@ def append_checked(
 
 def unknown_rows(rows: DataFrame, known: DataFrame, id_column: str) -> DataFrame:
     """One row for each id that ``known`` does not have."""
-    fresh = rows.dropDuplicates([id_column]).join(known.select(id_column), id_column, "left_anti")
+    ids = known.select(id_column).distinct()
+    fresh = rows.dropDuplicates([id_column]).join(ids, id_column, "left_anti")
     return fresh.select(*rows.columns)
 
 
