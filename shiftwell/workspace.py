@@ -58,9 +58,9 @@ class Workspace:
             self.create(table, schema)
 
     def create(self, table: str, schema: T.StructType) -> None:
-        """Make an empty table; fails if one of that name is there."""
-        empty = self.spark.createDataFrame([], schema)
-        empty.write.format("parquet").mode("errorifexists").saveAsTable(table)
+        """Make an empty table; fails if one of that name, or its files, are there."""
+        open_schema = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
+        self.spark.catalog.createTable(table, source="parquet", schema=open_schema)
 
     def append(self, table: str, frame: DataFrame) -> None:
         """Add rows; columns are matched by name."""
@@ -78,10 +78,16 @@ class Workspace:
         The rows are first written in full beside the table and then take its
         name. A failed write leaves the old rows in place, and ``frame`` may
         read the table it replaces. ``accept`` runs between the two steps; if it
-        raises, the new rows are discarded.
+        raises, the new rows are discarded. Files that the catalog does not know
+        as this table's own are never replaced: that raises before any write.
         """
         if schema is not None:
             frame = conform(frame, schema)
+        if not self.exists(table):
+            self.create(table, frame.schema)
+            self.spark.sql(f"DROP TABLE {table}")
+        elif self.spark.catalog.getTable(table).tableType != "MANAGED":
+            raise ValueError(f"{table} is not a managed table")
         incoming = f"{table}__incoming"
         self.spark.sql(f"DROP TABLE IF EXISTS {incoming}")
         frame.write.format("parquet").saveAsTable(incoming)

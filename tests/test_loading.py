@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 from conftest import rows
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -256,6 +256,19 @@ def test_a_failed_write_keeps_the_table(spark, workspace):
     assert workspace.replace(table, spark.range(5)).count() == 5
 
 
+def test_files_unknown_to_the_catalog_are_kept(spark, workspace, tmp_path):
+    """As after a session whose catalog is gone."""
+    folder = str(tmp_path / "tables" / workspace.staging / "numbers")
+    spark.range(3).write.parquet(folder)
+    table = workspace.staged("numbers")
+    with pytest.raises(PySparkException, match="LOCATION_ALREADY_EXISTS"):
+        workspace.replace(table, spark.range(5))
+    assert spark.read.parquet(folder).count() == 3
+    spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{folder}'")
+    with pytest.raises(ValueError, match="not a managed table"):
+        workspace.replace(table, spark.range(5))
+
+
 def test_views_are_replaced_and_failures_raised(spark, workspace):
     workspace.replace(workspace.staged("numbers"), spark.range(4))
     view = workspace.mart("few")
