@@ -179,7 +179,8 @@ def model_results_struct(spark: SparkSession, folder: str) -> DataFrame:
     flag = "financial_pressure"
     articles = shipped.articles(spark, folder)
     answered = articles_plan.articles_metrics(articles, _lexicon_batch_models(), structs=True)
-    return answered.select("article_name", f"{flag}.result", f"{flag}.full_response", f"{flag}.status")
+    parts = [f"{flag}.{part}" for part in ("result", "full_response", "status")]
+    return answered.select("article_name", *parts)
 
 
 # Stress

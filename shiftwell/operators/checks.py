@@ -83,12 +83,10 @@ def checked_json(lines: DataFrame, schema: T.StructType, column: str = "value")
     }
     known = F.array(*(F.lit(field.name.lower()) for field in schema))
     unknown = F.array_except(F.map_keys(fields), known)
+    reported = F.transform(unknown, lambda name: F.concat(name, F.lit(_NO_COLUMN)))
     tests = [
         F.when(fields.isNull(), "unreadable row"),
-        F.when(
-            F.size(unknown) > 0,
-            F.concat_ws(_BREAK, F.transform(unknown, lambda name: F.concat(name, F.lit(_NO_COLUMN)))),
-        ),
+        F.when(F.size(unknown) > 0, F.concat_ws(_BREAK, reported)),
     ]
     return _judged(parsed, schema, given, tests, F.col(column), readable=fields.isNotNull())
 

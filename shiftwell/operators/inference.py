@@ -93,13 +93,13 @@ def generate(
     batch = [q for q in questions if isinstance(q.model, BatchModel)]
     if batch and store is not None:
         for question in batch:
-            out = _through_store(out, question, store, tasks)
+            out = _through_store(out, rows, question, store, tasks)
     elif batch:
         groups: dict[frozenset[tuple[str, str]], list[Question]] = {}
         for question in batch:
             groups.setdefault(frozenset(question.prompt.inputs), []).append(question)
         for group in groups.values():
-            out = _by_batch(out, group, tasks)
+            out = _by_batch(out, rows, group, tasks)
     return out
 
 
@@ -160,7 +160,10 @@ def _kept(answers: DataFrame) -> DataFrame:
     return spark.read.parquet(path).hint("broadcast" if small else "merge")
 
 
-def _by_batch(rows: DataFrame, questions: Sequence[Question], tasks: int | None) -> DataFrame:
+def _by_batch(
+    out: DataFrame, rows: DataFrame, questions: Sequence[Question], tasks: int | None
+) -> DataFrame:
+    """Ask about ``rows`` and join the answers to ``out``, the rows as answered so far."""
     inputs = list(questions[0].prompt.inputs.items())
     names = [f"i{n}" for n in range(len(inputs))]
     texts = {pair: F.col(name) for (pair, _), name in zip(inputs, names, strict=True)}
@@ -175,14 +178,14 @@ def _by_batch(rows: DataFrame, questions: Sequence[Question], tasks: int | None)
         )
     )
     answers = _kept(_ask(asked, [q.model for q in questions], "string", _tasks(rows, tasks)))
-    keyed = rows.withColumn(_KEY, _spread(_hash([column for _, column in inputs]), rows))
+    keyed = out.withColumn(_KEY, _spread(_hash([column for _, column in inputs]), rows))
     structs = [
         _result(F.col(f"a{i}"), F.coalesce(F.col(f"s{i}"), F.lit(NULL_PROMPT)), q.kind).alias(
             q.name
         )
         for i, q in enumerate(questions)
     ]
-    return _joined(keyed, answers).select(*rows.columns, *structs)
+    return _joined(keyed, answers).select(*out.columns, *structs)
 
 
 def _joined(keyed: DataFrame, answers: DataFrame) -> DataFrame:
@@ -191,8 +194,17 @@ def _joined(keyed: DataFrame, answers: DataFrame) -> DataFrame:
 
 
 def _through_store(
-    rows: DataFrame, question: Question, store: AnswerStore, tasks: int | None
+    out: DataFrame,
+    rows: DataFrame,
+    question: Question,
+    store: AnswerStore,
+    tasks: int | None,
 ) -> DataFrame:
+    """As ``_by_batch`` for one question, with the store's answers.
+
+    The answers needed are copied out of the store: it changes with every question,
+    and Spark takes two reads of one folder in a plan for the same.
+    """
     spark, model, text = rows.sparkSession, question.model, question.prompt.render()
     asked = (
         rows.select(text.alias("p0"))
@@ -202,11 +214,12 @@ def _through_store(
     )
     fresh = asked.join(store.known(spark, model.name).hint("merge"), "key", "left_anti")
     run = store.add(_ask(fresh, [model], "string", _tasks(rows, tasks)), model.name)
-    answers = store.answers(spark, model.name, run).hint("merge")
-    keyed = rows.withColumn(_KEY, _spread(answer_key(model.name, text), rows))
+    known = store.answers(spark, model.name, run).hint("merge")
+    answers = _kept(asked.select("key").join(known, "key"))
+    keyed = out.withColumn(_KEY, _spread(answer_key(model.name, text), rows))
     status = F.coalesce(F.col("status"), F.lit(NULL_PROMPT))
     answer = _result(F.col("answer"), status, question.kind).alias(question.name)
-    return _joined(keyed, answers).select(*rows.columns, answer)
+    return _joined(keyed, answers).select(*out.columns, answer)
 
 
 def embed(

@@ -95,7 +95,9 @@ def stress_linear() -> ColumnModel:
     return ColumnModel("stress_linear", _stress)
 
 
-def reason_template(high_at: float = 0.5, long_day: int = 480, uneven_at: float = 0.35) -> ColumnModel:
+def reason_template(
+    high_at: float = 0.5, long_day: int = 480, uneven_at: float = 0.35
+) -> ColumnModel:
     """Two sentences: the workload, then how fares vary and the level of stress."""
 
     def answer(values: Mapping[str, Column]) -> Column:

@@ -43,7 +43,8 @@ def checked_items(entries: DataFrame) -> DataFrame:
 
     link = F.col("link")
     if dict(entries.dtypes)["link"].startswith("array"):
-        main = F.filter(link, lambda one: F.coalesce(one["_rel"], F.lit("alternate")) == "alternate")
+        alternate = F.lit("alternate")
+        main = F.filter(link, lambda one: F.coalesce(one["_rel"], alternate) == alternate)
         link = F.get(F.coalesce(main, link), 0)["_href"]
     written = field("pubDate", "published", "updated")
     published = free_timestamp(written)

@@ -117,7 +117,10 @@ class Workspace:
 def conform(frame: DataFrame, schema: T.StructType) -> DataFrame:
     """Pick and cast the columns of ``schema``; names match in any case."""
     return frame.select(
-        [F.col(f"`{field.name}`").cast(_castable(field.dataType)).alias(field.name) for field in schema]
+        [
+            F.col(f"`{field.name}`").cast(_castable(field.dataType)).alias(field.name)
+            for field in schema
+        ]
     )
 
 

@@ -120,7 +120,8 @@ def test_null_rules(spark):
     drivers, rides = frames(spark, EDGE_DRIVERS, EDGE_RIDES)
     core = {row["driver_ID"]: row for row in drivers_metrics_core(drivers, rides).collect()}
     nothing = core[1]
-    assert (nothing["total_rides_all_days"], nothing["active_days"], nothing["max_rides"]) == (0, 0, 0)
+    counts = ("total_rides_all_days", "active_days", "max_rides")
+    assert [nothing[name] for name in counts] == [0, 0, 0]
     assert nothing["min_fare"] is None and nothing["total_duration_min_all_days"] is None
     assert core[2]["active_days"] == 1 and core[2]["stddev_fare"] is None
     assert core[2]["max_fare"] == 15.5
@@ -172,7 +173,9 @@ some_rides = st.lists(
 )
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(
+    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
 @given(some_drivers, some_rides)
 def test_any_tables(spark, drivers, rides):
     left, right = frames(spark, drivers, rides)

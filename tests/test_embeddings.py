@@ -67,7 +67,8 @@ def test_bins_count_every_point(spark, vectors):
 
 
 def test_bin_borders(spark):
-    points = spark.createDataFrame([(-0.1, 0.0, "a"), (0.0, 0.99, "a"), (0.5, 1.0, "a")], "x double, y double, main_tag string")
+    data = [(-0.1, 0.0, "a"), (0.0, 0.99, "a"), (0.5, 1.0, "a")]
+    points = spark.createDataFrame(data, "x double, y double, main_tag string")
     assert rows(point_bins(points, 1.0)) == [(-1, 0, "a", 1), (0, 0, "a", 1), (0, 1, "a", 1)]
 
 

@@ -173,6 +173,24 @@ def test_store_asks_only_new_prompts(spark, folder, tmp_path):
     assert len(calls(folder)) == 4
 
 
+def test_questions_with_inputs_of_their_own(spark, folder, tmp_path):
+    """A column model, two batch models on different columns, with and without a store."""
+    number = Prompt("Number: %d", ("id",))
+    model = M.BatchModel("m", recorder(folder, str.upper))
+    first = M.ColumnModel("first", lambda values: F.substring(values["word"], 1, 1))
+    questions = [
+        Question("x", ASK, "string", model),
+        Question("y", number, "string", model),
+        Question("z", ASK, "string", first),
+    ]
+    expected = [(0, "ab", "SAY: AB", "NUMBER: 0", "a"), (1, "ab", "SAY: AB", "NUMBER: 1", "a")]
+    frame = words(spark, "ab", "ab")
+    for store in (None, AnswerStore(str(tmp_path / "store"))):
+        found = results(generate(frame, questions, store), ["x", "y", "z"])
+        assert rows(found.select("id", "word", "x", "y", "z")) == expected
+    assert calls(folder) == sorted(["Number: 0", "Number: 1", "Say: ab"] * 2)
+
+
 def test_store_asks_failures_again(spark, tmp_path):
     store = AnswerStore(str(tmp_path / "store"))
     bad = M.BatchModel("m", failing, attempts=1)

@@ -153,7 +153,8 @@ def test_skipping_needs_a_required_id(workspace):
 
 def test_typed_rows_and_any_case(spark, workspace):
     frame = spark.createDataFrame(
-        [("One", dt.date(2025, 1, 2), "Text")], "ARTICLE_NAME string, Published date, content string"
+        [("One", dt.date(2025, 1, 2), "Text")],
+        "ARTICLE_NAME string, Published date, content string",
     )
     table = workspace.staged("news")
     append_rows(workspace, table, ARTICLES, frame)
@@ -235,7 +236,8 @@ def test_replace_may_read_its_own_table(workspace):
 
 
 def test_replace_casts_to_the_schema(spark, workspace):
-    frame = spark.createDataFrame([("x", 1, [1.5])], "stress_report_tags string, DRIVER_id int, embedding array<float>")
+    columns = "stress_report_tags string, DRIVER_id int, embedding array<float>"
+    frame = spark.createDataFrame([("x", 1, [1.5])], columns)
     table = workspace.mart("embeddings")
     found = workspace.replace(table, frame, DRIVER_REASON_EMBEDDINGS)
     assert found.dtypes == [
