@@ -41,7 +41,12 @@ def drivers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rides(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines of urgent orders as rides of the ordering customer."""
+    """Lines of urgent orders as rides of the ordering customer.
+
+    The fare is rounded to cents on the binary value, as DuckDB's ROUND does. Spark's
+    ROUND goes by the decimal text, so half cents would come out differently and the
+    two engines would start from different rides.
+    """
     orders = table(spark, folder, "orders").where(F.col("o_orderpriority") == "1-URGENT")
     lineitem = table(spark, folder, "lineitem")
     return lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
@@ -49,7 +54,7 @@ def rides(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_custkey").alias("Driver_ID"),
         F.col("o_orderdate").cast("date").alias("Date"),
         F.col("l_quantity").cast("int").alias("Duration_min"),
-        F.round(F.col("l_extendedprice") / 1000, 2).alias("Fare"),
+        (F.floor(F.col("l_extendedprice") / 1000 * 100 + 0.5) / 100).alias("Fare"),
     )
 
 
