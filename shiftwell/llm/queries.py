@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftwell.llm import html_text, mixing, slots, token_counts
+from shiftwell.llm import html_text, mixing, packing, permutation, pstable, simhash, slots
+from shiftwell.llm import token_counts
 from shiftwell.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +22,7 @@ WEIGHTS = {("web",): 3, ("reference",): 4, ("forum",): 3, ("*", "en"): 6, ("*",
 MAX_EPOCHS = 2
 SEED = 42
 SHARDS = 16
+QUERY_EVERY = 50
 
 
 def _register(query: Query) -> Query:
@@ -52,6 +54,18 @@ def op3_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract_text(table(spark, folder, "pages"))
 
 
+@_register
+def op4_retrieval_packing(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return packing.packed(documents, public_tokenizers.path("word_bpe_49k.json")).drop("ids")
+
+
+@_register
+def op5_permutation_index(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return permutation.nearest(vectors, F.col("vec_id") % QUERY_EVERY == 0)
+
+
 @_register
 def op6_slot_sharding(spark: SparkSession, folder: str) -> DataFrame:
     rows = slots.assigned(table(spark, folder, "documents"), SHARDS)
@@ -66,3 +80,13 @@ def op6_slot_sharding(spark: SparkSession, folder: str) -> DataFrame:
         "virtual_slot",
         "version",
     )
+
+
+@_register
+def op8_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@_register
+def op9_vector_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return pstable.near_vectors(table(spark, folder, "embeddings"))
