@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftwell.llm import html_text, mixing, packing, permutation, pstable, simhash, slots
+from shiftwell.llm import bloom_lm, html_text, mixing, packing, permutation, pstable, simhash, slots
 from shiftwell.llm import token_counts
 from shiftwell.llm.tables import table
 
@@ -82,6 +82,12 @@ def op6_slot_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_register
+def op7_bloom_lm(spark: SparkSession, folder: str) -> DataFrame:
+    learning = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2
+    return bloom_lm.scored(table(spark, folder, "documents"), learning)
+
+
 @_register
 def op8_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
