@@ -8,8 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftwell.llm import bloom_lm, html_text, mixing, packing, permutation, pstable, simhash, slots
-from shiftwell.llm import token_counts
+from shiftwell.llm import (
+    bloom_lm,
+    cotrain,
+    html_text,
+    mixing,
+    packing,
+    permutation,
+    pstable,
+    simhash,
+    slots,
+    token_counts,
+)
 from shiftwell.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,3 +106,10 @@ def op8_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @_register
 def op9_vector_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return pstable.near_vectors(table(spark, folder, "embeddings"))
+
+
+@_register
+def op10_cotrained_quality(spark: SparkSession, folder: str) -> DataFrame:
+    documents, labels = (table(spark, folder, name) for name in ("documents", "labels"))
+    scored = cotrain.classified(documents, labels)
+    return scored.select("doc_id", "text_score", "metadata_score", "score", "kept")

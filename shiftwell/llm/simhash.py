@@ -174,6 +174,15 @@ def near_prints(prints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> Da
     return jobs.repartition(parts, "deal").drop("deal").mapInArrow(compare, "a bigint, b bigint")
 
 
+def print_roots(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """print and root, equal for fingerprints that links join, for every fingerprint."""
+    roots = components(near_prints(prints, radius)).withColumnRenamed("node", "print")
+    every = prints.select("print").distinct()
+    return every.join(roots, "print", "left").select(
+        "print", F.coalesce("root", "print").alias("root")
+    )
+
+
 def near_duplicates(
     documents: DataFrame,
     radius: int = RADIUS,
@@ -190,18 +199,42 @@ def near_duplicates(
     is never the smallest unless no other key is there. Repeated rows stay. An empty
     table gives no rows. Further columns are not read.
     """
-    rows = written(
-        fingerprints(documents.select(key, text), text, shingle).select(key, "print"), "fingerprints"
-    )
+    rows = fingerprints(documents.select(key, text), text, shingle).select(key, "print")
+    rows = written(rows, "fingerprints")
     nodes = rows.groupBy("print").agg(F.min(key).alias("smallest"))
-    roots = components(near_prints(rows, radius))
-    in_component = nodes.join(roots.withColumnRenamed("node", "print"), "print", "left").select(
-        "print", F.coalesce("root", "print").alias("root"), "smallest"
-    )
-    smallest = in_component.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    ids = in_component.select("print", "root").join(smallest, "root").select("print", "component_id")
+    nodes = nodes.join(print_roots(rows, radius), "print")
+    smallest = nodes.groupBy("root").agg(F.min("smallest").alias("component_id"))
+    ids = nodes.select("print", "root").join(smallest, "root").select("print", "component_id")
     return rows.join(ids, "print").select(
         key,
         F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+def deduplicated(
+    documents: DataFrame,
+    radius: int = RADIUS,
+    shingle: int = SHINGLE,
+    key: str = "doc_id",
+    text: str = "text",
+) -> DataFrame:
+    """The rows without near copies: of each component one row with the smallest key.
+
+    All columns are kept. Among rows of one key, and where all keys of a component are
+    NULL, one row stays. Links are those of ``near_duplicates``.
+    """
+    rows = fingerprints(documents, text, shingle).withColumnRenamed("print", "_print")
+    rows = written(rows.withColumn("_row", F.monotonically_increasing_id()), "fingerprints")
+    prints = rows.select(
+        F.col("_print").alias("print"), F.col("_row").alias("row"), F.col(key).alias("id")
+    )
+    first = F.struct(F.col("id").isNull().alias("late"), "id", "row")
+    nodes = prints.groupBy("print").agg(F.min(first).alias("first"))
+    stays = (
+        nodes.join(print_roots(prints, radius), "print")
+        .groupBy("root")
+        .agg(F.min("first").alias("first"))
+        .select(F.col("first.row").alias("_row"))
+    )
+    return rows.join(stays, "_row", "left_semi").select(*documents.columns)
