@@ -138,7 +138,7 @@ def leaf_budgets(
 
 def mixed(
     documents: DataFrame,
-    levels: Mapping[str, Column],
+    levels: Mapping[str, str],
     weights: Mapping[tuple[str, ...], int] | None = None,
     total_tokens: int | None = None,
     max_epochs: int = 2,
@@ -148,8 +148,8 @@ def mixed(
 ) -> DataFrame:
     """Documents of the mix: all columns, the ``levels``, tokens, epoch and taken.
 
-    ``levels`` names the tree's levels from the root down with the column each is read
-    from; ``weights`` gives integer weights of nodes by path (1 unless given, ``*`` for
+    ``levels`` names the tree's levels from the root down, each with the SQL expression
+    it is read by; ``weights`` gives integer weights of nodes by path (1 unless given, ``*`` for
     any name of a level, 0 to leave a subtree out). The mix has ``total_tokens`` words,
     as many as the table unless given, or as many as ``max_epochs`` passes over the
     leaves can give. A leaf's budget is taken from its documents in an order made of
@@ -170,7 +170,9 @@ def mixed(
     names = list(levels)
     added = ["tokens", "epoch", "taken", *names]
     own = [c for c in documents.columns if c not in added]
-    level_columns = [F.coalesce(c.cast("string"), F.lit(MISSING)).alias(n) for n, c in levels.items()]
+    level_columns = [
+        F.coalesce(F.expr(e).cast("string"), F.lit(MISSING)).alias(n) for n, e in levels.items()
+    ]
     rows = documents.select(*own, *level_columns)
 
     def ordered(epoch: Column) -> Column:

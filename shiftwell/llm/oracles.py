@@ -1,3 +1,112 @@
 """The queries that SQL can express, as SQL for DuckDB."""
 
+from shiftwell.llm.queries import DOMAIN, MAX_EPOCHS, SEED, WEIGHTS
+
 SQL: dict[str, str] = {}
+
+
+def _weight(path: list[str]) -> str:
+    """The weight of a node; later entries win, as in the operator."""
+    cases = [
+        " AND ".join(f"{column} = '{name}'" for column, name in zip(path, names) if name != "*")
+        + f" THEN {weight}"
+        for names, weight in reversed(WEIGHTS.items())
+        if len(names) == len(path)
+    ]
+    return f"CASE WHEN {' WHEN '.join(cases)} ELSE 1 END" if cases else "1"
+
+
+def _level(name: str, path: list[str], above: str | None) -> str:
+    """Shares of the nodes of one level, by the order of capacity per weight."""
+    parent = ", ".join(path[:-1])
+    by = f"PARTITION BY {parent}" if parent else ""
+    order = ", ".join(path)
+    budget = "a.budget" if above else "(SELECT sum(tokens) FROM leaves)"
+    join = f"JOIN {above} a USING ({parent})" if above else ""
+    return f"""
+{name}_nodes AS (
+  SELECT *, {budget}::HUGEINT AS total FROM (
+    SELECT {order}, sum(tokens)::HUGEINT AS tokens, sum(tokens)::HUGEINT * {MAX_EPOCHS} AS capacity,
+           ({_weight(path)})::HUGEINT AS weight
+    FROM leaves GROUP BY {order}) n {join}),
+{name}_ordered AS (
+  SELECT *, coalesce(sum(capacity) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+              AS before,
+         sum(weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weight_left
+  FROM {name}_nodes
+  WINDOW w AS ({by} ORDER BY capacity::DOUBLE / weight::DOUBLE, {order})),
+{name}_full AS (
+  SELECT *, min(CASE WHEN capacity * weight_left <= (total - before) * weight THEN 1 ELSE 0 END)
+              OVER ({by} ORDER BY capacity::DOUBLE / weight::DOUBLE, {order}
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS is_full
+  FROM {name}_ordered),
+{name}_open AS (
+  SELECT *, total - sum(capacity * is_full) OVER ({by}) AS left_over,
+         greatest(sum(weight * (1 - is_full)) OVER ({by}), 1) AS open_weight
+  FROM {name}_full),
+{name}_parts AS (
+  SELECT *, CASE WHEN is_full = 1 THEN capacity
+                 ELSE (left_over * weight)::HUGEINT // open_weight::HUGEINT END AS part,
+         CASE WHEN is_full = 1 THEN -1
+              ELSE (left_over * weight)::HUGEINT % open_weight::HUGEINT END AS rest
+  FROM {name}_open),
+{name} AS (
+  SELECT {order}, tokens,
+         part + CASE WHEN is_full = 0
+                      AND row_number() OVER ({by} ORDER BY rest DESC, {order})
+                          <= total - sum(part) OVER ({by}) THEN 1 ELSE 0 END AS budget
+  FROM {name}_parts)"""
+
+
+_ORDER = f"md5(concat_ws('/', '{SEED}', {{epoch}}::VARCHAR, coalesce(doc_id::VARCHAR, text, '')))"
+
+SQL["op1_source_mixing"] = f"""
+WITH docs AS (
+  SELECT doc_id, text, {DOMAIN} AS domain, coalesce(lang, '(none)') AS language,
+         coalesce(source, '(none)') AS origin,
+         coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS tokens
+  FROM documents),
+leaves AS (
+  SELECT domain, language, origin, sum(tokens) AS tokens FROM docs GROUP BY ALL),
+{_level("domains", ["domain"], None)},
+{_level("languages", ["domain", "language"], "domains")},
+{_level("origins", ["domain", "language", "origin"], "languages")},
+plan AS (
+  SELECT domain, language, origin,
+         CASE WHEN tokens > 0 THEN budget // tokens ELSE 0 END::BIGINT AS epochs,
+         CASE WHEN tokens > 0 THEN budget % tokens ELSE 0 END::BIGINT AS prefix
+  FROM origins),
+placed AS (
+  SELECT docs.*, epochs, prefix,
+         sum(tokens) OVER (PARTITION BY domain, language, origin
+                           ORDER BY {_ORDER.format(epoch="epochs")}, tokens, text
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - tokens AS before
+  FROM docs JOIN plan USING (domain, language, origin))
+SELECT doc_id, domain, language, origin, tokens, epoch::INT AS epoch, tokens AS taken
+FROM placed, range({MAX_EPOCHS}) AS passes(epoch) WHERE epoch < epochs
+UNION ALL
+SELECT doc_id, domain, language, origin, tokens, epochs::INT,
+       least(tokens, prefix - before)::BIGINT
+FROM placed WHERE prefix > 0 AND before < prefix
+"""
+
+SQL["op9_vector_near_dedup"] = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM vectors a JOIN vectors b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least_reached AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(c.n, 0) AS n_links, l.component_id, e.vec_id = l.component_id AS kept
+FROM embeddings e LEFT JOIN counts c USING (vec_id) JOIN least_reached l USING (vec_id)
+"""

@@ -42,7 +42,7 @@ def _register(query: Query) -> Query:
 
 def mix(documents: DataFrame) -> DataFrame:
     """The mix of the query and of the pipeline."""
-    levels = {"domain": F.expr(DOMAIN), "language": F.col("lang"), "origin": F.col("source")}
+    levels = {"domain": DOMAIN, "language": "lang", "origin": "source"}
     return mixing.mixed(documents, levels, WEIGHTS, max_epochs=MAX_EPOCHS, seed=SEED)
 
 
