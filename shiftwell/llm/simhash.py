@@ -55,8 +55,10 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(bits.view("<u8")[0])
 
 
-def fingerprints(documents: DataFrame, text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """The rows with ``print``, the fingerprint as a signed long."""
+def fingerprints(
+    documents: DataFrame, text: str = "text", shingle: int = SHINGLE, into: str = "print"
+) -> DataFrame:
+    """The rows with their fingerprint as a signed long."""
 
     @F.pandas_udf("long")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -64,7 +66,7 @@ def fingerprints(documents: DataFrame, text: str = "text", shingle: int = SHINGL
             prints = np.array([fingerprint(t, shingle) for t in batch], dtype=np.uint64)
             yield pd.Series(prints.view(np.int64))
 
-    return documents.withColumn("print", of(F.coalesce(F.col(text), F.lit(""))))
+    return documents.withColumn(into, of(F.coalesce(F.col(text), F.lit(""))))
 
 
 def _halves(prints: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
@@ -224,7 +226,7 @@ def deduplicated(
     All columns are kept. Among rows of one key, and where all keys of a component are
     NULL, one row stays. Links are those of ``near_duplicates``.
     """
-    rows = fingerprints(documents, text, shingle).withColumnRenamed("print", "_print")
+    rows = fingerprints(documents, text, shingle, into="_print")
     rows = written(rows.withColumn("_row", F.monotonically_increasing_id()), "fingerprints")
     prints = rows.select(
         F.col("_print").alias("print"), F.col("_row").alias("row"), F.col(key).alias("id")
