@@ -7,17 +7,20 @@ from shiftwell.functions import prompts
 from shiftwell.functions.vectors import TOKEN
 from shiftwell.operators.models import TAG_FILLER, TAG_RULES
 
-_DRIVERS = """drivers AS (
-  SELECT c_custkey AS Driver_ID, CAST(25 + c_custkey % 36 AS INT) AS Age, n_name AS City,
-         CAST(1 + c_custkey % 20 AS INT) AS Experience_Years,
-         CAST(4.0 + (c_custkey % 11) * 0.1 AS DOUBLE) AS Average_Rating
-  FROM customer JOIN nation ON c_nationkey = n_nationkey)"""
+_DRIVERS = """people AS (
+  SELECT c_custkey AS id, c_nationkey AS n_nationkey FROM customer
+  UNION ALL SELECT s_suppkey + 1000000000, s_nationkey FROM supplier
+), drivers AS (
+  SELECT id AS Driver_ID, CAST(25 + id % 36 AS INT) AS Age, n_name AS City,
+         CAST(1 + id % 20 AS INT) AS Experience_Years,
+         CAST(4.0 + (id % 11) * 0.1 AS DOUBLE) AS Average_Rating
+  FROM people JOIN nation USING (n_nationkey))"""
 
 _RIDES = """rides AS (
   SELECT l_orderkey * 10 + l_linenumber AS Ride_ID, o_custkey AS Driver_ID,
          CAST(o_orderdate AS DATE) AS Date, CAST(l_quantity AS INT) AS Duration_min,
          ROUND(l_extendedprice / 1000, 2) AS Fare
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderpriority = '1-URGENT')"""
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 _ARTICLES = """articles AS (
   SELECT 'doc-' || doc_id AS article_name, source AS city,

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-# The tables' columns. Declared, so that no job looks for them.
+# The tables' columns, declared so that no job looks for them.
 SCHEMAS = {
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
     "c_mktsegment string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
     "o_orderdate timestamp_ntz, o_orderpriority string",
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
@@ -27,27 +28,36 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
+# Suppliers come after all customers: no order names their ids.
+SUPPLIER_IDS = 1_000_000_000
+
+
 def drivers(spark: SparkSession, folder: str) -> DataFrame:
-    """Customers as drivers, their nation as the city."""
-    customer = table(spark, folder, "customer")
-    nation = table(spark, folder, "nation")
-    return customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        F.col("c_custkey").alias("Driver_ID"),
-        (F.lit(25) + F.col("c_custkey") % 36).cast("int").alias("Age"),
+    """Customers as drivers, their nation as the city; suppliers as drivers without rides."""
+    customer = table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("n_nationkey")
+    )
+    supplier = table(spark, folder, "supplier").select(
+        F.col("s_suppkey") + SUPPLIER_IDS, F.col("s_nationkey")
+    )
+    people = customer.unionAll(supplier)
+    return people.join(table(spark, folder, "nation"), "n_nationkey").select(
+        F.col("id").alias("Driver_ID"),
+        (F.lit(25) + F.col("id") % 36).cast("int").alias("Age"),
         F.col("n_name").alias("City"),
-        (F.lit(1) + F.col("c_custkey") % 20).cast("int").alias("Experience_Years"),
-        F.expr("CAST(4.0 + (c_custkey % 11) * 0.1 AS DOUBLE)").alias("Average_Rating"),
+        (F.lit(1) + F.col("id") % 20).cast("int").alias("Experience_Years"),
+        F.expr("CAST(4.0 + (id % 11) * 0.1 AS DOUBLE)").alias("Average_Rating"),
     )
 
 
 def rides(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines of urgent orders as rides of the ordering customer.
+    """All lines of all orders as rides of the ordering customer.
 
     The fare is rounded to cents on the binary value, as DuckDB's ROUND does. Spark's
     ROUND goes by the decimal text, so half cents would come out differently and the
     two engines would start from different rides.
     """
-    orders = table(spark, folder, "orders").where(F.col("o_orderpriority") == "1-URGENT")
+    orders = table(spark, folder, "orders")
     lineitem = table(spark, folder, "lineitem")
     return lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("Ride_ID"),
