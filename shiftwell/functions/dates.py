@@ -5,39 +5,87 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The written forms that are understood, tried in this order.
+# The written forms that are understood, tried in this order. Zones are offsets here:
+# names have become offsets before.
 TIMESTAMP_FORMS = (
     "d MMM yyyy HH:mm:ss xx",
-    "d MMM yyyy HH:mm:ss z",
+    "d MMM yyyy HH:mm:ss VV",
     "d MMM yyyy HH:mm:ss",
     "d MMM yyyy HH:mm xx",
-    "d MMM yyyy HH:mm z",
+    "d MMM yyyy HH:mm VV",
     "d MMM yyyy HH:mm",
     "d MMM yyyy",
+    "d MMM yy HH:mm:ss xx",
+    "d MMM yy HH:mm:ss",
+    "d MMM yy HH:mm xx",
+    "d MMM yy HH:mm",
+    "d MMM yy",
+    "d MMMM yyyy HH:mm:ss xx",
     "d MMMM yyyy HH:mm:ss",
+    "d MMMM yyyy HH:mm xx",
+    "d MMMM yyyy HH:mm",
     "d MMMM yyyy",
-    "MMM d, yyyy HH:mm:ss",
-    "MMM d, yyyy",
-    "MMMM d, yyyy HH:mm:ss",
-    "MMMM d, yyyy",
+    "MMM d yyyy HH:mm:ss xx",
+    "MMM d yyyy HH:mm:ss",
+    "MMM d yyyy HH:mm",
+    "MMM d yyyy h:mm a",
+    "MMM d yyyy h:mm:ss a",
+    "MMM d yyyy",
+    "MMM d HH:mm:ss yyyy",
+    "MMM d HH:mm:ss xx yyyy",
+    "MMMM d yyyy HH:mm:ss xx",
+    "MMMM d yyyy HH:mm:ss",
+    "MMMM d yyyy HH:mm",
+    "MMMM d yyyy h:mm a",
+    "MMMM d yyyy h:mm:ss a",
+    "MMMM d yyyy",
     "yyyy/M/d HH:mm:ss",
     "yyyy/M/d",
     "M/d/yyyy HH:mm:ss",
+    "M/d/yyyy h:mm a",
     "M/d/yyyy",
+    "yyyyMMdd'T'HHmmssxx",
+    "yyyyMMdd'T'HHmmss",
+    "yyyyMMdd",
 )
 
+# The zone names of mail and feed dates, each of one offset all year.
+ZONES = {
+    "UT": "+0000",
+    "UTC": "+0000",
+    "GMT": "+0000",
+    "EST": "-0500",
+    "EDT": "-0400",
+    "CST": "-0600",
+    "CDT": "-0500",
+    "MST": "-0700",
+    "MDT": "-0600",
+    "PST": "-0800",
+    "PDT": "-0700",
+}
+
 _WEEKDAY = r"(?i)^\s*(mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?,?\s+"
 
 
 def free_timestamp(text: Column, forms: tuple[str, ...] = TIMESTAMP_FORMS) -> Column:
     """A timestamp from the first form that fits, or NULL.
 
-    ISO 8601 is tried first; a leading weekday name is ignored. Text without a
-    zone is taken in the session's time zone.
+    ISO 8601 is tried first. A leading weekday, commas and the case of AM and PM make
+    no difference. A zone is an offset, one of the names feeds use, or a place. Text
+    without a zone is taken in the session's time zone; years of two digits are those
+    of this century.
     """
     bare = F.trim(F.regexp_replace(text, _WEEKDAY, ""))
+    plain = F.trim(F.regexp_replace(F.regexp_replace(bare, ",", " "), r"\s+", " "))
+    plain = F.regexp_replace(plain, r"(?i)(?<=\d) ?p\.?m\.?(?![a-z])", " PM")
+    plain = F.regexp_replace(plain, r"(?i)(?<=\d) ?a\.?m\.?(?![a-z])", " AM")
+    plain = F.regexp_replace(plain, r"(?<=\d{6})Z$", "+0000")
+    plain = F.regexp_replace(plain, r"(?i) Z$", " +0000")
+    plain = F.regexp_replace(plain, r"(?<= [+-]\d{2}):(?=\d{2})", "")
+    for name, offset in ZONES.items():
+        plain = F.regexp_replace(plain, rf"(?i)(?<=[\dM]) {name}(?= \d{{4}}$|$)", f" {offset}")
     iso = F.when(bare.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), bare.try_cast("timestamp"))
-    return F.coalesce(iso, *(F.try_to_timestamp(bare, F.lit(form)) for form in forms))
+    return F.coalesce(iso, *(F.try_to_timestamp(plain, F.lit(form)) for form in forms))
 
 
 def iso_text(moment: Column) -> Column:

@@ -71,10 +71,16 @@ def checked(raw: DataFrame, schema: T.StructType, broken: str | None = None) ->
 
 def checked_json(lines: DataFrame, schema: T.StructType, column: str = "value") -> DataFrame:
     """``checked`` for one JSON object per row of text."""
-    fields = F.from_json(F.col(column), "map<string,string>")
-    parsed = lines.select(
+    entries = F.map_entries(F.from_json(F.col(column), "map<string,string>"))
+    names = F.transform(F.col("__entries"), lambda entry: F.lower(entry["key"]))
+    values = F.transform(F.col("__entries"), lambda entry: entry["value"])
+    once = F.size(F.array_distinct(names)) == F.size("__entries")
+    parsed = lines.select(F.col(column), entries.alias("__entries")).select(
         F.col(column),
-        F.transform_keys(fields, lambda name, _: F.lower(name)).alias("__fields"),
+        F.col("__entries").isNotNull().alias("__read"),
+        F.coalesce(once, F.lit(True)).alias("__once"),
+        # A map takes no name twice, so rows that repeat one never become a map.
+        F.when(once, F.map_from_arrays(names, values)).alias("__fields"),
     )
     fields = F.col("__fields")
     given = {
@@ -85,7 +91,8 @@ def checked_json(lines: DataFrame, schema: T.StructType, column: str = "value")
     unknown = F.array_except(F.map_keys(fields), known)
     reported = F.transform(unknown, lambda name: F.concat(name, F.lit(_NO_COLUMN)))
     tests = [
-        F.when(fields.isNull(), "unreadable row"),
+        F.when(~F.col("__read"), "unreadable row"),
+        F.when(~F.col("__once"), "a name is given more than once"),
         F.when(F.size(unknown) > 0, F.concat_ws(_BREAK, reported)),
     ]
     return _judged(parsed, schema, given, tests, F.col(column), readable=fields.isNotNull())

@@ -35,22 +35,31 @@ def append_stream(
 ) -> StreamingQuery:
     """Append JSON lines arriving in ``source`` to ``target``, bad ones to ``rejects``.
 
-    Each batch owns the folder ``batch=<id>`` and writes it as a whole, so a batch
-    repeated after a failure replaces its own rows. With ``id_column``, ids that
-    earlier batches wrote are left out. The default trigger takes what is there
-    and stops; pass ``{"processingTime": "1 minute"}`` to go on. ``files_per_batch``
-    cuts a large backlog into several batches.
+    Each batch owns the folder ``stream=<id>/batch=<number>`` and writes it as a
+    whole, so a batch repeated after a failure replaces its own rows and nothing else:
+    the id is that of the stream's checkpoint, so several streams, and streams begun
+    anew, can feed one target. With ``id_column``, which must be required, ids that
+    earlier batches of any stream wrote are left out. The default trigger takes what is
+    there and stops; pass ``{"processingTime": "1 minute"}`` to go on.
+    ``files_per_batch`` cuts a large backlog into several batches.
     """
+    if id_column is not None and schema[id_column].nullable:
+        raise ValueError("id_column must be a required column")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        rows = checked_json(batch, schema)
-        good = good_rows(rows)
-        if id_column is not None:
-            earlier = _before(session, target, schema, batch_id)
-            good = unknown_rows(good, earlier, id_column)
-        good.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
-        bad_rows(rows, id_column).write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
+        stream = _stream_id(session, checkpoint)
+        folder = f"stream={stream}/batch={batch_id}"
+        rows = checked_json(batch, schema).persist()
+        try:
+            good = good_rows(rows)
+            if id_column is not None:
+                earlier = _before(session, target, schema, stream, batch_id)
+                good = unknown_rows(good, earlier, id_column)
+            good.write.mode("overwrite").parquet(f"{target}/{folder}")
+            bad_rows(rows, id_column).write.mode("overwrite").parquet(f"{rejects}/{folder}")
+        finally:
+            rows.unpersist()
 
     reader = spark.readStream
     if files_per_batch is not None:
@@ -64,8 +73,17 @@ def append_stream(
     )
 
 
-def _before(spark: SparkSession, target: str, schema: T.StructType, batch_id: int) -> DataFrame:
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the stream when its checkpoint was made."""
+    written = spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata")
+    return written.first().id.replace("-", "")
+
+
+def _before(
+    spark: SparkSession, target: str, schema: T.StructType, stream: str, batch_id: int
+) -> DataFrame:
     """Rows of batches other than this one, which may be a repeat."""
-    with_batch = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
-    rows = read_appended(spark, target, with_batch)
-    return rows.where(F.col("batch") != batch_id).select(*schema.names)
+    places = [T.StructField("stream", T.StringType()), T.StructField("batch", T.LongType())]
+    rows = read_appended(spark, target, T.StructType([*schema.fields, *places]))
+    own = (F.col("stream") == stream) & (F.col("batch") == batch_id)
+    return rows.where(~own).select(*schema.names)

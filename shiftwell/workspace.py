@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shiftwell import files
+
 STAGING = "staging"
 MARTS = "marts"
+_INCOMING = "__incoming_"
 
 
 class Workspace:
@@ -46,6 +50,8 @@ class Workspace:
         return self.spark.catalog.tableExists(table)
 
     def read(self, table: str) -> DataFrame:
+        if "." in table:
+            self._recover(table)
         return self.spark.table(table)
 
     def query(self, sql: str) -> DataFrame:
@@ -75,45 +81,86 @@ class Workspace:
     ) -> DataFrame:
         """Replace all rows of a table and return it.
 
-        The rows are first written in full beside the table and then take its
-        name. A failed write leaves the old rows in place, and ``frame`` may
-        read the table it replaces. ``accept`` runs between the two steps; if it
-        raises, the new rows are discarded. Files that the catalog does not know
-        as this table's own are never replaced: that raises before any write.
+        The rows are written in full to a folder of their own, which then becomes the
+        table's place in one step of the catalog: readers see all old rows or all new
+        ones, a load that fails or dies before that step leaves the old rows, and two
+        loads never write to one folder. ``frame`` may read the table it replaces.
+        ``accept`` runs before that step; if it raises, the new rows are discarded.
+        Files that the catalog does not know as this table's own are never replaced:
+        that raises before any write.
+
+        Where the columns change, the table is dropped and the new one takes its
+        name; if the run dies between the two, the next ``replace`` or ``read`` puts
+        the complete new table in its place.
         """
         if schema is not None:
             frame = conform(frame, schema)
+        self._recover(table)
         if not self.exists(table):
             self.create(table, frame.schema)
-            self.spark.sql(f"DROP TABLE {table}")
         elif self.spark.catalog.getTable(table).tableType != "MANAGED":
             raise ValueError(f"{table} is not a managed table")
-        incoming = f"{table}__incoming"
-        self.spark.sql(f"DROP TABLE IF EXISTS {incoming}")
-        frame.write.format("parquet").saveAsTable(incoming)
+        database, name = table.rsplit(".", 1)
+        run = uuid.uuid4().hex
+        root = self.spark.catalog.getDatabase(database).locationUri.rstrip("/")
+        folder = f"{root}/{name}__rows_{run}"
         try:
+            frame.write.parquet(folder)
             if accept is not None:
                 accept()
         except Exception:
-            self.spark.sql(f"DROP TABLE {incoming}")
+            files.remove(self.spark, folder)
             raise
-        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
-        self.spark.sql(f"ALTER TABLE {incoming} RENAME TO {table}")
+        old = self._location(table)
+        if _columns(self.read(table).schema) == _columns(frame.schema):
+            self.spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+            files.remove(self.spark, old)
+        else:
+            incoming = f"{table}{_INCOMING}{run}"
+            self.create(incoming, frame.schema)
+            empty = self._location(incoming)
+            self.spark.sql(f"ALTER TABLE {incoming} SET LOCATION '{folder}'")
+            files.remove(self.spark, empty)
+            self.spark.sql(f"DROP TABLE {table}")
+            self.spark.sql(f"ALTER TABLE {incoming} RENAME TO {table}")
+        self.spark.catalog.refreshTable(table)
         return self.read(table)
 
+    def _recover(self, table: str) -> None:
+        """Give a table that a dead run dropped the rows that run had ready for it."""
+        if self.exists(table):
+            return
+        database, name = table.rsplit(".", 1)
+        if not self.spark.catalog.databaseExists(database):
+            return
+        pattern = f"{name}{_INCOMING}*"
+        ready = [t.name for t in self.spark.catalog.listTables(database, pattern)]
+        if ready:
+            self.spark.sql(f"ALTER TABLE {database}.{ready[0]} RENAME TO {table}")
+
+    def _location(self, table: str) -> str:
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
+        return rows.first().data_type
+
     def view(self, name: str, query: str | DataFrame) -> DataFrame:
         """Create or replace a view over a query text or a frame.
 
-        A query text becomes a view of the catalog, a frame one of the session.
-        Failures are raised.
+        A query text becomes a view of the catalog, a frame one of the session, which
+        belongs to no database: its name must be a bare one. Failures are raised.
         """
         if isinstance(query, DataFrame):
+            if "." in name:
+                raise ValueError(f"a view over a frame has no database: {name}")
             query.createOrReplaceTempView(name)
         else:
             self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query.strip().rstrip(';')}")
         return self.spark.table(name)
 
 
+def _columns(schema: T.StructType) -> list[tuple[str, str]]:
+    return [(field.name, field.dataType.simpleString()) for field in schema]
+
+
 def conform(frame: DataFrame, schema: T.StructType) -> DataFrame:
     """Pick and cast the columns of ``schema``; names match in any case."""
     return frame.select(

@@ -12,9 +12,9 @@ from shiftwell.sources.tables import append_literals, append_rows, rows_frame, u
 
 HEADER = "Driver_ID,Name,Age,City,Experience_Years,Average_Rating,Active_Status"
 GOOD = [
-    "101,Ann Lee,56,Miami,15,4.8,Active",
-    "102,Bo Li,39,Chicago,19,5,Inactive",
-    '103,"Cruz, Di",,,,,',
+    "7001,Mira Holt,33,Osterby,4,4.25,Active",
+    "7002,Jon Aske,61,Lund,27,3,Inactive",
+    '7003,"Berg, Ida",,,,,',
 ]
 ARTICLE = {
     "article_name": "One",
@@ -40,9 +40,9 @@ def test_csv_is_loaded_with_declared_types(workspace, tmp_path):
     found = workspace.read(table)
     assert [f.dataType for f in found.schema] == [f.dataType for f in DRIVERS]
     assert rows(found) == [
-        (101, "Ann Lee", 56, "Miami", 15, 4.8, "Active"),
-        (102, "Bo Li", 39, "Chicago", 19, 5.0, "Inactive"),
-        (103, "Cruz, Di", None, None, None, None, None),
+        (7001, "Mira Holt", 33, "Osterby", 4, 4.25, "Active"),
+        (7002, "Jon Aske", 61, "Lund", 27, 3.0, "Inactive"),
+        (7003, "Berg, Ida", None, None, None, None, None),
     ]
 
 
@@ -77,7 +77,7 @@ def test_a_bad_row_fails_the_load_and_keeps_the_table(workspace, tmp_path):
         with pytest.raises(RejectedRows, match="1 bad rows"):
             upload_csv(workspace, csv(tmp_path / f"bad{i}", [*GOOD, line]), DRIVERS, table)
     assert workspace.read(table).count() == 3
-    assert not workspace.exists(f"{table}__incoming")
+    assert len(workspace.spark.catalog.listTables(workspace.staging)) == 1
 
 
 def test_quarantine_loads_the_rest(workspace, tmp_path):
@@ -281,3 +281,56 @@ def test_views_are_replaced_and_failures_raised(spark, workspace):
     with pytest.raises(AnalysisException):
         workspace.view(view, "SELECT id FROM nowhere_at_all")
     assert workspace.view("few_of_session", spark.range(1)).count() == 1
+    with pytest.raises(ValueError, match="no database"):
+        workspace.view(workspace.mart("few_frame"), spark.range(1))
+
+
+def test_replace_is_one_step_of_the_catalog(spark, workspace, monkeypatch):
+    """Whatever step of a load dies, a reader finds all old or all new rows."""
+    table = workspace.staged("numbers")
+    workspace.replace(table, spark.range(3))
+    run = spark.sql
+    for died_at in ("SET LOCATION", "DROP TABLE", "RENAME TO"):
+        for new in (spark.range(5), spark.range(5).withColumn("more", F.lit(1))):
+
+            def dying(statement, died_at=died_at):
+                if died_at in statement:
+                    raise KeyboardInterrupt
+                return run(statement)
+
+            monkeypatch.setattr(type(spark), "sql", lambda self, text, f=dying: f(text))
+            try:
+                workspace.replace(table, new)
+            except KeyboardInterrupt:
+                pass
+            monkeypatch.setattr(type(spark), "sql", lambda self, text: run(text))
+            assert workspace.read(table).count() in (3, 5)
+            workspace.replace(table, spark.range(3))
+            assert workspace.read(table).count() == 3
+
+
+def test_replace_leaves_no_folders(spark, workspace, tmp_path):
+    table = workspace.staged("numbers")
+    for n in (3, 4, 5):
+        workspace.replace(table, spark.range(n))
+    workspace.replace(table, spark.range(6).selectExpr("id", "id AS twin"))
+    assert workspace.read(table).count() == 6
+    assert len(list((tmp_path / "tables" / workspace.staging).iterdir())) == 1
+
+
+def test_json_row_that_repeats_a_name_is_one_bad_row(spark, workspace):
+    lines = [
+        '{"article_name":"One","published":"2025-06-11","content":"Text"}',
+        '{"Article_name":"Two","article_name":"Two","content":"Text"}',
+        '{"content":"a","content":"b","article_name":"Three"}',
+        "no json",
+        "{}",
+    ]
+    frame = spark.createDataFrame([(line,) for line in lines], "value string")
+    table = workspace.staged("news")
+    report = append_rows(workspace, table, ARTICLES, frame, "article_name", json_lines=True)
+    assert (report.loaded, report.rejected) == (1, 4)
+    found = {row.raw_row: row.row_errors for row in report.rejects.collect()}
+    assert found[lines[1]] == found[lines[2]] == ["a name is given more than once"]
+    assert found["no json"] == ["unreadable row"]
+    assert found["{}"] == ["article_name: required", "content: required"]

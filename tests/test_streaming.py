@@ -1,8 +1,9 @@
 import json
 
+import pytest
 from conftest import rows
 
-from shiftwell.schemas import ARTICLES
+from shiftwell.schemas import ARTICLES, RIDES
 from shiftwell.streaming.append import append_stream, read_appended
 
 ARTICLE = {"article_name": "One", "published": "2025-06-11", "content": "Text"}
@@ -51,8 +52,31 @@ def test_a_backlog_in_several_batches(spark, tmp_path):
         drop(tmp_path / "in", f"{name}.json", ARTICLE | {"article_name": name})
     found = run(spark, tmp_path, files_per_batch=1, id_column="article_name")
     assert found.count() == 3
-    assert len(list((tmp_path / "target").glob("batch=*"))) == 3
+    assert len(list((tmp_path / "target").glob("stream=*/batch=*"))) == 3
 
 
 def test_nothing_appended_yet(spark, tmp_path):
     assert read_appended(spark, str(tmp_path / "none"), ARTICLES).count() == 0
+
+
+def test_two_streams_feed_one_target(spark, tmp_path):
+    for source in ("first", "second"):
+        bad = ARTICLE | {"published": "never"}
+        drop(tmp_path / source, "a.json", ARTICLE | {"article_name": source}, bad)
+        append_stream(
+            spark,
+            str(tmp_path / source),
+            ARTICLES,
+            str(tmp_path / "target"),
+            str(tmp_path / "rejects"),
+            str(tmp_path / f"checkpoint-{source}"),
+        ).awaitTermination()
+    found = read_appended(spark, str(tmp_path / "target"), ARTICLES)
+    assert [row[0] for row in rows(found.select("article_name"))] == ["first", "second"]
+    assert spark.read.parquet(str(tmp_path / "rejects")).count() == 2
+
+
+def test_ids_that_may_be_missing_are_refused(spark, tmp_path):
+    paths = [str(tmp_path / part) for part in ("in", "target", "rejects", "checkpoint")]
+    with pytest.raises(ValueError, match="required"):
+        append_stream(spark, paths[0], RIDES, *paths[1:], id_column="Driver_ID")
