@@ -25,6 +25,13 @@ def groups(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[pa.RecordBatc
         yield joined(held)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Batches cut to a few rows, so that few become Python objects at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
     if len(parts) == 1:
         return parts[0]

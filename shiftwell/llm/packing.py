@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shiftwell.llm.groups import slices
 from shiftwell.llm.tables import written
 from shiftwell.llm.workers import kept
 
@@ -25,9 +26,11 @@ MOST_PARTITIONS = 50_000
 QUERY_TERMS = 32
 K1 = 1.2
 B = 0.75
-WORKER_ENTRIES = 600_000
+WORKER_ENTRIES = 400_000
 
-LETTERS = re.compile("[a-z]+")
+# Letters that have one form and one small letter each, then signs that end the word
+# for the tokenizer; an apostrophe may begin an ending and is not among them.
+WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@[-`{-~]*)")
 # Fixed value: how special tokens begin; the tokenizer finds them anywhere in a text.
 SPECIAL = "<|"
 
@@ -36,28 +39,36 @@ class ChunkIds(dict):
     """Ids of the parts of texts between spaces, as bytes; unknown ones are encoded.
 
     The tokenizer drops white space and no token reaches over it, so a text's ids are
-    those of its parts in turn. Ids fit two bytes.
+    those of its parts in turn. Nor does one reach from letters to signs. Ids fit two
+    bytes.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = False
         self.model = self.tokenizer.model
+        # How the tokenizer writes the bytes of the letters that WORD knows.
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        latin = (chr(code) for code in range(0xDF, 0x100))
+        self.written = {ord(c): level.pre_tokenize_str(c)[0][0] for c in latin}
         self[""] = b""
 
     def encode(self, chunk: str) -> bytes:
-        # Of ASCII letters the normal form is the small letter, and the word is whole.
-        small = chunk.lower() if chunk.isascii() else chunk
-        if LETTERS.fullmatch(small):
-            ids = [token.id for token in self.model.tokenize(small)]
-        elif small[-1] in ",." and LETTERS.fullmatch(small, 0, len(small) - 1):
-            return self[small[:-1]] + self[small[-1]]
-        else:
+        parts = WORD.fullmatch(chunk)
+        if parts is None:
             ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u2").tobytes()
+        else:
+            letters, signs = parts.groups()
+            if signs or not letters.islower():
+                return self[letters.lower()] + self[signs]
+            # The chunk is its own normal form and one word: only merges are left.
+            if not letters.isascii():
+                letters = letters.translate(self.written)
+            ids = [token.id for token in self.model.tokenize(letters)]
+        return struct.pack(f"<{len(ids)}H", *ids)
 
     def __missing__(self, chunk: str) -> bytes:
         ids = self.encode(chunk)
@@ -81,16 +92,22 @@ def text_ids(text: str, chunks: ChunkIds) -> bytes:
 def tokenized(
     documents: DataFrame, path: str, end_id: int = END_ID, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """key and ``ids``: each text's ids, two bytes each, and the end id."""
+    """key, ``ids`` and ``lexical``: each text's ids, two bytes each, and the end id."""
     end = np.array([end_id], dtype="<u2").tobytes()
+    kind = documents.schema[key].dataType.simpleString()
 
-    @F.pandas_udf("binary")
-    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks = kept(("chunk ids", path), lambda: ChunkIds(path))
-        for batch in batches:
-            yield pd.Series([text_ids(t, chunks) + end for t in batch], dtype=object)
+        for rows in slices(batches):
+            ids = [text_ids(t, chunks) + end for t in rows["text"].to_pylist()]
+            lexical = pa.array([lexical_key(one) for one in ids], type=pa.int64())
+            columns = [rows["key"], pa.array(ids, type=pa.binary()), lexical]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "ids", "lexical"])
 
-    return documents.select(F.col(key), ids(F.coalesce(F.col(text), F.lit(""))).alias("ids"))
+    whole = F.coalesce(F.col(text), F.lit("")).alias("text")
+    rows = documents.select(F.col(key).alias("key"), whole)
+    rows = rows.mapInArrow(encode, f"key {kind}, ids binary, lexical bigint")
+    return rows.withColumnRenamed("key", key)
 
 
 class Bm25:
@@ -218,13 +235,7 @@ def packed(
     """
     spark = documents.sparkSession
     kind = documents.schema[key].dataType.simpleString()
-    rows = tokenized(documents, path, end_id, key, text)
-
-    @F.pandas_udf("bigint")
-    def lexical(column: pd.Series) -> pd.Series:
-        return pd.Series([lexical_key(ids) for ids in column], dtype="int64")
-
-    rows = written(rows.withColumn("lexical", lexical("ids")), "token-ids")
+    rows = written(tokenized(documents, path, end_id, key, text), "token-ids")
     tokens = rows.agg(F.sum(F.expr("length(ids) div 2")).alias("tokens")).first().tokens or 0
     parts = min(max(1, -(-tokens // PARTITION_TOKENS)), MOST_PARTITIONS)
     turn = F.xxhash64(key, "ids")
@@ -239,7 +250,7 @@ def packed(
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(window, TaskContext.get().partitionId() << 40)
-        for batch in batches:
+        for batch in slices(batches):
             for rows in packer.add(batch[key].to_pylist(), batch["ids"].to_pylist()):
                 yield as_batch(rows)
         for rows in packer.finish():
