@@ -22,6 +22,7 @@ from shiftwell.plans import articles as articles_plan
 from shiftwell.plans import drivers as drivers_plan
 from shiftwell.plans import embeddings as embeddings_plan
 from shiftwell.plans import stress as stress_plan
+from shiftwell.plans.run import Models, run_all
 from shiftwell.schemas import ARTICLES, DRIVERS, RIDES
 from shiftwell.session import scratch_path
 from shiftwell.sources import feeds, shipped, tables
@@ -31,7 +32,7 @@ from shiftwell.workspace import Workspace
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# Fragments that occur in the invented prose of the documents.
+# Fragments that occur in the invented prose of the documents.
 TERMS = {
     "financial_pressure": ("tion", "ent", "eaux"),
     "unsafe_conditions": ("ing", "ung", "sch"),
@@ -52,9 +53,10 @@ def _register(query: Query) -> Query:
 
 
 def _core(spark: SparkSession, folder: str) -> DataFrame:
-    return drivers_plan.drivers_metrics_core_unique(
-        shipped.drivers(spark, folder), shipped.rides(spark, folder)
-    )
+    drivers, rides = shipped.drivers(spark, folder), shipped.rides(spark, folder)
+    if drivers_plan.has_unique_ids(drivers):
+        return drivers_plan.drivers_metrics_core_unique(drivers, rides)
+    return drivers_plan.drivers_metrics_core(drivers, rides)
 
 
 def _reason_model() -> M.ColumnModel:
@@ -170,7 +172,7 @@ def _lexicon_batch_models() -> dict[str, M.BatchModel]:
 def articles_metrics_batch(spark: SparkSession, folder: str) -> DataFrame:
     """The flags by models that are called from tasks, once per distinct article."""
     articles = shipped.articles(spark, folder)
-    return articles_plan.articles_metrics(articles, _lexicon_batch_models())
+    return articles_plan.articles_metrics(articles, _lexicon_batch_models(), reread=True)
 
 
 @_register
@@ -178,7 +180,8 @@ def model_results_struct(spark: SparkSession, folder: str) -> DataFrame:
     """Whole answers of one question, as flat columns."""
     flag = "financial_pressure"
     articles = shipped.articles(spark, folder)
-    answered = articles_plan.articles_metrics(articles, _lexicon_batch_models(), structs=True)
+    models = {flag: _lexicon_batch_models()[flag]}
+    answered = articles_plan.articles_metrics(articles, models, structs=True, reread=True)
     parts = [f"{flag}.{part}" for part in ("result", "full_response", "status")]
     return answered.select("article_name", *parts)
 
@@ -198,6 +201,22 @@ def drivers_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return _metrics(spark, folder).withColumn("stress_score", F.round("stress_score", 6))
 
 
+def _score_client() -> Client:
+    return lambda prompts: [str(len(prompt) % 101 / 100) for prompt in prompts]
+
+
+def _reason_client() -> Client:
+    return lambda prompts: [f"Asked in {len(prompt)} signs." for prompt in prompts]
+
+
+@_register
+def drivers_metrics_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """Score and reason by models that are called from tasks."""
+    score = M.BatchModel("prompt-length-score", _score_client)
+    reason = M.BatchModel("prompt-length-reason", _reason_client)
+    return stress_plan.drivers_metrics(_core(spark, folder), score, reason)
+
+
 @_register
 def driver_reason_tags(spark: SparkSession, folder: str) -> DataFrame:
     return _tags(spark, folder)
@@ -296,6 +315,17 @@ def driver_reason_embeddings_batch(spark: SparkSession, folder: str) -> DataFram
     return _unfolded(vectors, ["driver_ID", "stress_report_tags"])
 
 
+@_register
+def driver_reason_embeddings_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """The embeddings asked, kept, and given by the store to a second run."""
+    store = AnswerStore(scratch_path(spark, "vectors"))
+    model = M.BatchModel("hash", _hash_client(TAG_DIM))
+    tags = _written(spark, _tags(spark, folder))
+    embeddings_plan.driver_reason_embeddings(tags, model, store=store)
+    vectors = embeddings_plan.driver_reason_embeddings(tags, model, store=store)
+    return _unfolded(vectors, ["driver_ID", "stress_report_tags"])
+
+
 @_register
 def article_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     """Whole article texts embedded by column expression."""
@@ -371,10 +401,66 @@ def append_articles_twice(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @_register
-def upload_drivers_csv(spark: SparkSession, folder: str) -> DataFrame:
-    """Drivers as CSV files, loaded with the declared schema."""
+def load_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """What a load reports: rows loaded and rejected."""
+    workspace = _workspace(spark)
+    table = workspace.staged("news_content_usa")
+    report = tables.append_rows(
+        workspace, table, ARTICLES, _raw_articles(spark, folder), "article_name"
+    )
+    return spark.createDataFrame(
+        [(report.loaded, report.rejected)], "loaded bigint, rejected bigint"
+    )
+
+
+@_register
+def append_json_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """JSON lines of which some repeat a name: bad rows of their own, not a dead load."""
+    documents = shipped.table(spark, folder, "documents")
+    again = F.when(F.col("lang") == "fr", ',"Content":"again"').otherwise("")
+    line = F.concat(F.lit('{"article_name":"doc-'), "doc_id", F.lit('","content":"text"'), again)
+    lines = documents.select(F.concat(line, F.lit("}")).alias("value"))
+    workspace = _workspace(spark)
+    table = workspace.staged("news_content_usa")
+    report = tables.append_rows(
+        workspace, table, ARTICLES, lines, "article_name", json_lines=True
+    )
+    loaded = workspace.read(table).select("article_name", F.lit(None).cast("string").alias("errors"))
+    name = F.get_json_object("raw_row", "$.article_name").alias("article_name")
+    return loaded.unionAll(report.rejects.select(name, F.concat_ws("; ", checks.ERRORS)))
+
+
+# Literal articles about documents that every scale factor has.
+LITERALS = [
+    {"article_name": "doc-1", "city": "Oslo", "published": "2025-06-11", "content": "First text"},
+    {"article_name": "doc-2", "published": "2025-06-12", "content": "Second text"},
+    {"article_name": "doc-3", "city": "Rome", "published": "2025-06-31", "content": "No such day"},
+    {"article_name": "doc-4", "city": "Bonn", "published": "2025-07-01"},
+    {"article_name": "doc-5", "city": "Kyiv", "published": "2025-07-02", "content": "Last text"},
+]
+
+
+@_register
+def literal_articles(spark: SparkSession, folder: str) -> DataFrame:
+    """Literal rows in a table, joined to the documents they are about."""
+    workspace = _workspace(spark)
+    table = workspace.staged("news_content_usa")
+    tables.append_literals(workspace, table, ARTICLES, LITERALS, "article_name")
+    documents = shipped.table(spark, folder, "documents")
+    named = documents.select(
+        F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("article_name"), "n_chars"
+    )
+    return named.join(workspace.read(table), "article_name")
+
+
+def _csv_files(spark: SparkSession, rows: DataFrame) -> str:
     path = scratch_path(spark, "csv")
-    named = shipped.drivers(spark, folder).select(
+    rows.write.option("header", True).csv(path)
+    return path
+
+
+def _named_drivers(spark: SparkSession, folder: str) -> DataFrame:
+    return shipped.drivers(spark, folder).select(
         "Driver_ID",
         F.concat(F.lit("Driver, "), F.col("Driver_ID")).alias("Name"),
         "Age",
@@ -383,18 +469,20 @@ def upload_drivers_csv(spark: SparkSession, folder: str) -> DataFrame:
         "Average_Rating",
         F.when(F.col("Age") > 40, "Active").alias("Active_Status"),
     )
-    named.write.option("header", True).csv(path)
+
+
+@_register
+def upload_drivers_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """Drivers as CSV files, loaded with the declared schema."""
+    path = _csv_files(spark, _named_drivers(spark, folder))
     workspace = _workspace(spark)
     table = workspace.staged("drivers_data")
     tables.upload_csv(workspace, path, DRIVERS, table)
     return workspace.read(table)
 
 
-@_register
-def replace_rides(spark: SparkSession, folder: str) -> DataFrame:
-    """A frame written as a table under its declared schema."""
-    workspace = _workspace(spark)
-    rides = shipped.rides(spark, folder).select(
+def _whole_rides(spark: SparkSession, folder: str) -> DataFrame:
+    return shipped.rides(spark, folder).select(
         "Ride_ID",
         "Driver_ID",
         F.lit(None).cast("string").alias("City"),
@@ -405,7 +493,33 @@ def replace_rides(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(None).cast("double").alias("Rating"),
         F.lit(None).cast("string").alias("Promo_Code"),
     )
-    return workspace.replace(workspace.staged("rides_data"), rides, RIDES)
+
+
+@_register
+def replace_rides(spark: SparkSession, folder: str) -> DataFrame:
+    """A frame written as a table under its declared schema."""
+    workspace = _workspace(spark)
+    return workspace.replace(
+        workspace.staged("rides_data"), _whole_rides(spark, folder), RIDES
+    )
+
+
+@_register
+def run_all_tags(spark: SparkSession, folder: str) -> DataFrame:
+    """Keywords and flags after the whole run, from files to marts, made twice."""
+    workspace = _workspace(spark)
+    drivers = _csv_files(spark, _named_drivers(spark, folder))
+    rides = _csv_files(spark, _whole_rides(spark, folder))
+    flags = {flag: M.lexicon_bool(terms, MIN_HITS) for flag, terms in TERMS.items()}
+    models = Models(reason=_reason_model(), articles=flags)
+    for _ in range(2):
+        marts = run_all(workspace, drivers, rides, shipped.articles(spark, folder), models)
+    tags = marts["drivers_reason_tags"]
+    said = F.concat_ws(" ", *(F.col(flag).cast("string") for flag in TERMS))
+    answers = marts["articles_metrics"].select("article_name", said)
+    return tags.select(F.col("driver_ID").cast("string").alias("name"), "stress_report_tags").unionAll(
+        answers
+    )
 
 
 @_register
@@ -436,8 +550,16 @@ def stream_append(spark: SparkSession, folder: str) -> DataFrame:
     source, target, rejects, checkpoint = (
         scratch_path(spark, f"stream-{part}") for part in ("in", "out", "rejects", "checkpoint")
     )
-    events = shipped.table(spark, folder, "events")
-    lines = events.select(
+    _ride_lines(shipped.table(spark, folder, "events")).write.text(source)
+    streaming.append_stream(spark, source, RIDES, target, rejects, checkpoint).awaitTermination()
+    return streaming.read_appended(spark, target, RIDES).select(
+        "Ride_ID", "Driver_ID", "Date", "Fare"
+    )
+
+
+def _ride_lines(events: DataFrame) -> DataFrame:
+    """Events as JSON lines of rides; errors have no readable driver."""
+    return events.select(
         F.to_json(
             F.struct(
                 F.col("event_id").alias("Ride_ID"),
@@ -449,32 +571,63 @@ def stream_append(spark: SparkSession, folder: str) -> DataFrame:
             )
         ).alias("value")
     )
-    lines.write.text(source)
-    streaming.append_stream(spark, source, RIDES, target, rejects, checkpoint).awaitTermination()
-    return streaming.read_appended(spark, target, RIDES).select(
-        "Ride_ID", "Driver_ID", "Date", "Fare"
+
+
+@_register
+def stream_append_two_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """Two streams into one target: all rows of both, good and bad."""
+    target, rejects = (scratch_path(spark, f"stream-{part}") for part in ("out", "rejects"))
+    events = shipped.table(spark, folder, "events")
+    for part in range(2):
+        source, checkpoint = (scratch_path(spark, f"stream-{p}") for p in ("in", "checkpoint"))
+        _ride_lines(events.where(F.col("event_id") % 2 == part)).write.text(source)
+        streaming.append_stream(
+            spark, source, RIDES, target, rejects, checkpoint
+        ).awaitTermination()
+    good = streaming.read_appended(spark, target, RIDES)
+    bad = spark.read.parquet(rejects)
+    ride = F.get_json_object("raw_row", "$.Ride_ID").cast("bigint")
+    return good.select("Ride_ID", F.lit("").alias("errors")).unionAll(
+        bad.select(ride, F.concat_ws("; ", checks.ERRORS))
     )
 
 
-def _feed_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents as items of RSS files, read back: some without a link or a date."""
+# Ways to write one moment, the undated documents' aside.
+MOMENTS = (
+    "Tue, 10 Jun 2025 08:00:00 +0200",
+    "Tue, 10 Jun 25 06:00:00 GMT",
+    "10 June 2025 01:00:00 EST",
+    "Jun 10, 2025 6:00 AM",
+    "20250610T060000Z",
+    "Tue Jun 10 06:00:00 2025",
+)
+
+
+def _feed_path(spark: SparkSession, folder: str) -> str:
+    """Documents as items of RSS files: some without a link or a date."""
     path = scratch_path(spark, "feed")
     documents = shipped.table(spark, folder, "documents")
 
     # Characters XML has no place for become spaces, as in the oracle.
     text = F.regexp_replace("text", XML_UNFIT, " ")
+    moments = F.array(*map(F.lit, MOMENTS))
     items = documents.select(
         F.concat(F.lit("doc-"), F.col("doc_id")).alias("title"),
         F.when(
             F.col("n_chars") >= 100, F.concat(F.lit("http://example.test/"), F.col("doc_id"))
         ).alias("link"),
         F.when(F.col("lang") == "fr", "soon")
-        .otherwise("Tue, 10 Jun 2025 08:00:00 +0200")
+        .otherwise(F.get(moments, (F.col("doc_id") % len(MOMENTS)).cast("int")))
         .alias("pubDate"),
         text.alias("description"),
     )
     items.write.format("xml").option("rootTag", "channel").option("rowTag", "item").save(path)
-    return feeds.checked_items(feeds.read_feed(spark, path))
+    return path
+
+
+def _feed_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The items of the files, checked."""
+    return feeds.checked_items(feeds.read_feed(spark, _feed_path(spark, folder)))
 
 
 @_register
@@ -487,3 +640,14 @@ def feed_items(spark: SparkSession, folder: str) -> DataFrame:
 def feed_rejects(spark: SparkSession, folder: str) -> DataFrame:
     rejected = checks.bad_rows(_feed_files(spark, folder), "title")
     return rejected.select("title", F.concat_ws("; ", checks.ERRORS).alias("errors"))
+
+
+@_register
+def feed_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The items in a table, loaded twice, known links left out."""
+    workspace = _workspace(spark)
+    path = _feed_path(spark, folder)
+    table = workspace.staged("gig_workers_news")
+    for _ in range(2):
+        feeds.load_feed(workspace, path, table, skip_known=True)
+    return feeds.with_iso_dates(workspace.read(table))

@@ -85,6 +85,7 @@ _METRICS = (
     "stddev_fare",
 )
 
+# The worked example, driver and score.
 STRESS_SCORE = Prompt(
     "Rate how stressed a driver is, as one number between 0 (calm) and 1 (very stressed).\n"
     "For instance, take a driver of age 44 in Los Angeles who has driven for 11 years, is rated "

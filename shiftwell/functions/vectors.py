@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+import re
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 TOKEN = r"[\p{L}\p{N}]+"
+# The same for this language: letters and numbers, without the underscore.
+WORD = re.compile(r"[^\W_]+")
+MOST_WORDS = 1 << 19
 
 
 def dense_vector(array: Column) -> Column:
@@ -21,49 +28,41 @@ def has_vector(array: Column) -> Column:
     return F.coalesce(F.size(array) > 0, F.lit(False))
 
 
-def _with(value: Column, then: Callable[[Column], Column]) -> Column:
-    """``then(value)`` with ``value`` evaluated once."""
-    return F.transform(F.array(value), then)[0]
+class Buckets(dict):
+    """For each word a number below ``dim`` from its md5, worked out once."""
 
+    def __init__(self, dim: int) -> None:
+        super().__init__()
+        self.dim = dim
 
-def word_buckets(text: Column, dim: int) -> Column:
-    """For each word of the text, a number below ``dim`` from the word's md5."""
-    words = F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
-
-    def bucket(word: Column) -> Column:
-        digits = F.conv(F.substring(F.md5(word), 1, 8), 16, 10)
-        return (digits.cast("bigint") % dim).cast("int")
-
-    return F.transform(words, bucket)
+    def __missing__(self, word: str) -> int:
+        bucket = int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % self.dim
+        if len(self) >= MOST_WORDS:
+            self.clear()
+        self[word] = bucket
+        return bucket
 
 
 def hash_embedding(text: Column, dim: int = 64) -> Column:
     """Word counts hashed to ``dim`` places, scaled to length 1.
 
-    A text without words gives zeros, NULL gives NULL. The buckets are sorted
-    behind one marker for each place, so each count is the distance between two
-    markers: work stays linear in the words for every place.
+    A text without words gives zeros, NULL gives NULL. Each task hashes a word once,
+    up to a bound, and counts the places of a text in one pass.
     """
-    markers = F.sequence(F.lit(0), F.lit(dim))
-    ranked = F.sort_array(F.concat(word_buckets(text, dim), markers))
-
-    def counts(sorted_buckets: Column) -> Column:
-        starts = F.transform(markers, lambda place: F.array_position(sorted_buckets, place))
-        return _with(
-            starts,
-            lambda s: F.transform(
-                F.sequence(F.lit(1), F.lit(dim)),
-                lambda i: (F.get(s, i) - F.get(s, i - 1) - 1).cast("double"),
-            ),
-        )
-
-    def scaled(values: Column) -> Column:
-        squares = F.aggregate(values, F.lit(0.0), lambda total, v: total + v * v)
-        return _with(
-            F.sqrt(squares),
-            lambda length: F.transform(
-                values, lambda v: F.when(length > 0, v / length).otherwise(F.lit(0.0))
-            ),
-        )
-
-    return F.when(text.isNotNull(), _with(_with(ranked, counts), scaled))
+
+    @F.pandas_udf("array<double>")
+    def embedded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        buckets = Buckets(dim)
+        for texts in batches:
+            vectors: list[np.ndarray | None] = []
+            for value in texts:
+                if value is None:
+                    vectors.append(None)
+                    continue
+                places = [buckets[word] for word in WORD.findall(value)]
+                counts = np.bincount(np.array(places, dtype=int), minlength=dim).astype(float)
+                length = np.sqrt(counts @ counts)
+                vectors.append(counts / length if length else counts)
+            yield pd.Series(vectors, dtype=object)
+
+    return embedded(F.lower(text))

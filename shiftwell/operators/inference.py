@@ -30,7 +30,7 @@ from shiftwell.operators.calls import OK, model_task
 from shiftwell.operators.models import BatchModel, ColumnModel, Model
 from shiftwell.session import scratch_path
 
-# The kinds of result and their Spark types.
+# The kinds of result and their Spark types.
 KINDS = {"bool": "boolean", "double": "double", "string": "string"}
 
 NULL_PROMPT = "null prompt"
@@ -38,6 +38,7 @@ NO_ANSWER = "no answer"
 UNREADABLE = "unreadable answer"
 BROADCAST_BYTES = 8 * 1024 * 1024
 _KEY = "__prompt_key"
+_HAS_KEY = "__prompt_asked"
 
 
 @dataclass(frozen=True)
@@ -79,16 +80,24 @@ def generate(
     questions: Sequence[Question],
     store: AnswerStore | None = None,
     tasks: int | None = None,
+    reread: bool = False,
 ) -> DataFrame:
     """Add a struct(result, full_response, status) column for each question.
 
     A NULL prompt gives a NULL result with status ``null prompt`` and no call.
     Batch models are called here, in ``tasks`` tasks; column models are part of the
     returned plan. With a store only prompts it does not know are asked, and later
-    runs reuse the answers. ``rows`` are read twice for batch models, so let them
-    come from a table, and keep only columns needed later: they travel through the
-    join.
+    runs reuse the answers; there a model is known by its name, so models that differ
+    must not share one. ``rows`` are read several times for batch models and are
+    written to the scratch folder first, unless ``reread`` says that they come from a
+    table as they are. Keep only columns needed later: they travel through the join.
     """
+    by_name: dict[str, Model] = {}
+    for question in questions:
+        if by_name.setdefault(question.model.name, question.model) != question.model:
+            raise ValueError(f"two models are named {question.model.name}")
+    if not reread and any(isinstance(q.model, BatchModel) for q in questions):
+        rows = _written(rows)
     out = _by_columns(rows, [q for q in questions if isinstance(q.model, ColumnModel)])
     batch = [q for q in questions if isinstance(q.model, BatchModel)]
     if batch and store is not None:
@@ -136,12 +145,25 @@ def _tasks(rows: DataFrame, tasks: int | None) -> int:
     return tasks or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _ask(asked: DataFrame, models: Sequence[BatchModel], answer: str, tasks: int) -> DataFrame:
-    """(key, p0, ..) to (key, a0, s0, ..) with one call per row and model."""
+def _written(rows: DataFrame) -> DataFrame:
+    """The rows as a table, so that nothing below them is computed again."""
+    path = scratch_path(rows.sparkSession, "rows")
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def _ask(
+    asked: DataFrame, models: Sequence[BatchModel], prompts: Sequence[Column], answer: str, tasks: int
+) -> DataFrame:
+    """(key, inputs) to (key, a0, s0, ..) with one call per row and model.
+
+    Prompts are made behind the exchange, which carries each input once. Spark bounds
+    the bytes of the batches that tasks get.
+    """
     fields = ", ".join(f"a{i} {answer}, s{i} string" for i in range(len(models)))
-    return asked.repartition(tasks, "key").mapInPandas(
-        model_task(list(models)), f"key string, {fields}"
-    )
+    dealt = asked.repartition(tasks, "key")
+    rendered = dealt.select("key", *(prompt.alias(f"p{i}") for i, prompt in enumerate(prompts)))
+    return rendered.mapInPandas(model_task(list(models)), f"key string, {fields}")
 
 
 def _kept(answers: DataFrame) -> DataFrame:
@@ -172,22 +194,29 @@ def _by_batch(
         rows.select([column.alias(name) for (_, column), name in zip(inputs, names, strict=True)])
         .where(reduce(Column.__and__, (F.col(name).isNotNull() for name in names)))
         .distinct()
-        .select(
-            _hash([F.col(name) for name in names]).alias("key"),
-            *(q.prompt.render(texts).alias(f"p{i}") for i, q in enumerate(questions)),
-        )
+        .select(_hash([F.col(name) for name in names]).alias("key"), *names)
     )
-    answers = _kept(_ask(asked, [q.model for q in questions], "string", _tasks(rows, tasks)))
-    keyed = out.withColumn(_KEY, _spread(_hash([column for _, column in inputs]), rows))
+    prompts = [q.prompt.render(texts) for q in questions]
+    models = [q.model for q in questions]
+    answers = _kept(_ask(asked, models, prompts, "string", _tasks(rows, tasks)))
+    keyed = _keyed(out, _hash([column for _, column in inputs]), rows)
     structs = [
-        _result(F.col(f"a{i}"), F.coalesce(F.col(f"s{i}"), F.lit(NULL_PROMPT)), q.kind).alias(
-            q.name
-        )
+        _result(F.col(f"a{i}"), _status(F.col(f"s{i}")), q.kind).alias(q.name)
         for i, q in enumerate(questions)
     ]
     return _joined(keyed, answers).select(*out.columns, *structs)
 
 
+def _keyed(out: DataFrame, key: Column, rows: DataFrame) -> DataFrame:
+    """The rows with the key of their answer, and whether they have one."""
+    return out.withColumns({_KEY: _spread(key, rows), _HAS_KEY: key.isNotNull()})
+
+
+def _status(status: Column) -> Column:
+    """A row's status: that of its answer, or why there is none."""
+    return F.when(~F.col(_HAS_KEY), NULL_PROMPT).otherwise(F.coalesce(status, F.lit(NO_ANSWER)))
+
+
 def _joined(keyed: DataFrame, answers: DataFrame) -> DataFrame:
     answers = answers.withColumnRenamed("key", "__answer_key")
     return keyed.join(answers, F.col(_KEY) == F.col("__answer_key"), "left")
@@ -213,13 +242,13 @@ def _through_store(
         .select(answer_key(model.name, F.col("p0")).alias("key"), "p0")
     )
     fresh = asked.join(store.known(spark, model.name).hint("merge"), "key", "left_anti")
-    run = store.add(_ask(fresh, [model], "string", _tasks(rows, tasks)), model.name)
+    asked_now = _ask(fresh, [model], [F.col("p0")], "string", _tasks(rows, tasks))
+    run = store.add(asked_now, model.name)
     known = store.answers(spark, model.name, run).hint("merge")
     answers = _kept(asked.select("key").join(known, "key"))
-    keyed = out.withColumn(_KEY, _spread(answer_key(model.name, text), rows))
-    status = F.coalesce(F.col("status"), F.lit(NULL_PROMPT))
-    answer = _result(F.col("answer"), status, question.kind).alias(question.name)
-    return _joined(keyed, answers).select(*out.columns, answer)
+    keyed = _keyed(out, answer_key(model.name, text), rows)
+    answer = _result(F.col("answer"), _status(F.col("status")), question.kind)
+    return _joined(keyed, answers).select(*out.columns, answer.alias(question.name))
 
 
 def embed(
@@ -229,29 +258,54 @@ def embed(
     out: str = "embedding",
     tasks: int | None = None,
     dedupe: bool | None = None,
+    store: AnswerStore | None = None,
+    status: str | None = None,
 ) -> DataFrame:
-    """Add a vector for a text column.
+    """Add a vector for a text column, and with ``status`` a column that tells why not.
 
     With ``dedupe`` each distinct text is embedded once, here and now, and the
-    vectors are joined back. Batch models always do so. For column models it pays
-    when few texts stand for many rows, and is off unless asked for. NULL texts,
-    and texts the model failed on, have a NULL vector.
+    vectors are joined back. Batch models always do so; with a store they are asked
+    only for texts it does not know. For column models it pays when few texts stand
+    for many rows, and is off unless asked for. NULL texts, and texts the model
+    failed on, have a NULL vector; the status is ``ok``, ``null prompt``, ``no answer``
+    or the error.
     """
+    said = [status] if status else []
     column_model = isinstance(model, ColumnModel)
     if column_model and not dedupe:
-        return rows.withColumn(out, _vector(model, F.col(text)))
+        vector = _vector(model, F.col(text))
+        told = F.when(F.col(text).isNull(), NULL_PROMPT).when(vector.isNull(), NO_ANSWER)
+        added = {out: vector} | {name: told.otherwise(OK) for name in said}
+        return rows.withColumns(added)
+    name = f"{model.name}/vectors"
+    key = answer_key(name, F.col(text))
     asked = (
-        rows.select(F.col(text).alias("p0"))
+        rows.select(key.alias("key"), F.col(text).alias("p0"))
         .where(F.col("p0").isNotNull())
         .distinct()
-        .select(_hash([F.col("p0")]).alias("key"), "p0")
     )
     if column_model:
-        answers = asked.select("key", _vector(model, F.col("p0")).alias("a0"))
+        vector = _vector(model, F.col("p0")).alias("a0")
+        answers = asked.select("key", vector, F.lit(OK).alias("s0"))
+    elif store is None:
+        answers = _ask(asked, [model], [F.col("p0")], "array<double>", _tasks(rows, tasks))
     else:
-        answers = _ask(asked, [model], "array<double>", _tasks(rows, tasks)).select("key", "a0")
-    keyed = rows.withColumn(_KEY, _spread(_hash([F.col(text)]), rows))
-    return _joined(keyed, _kept(answers)).select(*rows.columns, F.col("a0").alias(out))
+        # The store keeps texts: a vector is kept as JSON, which gives back each number.
+        spark = rows.sparkSession
+        fresh = asked.join(store.known(spark, name).hint("merge"), "key", "left_anti")
+        now = _ask(fresh, [model], [F.col("p0")], "array<double>", _tasks(rows, tasks))
+        run = store.add(now.withColumn("a0", F.to_json("a0")), name)
+        known = store.answers(spark, name, run).hint("merge")
+        answers = asked.select("key").join(known, "key").select(
+            "key",
+            F.from_json("answer", "array<double>").alias("a0"),
+            F.col("status").alias("s0"),
+        )
+    keyed = _keyed(rows, key, rows)
+    missing = F.when(F.col("a0").isNull() & (F.col("s0") == OK), NO_ANSWER)
+    told = [F.coalesce(missing, _status(F.col("s0"))).alias(name) for name in said]
+    joined = _joined(keyed, _kept(answers))
+    return joined.select(*rows.columns, F.col("a0").alias(out), *told)
 
 
 def _vector(model: ColumnModel, text: Column) -> Column:

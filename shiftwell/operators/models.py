@@ -127,7 +127,7 @@ def reason_template(
     return ColumnModel(f"reason_template/{high_at}/{long_day}/{uneven_at}", answer)
 
 
-# Text found in a reason and the keyword it stands for, in order.
+# Text found in a reason and the keyword it stands for, in order.
 TAG_RULES = (
     ("likely high", "High strain"),
     ("likely low", "Low strain"),

@@ -187,6 +187,17 @@ _POINTS = f"""cells AS (
   SELECT vec_id AS driver_ID, SUM(v * d1.x) AS x, SUM(v * d2.x) AS y, 'tag ' || label AS main_tag
   FROM centred JOIN d1 USING (i) JOIN d2 USING (i) GROUP BY vec_id, label)"""
 
+_ITEMS = f"""WITH {_FEED}
+  SELECT title, description, link, '2025-06-10T06:00:00+00:00' AS published,
+         description AS summary FROM feed WHERE link IS NOT NULL AND NOT undated"""
+
+_LITERALS = ", ".join(
+    f"({_quoted(r['article_name'])}, {_quoted(r['city']) if 'city' in r else 'NULL'}, "
+    f"{_quoted(r['published'])}, {_quoted(r['content'])})"
+    for r in catalog.LITERALS
+    if "content" in r
+)
+
 SQL: dict[str, str] = {
     "summary_drivers": f"WITH {_SUMMARY} SELECT * FROM summary",
     "summary_drivers_sorted": f"WITH {_SUMMARY} SELECT * FROM summary ORDER BY total_fare DESC",
@@ -236,6 +247,28 @@ SQL: dict[str, str] = {
     "append_rejects": f"""WITH {_RAW_ARTICLES}
       SELECT article_name, errors FROM judged WHERE errors <> ''""",
     "append_articles": _APPENDED,
+    "load_counts": f"""WITH {_RAW_ARTICLES}
+      SELECT count_if(errors = '') AS loaded, count_if(errors <> '') AS rejected FROM judged""",
+    "append_json_rejects": """SELECT 'doc-' || doc_id AS article_name,
+      CASE WHEN lang = 'fr' THEN 'a name is given more than once' END AS errors FROM documents""",
+    "literal_articles": f"""WITH given(article_name, city, published, content) AS (
+        VALUES {_LITERALS})
+      SELECT article_name, n_chars, city, CAST(published AS DATE) AS published, content
+      FROM given JOIN documents ON article_name = 'doc-' || doc_id
+      WHERE TRY_CAST(published AS DATE) IS NOT NULL""",
+    "run_all_tags": f"""WITH {_TAGS}, {_ARTICLES}
+      SELECT CAST(driver_ID AS VARCHAR) AS name, stress_report_tags FROM tags
+      UNION ALL
+      SELECT article_name, concat_ws(' ', {", ".join(f"{_hits(f)}" for f in catalog.TERMS)})
+      {_WITH_TEXT}""",
+    "drivers_metrics_batch": f"""WITH {_CORE}, prompted AS (
+        SELECT *, {_printf(prompts.STRESS_SCORE)} AS s, {_printf(prompts.STRESS_REASON)} AS r
+        FROM core)
+      SELECT driver_ID, City, Age, (length(s) % 101) / 100::DOUBLE AS stress_score,
+             'Asked in ' || length(r) || ' signs.' AS stress_reason FROM prompted""",
+    "stream_append_two_sources": """SELECT event_id AS Ride_ID,
+      CASE WHEN event_type = 'error' THEN 'Driver_ID: not of type bigint' ELSE '' END AS errors
+      FROM events""",
     "append_articles_twice": _APPENDED,
     "upload_drivers_csv": f"""WITH {_DRIVERS}
       SELECT Driver_ID, 'Driver, ' || Driver_ID AS Name, CAST(Age AS BIGINT) AS Age, City,
@@ -250,9 +283,8 @@ SQL: dict[str, str] = {
       FROM drivers d LEFT JOIN rides r ON d.Driver_ID = r.Driver_ID GROUP BY d.City""",
     "stream_append": """SELECT event_id AS Ride_ID, user_id AS Driver_ID, CAST(ts AS DATE) AS Date,
              value AS Fare FROM events WHERE event_type <> 'error'""",
-    "feed_items": f"""WITH {_FEED}
-      SELECT title, description, link, '2025-06-10T06:00:00+00:00' AS published,
-             description AS summary FROM feed WHERE link IS NOT NULL AND NOT undated""",
+    "feed_items": _ITEMS,
+    "feed_table": _ITEMS,
     "feed_rejects": f"""WITH {_FEED}
       SELECT title, concat_ws('; ', CASE WHEN link IS NULL THEN 'link: required' END,
              CASE WHEN undated THEN 'published: not a date' END) AS errors
@@ -265,3 +297,4 @@ _EMBEDDED = f"""WITH {_TAGS}, texts AS (
   SELECT driver_ID, stress_report_tags, place, value FROM vectors"""
 SQL["driver_reason_embeddings"] = _EMBEDDED
 SQL["driver_reason_embeddings_batch"] = _EMBEDDED
+SQL["driver_reason_embeddings_stored"] = _EMBEDDED

@@ -32,14 +32,15 @@ def articles_metrics(
     structs: bool = False,
     store: AnswerStore | None = None,
     tasks: int | None = None,
+    reread: bool = False,
 ) -> DataFrame:
-    """article_name, city, published and four flags for each article with text.
+    """article_name, city, published and a flag per model for each article with text.
 
-    ``models`` has one model per flag. ``structs`` keeps the full answers.
+    ``models`` has a model for each of the four flags, or for those that are wanted.
+    ``structs`` keeps the full answers; ``reread`` is that of ``generate``.
     """
-    questions = [
-        Question(flag, prompt, "bool", models[flag]) for flag, prompt in ARTICLE_QUESTIONS.items()
-    ]
-    answered = generate(articles_with_text(articles), questions, store, tasks)
-    wanted = answered.select("article_name", "city", "published", *FLAGS)
-    return wanted if structs else results(wanted, FLAGS)
+    flags = [flag for flag in FLAGS if flag in models]
+    questions = [Question(flag, ARTICLE_QUESTIONS[flag], "bool", models[flag]) for flag in flags]
+    answered = generate(articles_with_text(articles), questions, store, tasks, reread)
+    wanted = answered.select("article_name", "city", "published", *flags)
+    return wanted if structs else results(wanted, flags)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shiftwell.functions.text import main_tag
 from shiftwell.functions.vectors import has_vector
+from shiftwell.operators.answers import AnswerStore
 from shiftwell.operators.inference import embed
 from shiftwell.operators.models import Model
 from shiftwell.operators.projection import point_bins, project_2d
@@ -14,18 +15,38 @@ from shiftwell.schemas import DRIVER_REASON_EMBEDDINGS
 from shiftwell.workspace import conform
 
 
-def driver_reason_embeddings(
-    tags: DataFrame, model: Model, tasks: int | None = None
+def reason_embeddings_told(
+    tags: DataFrame,
+    model: Model,
+    tasks: int | None = None,
+    store: AnswerStore | None = None,
 ) -> DataFrame:
-    """driver_ID, keywords and their embedding, for drivers with keywords.
+    """driver_ID, keywords, their embedding and its status, for drivers with keywords.
 
     Drivers share keywords, so each distinct text is embedded once.
     """
     wanted = tags.select("driver_ID", "stress_report_tags").where(
         F.col("stress_report_tags").isNotNull()
     )
-    embedded = embed(wanted, "stress_report_tags", model, tasks=tasks, dedupe=True)
-    return conform(embedded, DRIVER_REASON_EMBEDDINGS)
+    return embed(
+        wanted,
+        "stress_report_tags",
+        model,
+        tasks=tasks,
+        dedupe=True,
+        store=store,
+        status="embedding_status",
+    )
+
+
+def driver_reason_embeddings(
+    tags: DataFrame,
+    model: Model,
+    tasks: int | None = None,
+    store: AnswerStore | None = None,
+) -> DataFrame:
+    """driver_ID, keywords and their embedding, for drivers with keywords."""
+    return conform(reason_embeddings_told(tags, model, tasks, store), DRIVER_REASON_EMBEDDINGS)
 
 
 def with_embedding(embeddings: DataFrame) -> DataFrame:

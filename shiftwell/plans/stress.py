@@ -28,6 +28,7 @@ def drivers_metrics(
     structs: bool = False,
     store: AnswerStore | None = None,
     tasks: int | None = None,
+    reread: bool = False,
 ) -> DataFrame:
     """driver_ID, City, Age, stress_score and stress_reason from the core metrics.
 
@@ -39,7 +40,8 @@ def drivers_metrics(
         Question("stress_reason", STRESS_REASON, "string", reason),
     ]
     names = [q.name for q in questions]
-    wanted = generate(core, questions, store, tasks).select("driver_ID", "City", "Age", *names)
+    answered = generate(core, questions, store, tasks, reread)
+    wanted = answered.select("driver_ID", "City", "Age", *names)
     return wanted if structs else results(wanted, names)
 
 
@@ -49,6 +51,7 @@ def driver_reason_tags(
     store: AnswerStore | None = None,
     tasks: int | None = None,
     check_shape: bool = False,
+    reread: bool = False,
 ) -> DataFrame:
     """driver_ID and keywords of the stress reason; NULL for a NULL reason.
 
@@ -57,6 +60,6 @@ def driver_reason_tags(
     """
     question = Question("stress_report_tags", REASON_TAGS, "string", model)
     reasons = metrics.select("driver_ID", "stress_reason")
-    answered = generate(reasons, [question], store, tasks)
+    answered = generate(reasons, [question], store, tasks, reread)
     tags = results(answered.select("driver_ID", question.name), [question.name])
     return tags.withColumn("tags_ok", tag_shape_ok(F.col(question.name))) if check_shape else tags

@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
+from shiftwell import files
+
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
@@ -33,19 +41,41 @@ def build_session(app: str = "shiftwell", master: str | None = None, **conf: str
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    A local session without the setting gets a folder of its own. On a cluster
-    the setting is required: executors could not see a folder of one machine.
+    Where it is not set, a session inside one process gets a temporary folder, which
+    goes with the process. On a cluster the setting is required: executors could not
+    see a folder of one machine.
     """
     context = spark.sparkContext
     root = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="shiftwell-"))
+    folder = tempfile.mkdtemp(prefix="shiftwell-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
 
+_SCOPE: ContextVar[str | None] = ContextVar("scratch scope", default=None)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove what is written to scratch inside the block when it ends.
+
+    Frames that read such folders are of no use after it, so results that stay have
+    to be written to tables inside.
+    """
+    folder = scratch_path(spark, "run")
+    token = _SCOPE.set(folder)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        files.remove(spark, folder)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A folder name under the shared scratch folder that nobody else uses."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{_SCOPE.get() or scratch_root(spark)}/{label}-{uuid.uuid4().hex}"

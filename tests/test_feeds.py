@@ -77,6 +77,22 @@ DATES = {
     "2025-06-10": "2025-06-10T00:00:00+00:00",
     "June 10, 2025": "2025-06-10T00:00:00+00:00",
     "6/10/2025": "2025-06-10T00:00:00+00:00",
+    "Tue, 10 Jun 25 08:00:00 GMT": "2025-06-10T08:00:00+00:00",
+    "10 June 2025 08:00:00 GMT": "2025-06-10T08:00:00+00:00",
+    "Jun 10, 2025 8:00 AM": "2025-06-10T08:00:00+00:00",
+    "June 10, 2025, 8:00 pm": "2025-06-10T20:00:00+00:00",
+    "June 10, 2025, 8:00 a.m.": "2025-06-10T08:00:00+00:00",
+    "20250610T080000Z": "2025-06-10T08:00:00+00:00",
+    "20250610": "2025-06-10T00:00:00+00:00",
+    "Tue Jun 10 08:00:00 2025": "2025-06-10T08:00:00+00:00",
+    "Tue Jun 10 08:00:00 EST 2025": "2025-06-10T13:00:00+00:00",
+    "Tue, 10 Jun 2025 08:00:00 EST": "2025-06-10T13:00:00+00:00",
+    "Tue, 10 Jun 2025 08:00:00 EDT": "2025-06-10T12:00:00+00:00",
+    "10 Jun 2025 08:00 PST": "2025-06-10T16:00:00+00:00",
+    "10 Jun 2025 08:00:00 Z": "2025-06-10T08:00:00+00:00",
+    "10 Jun 2025 08:00:00 +05:30": "2025-06-10T02:30:00+00:00",
+    "10 Jun 2025 08:00:00 Europe/Paris": "2025-06-10T06:00:00+00:00",
+    "Mon Jun 2025": None,
     "2025-13-01": None,
     "tomorrow": None,
     "": None,

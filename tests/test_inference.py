@@ -1,5 +1,6 @@
 import uuid
 
+import pandas as pd
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ METRICS = (
     "total_rides_all_days bigint, active_days bigint, total_duration_min_all_days bigint, "
     "min_fare double, max_fare double, stddev_fare double"
 )
+# The worked example of the score prompt.
 ANCHOR = (1, 44, "Los Angeles", 11, 4.9, 7, 5, 402, 20.45, 215.37, 75.0)
 
 
@@ -145,6 +147,82 @@ def test_retry_succeeds(spark, tmp_path):
     assert row["status"] == "ok"
 
 
+def test_models_are_told_apart_by_object_not_by_name(spark):
+    one, two = (M.BatchModel("same", lambda said=said: lambda texts: [said] * len(texts)) for said in "12")
+    frame = words(spark, "a")
+    with pytest.raises(ValueError, match="two models are named same"):
+        generate(frame, [Question("x", ASK, "string", one), Question("y", ASK, "string", two)])
+    from shiftwell.operators.calls import model_task
+
+    asked_of = pd.DataFrame({"key": ["k"], "p0": ["a"], "p1": ["a"]})
+    (found,) = model_task([one, two])(iter([asked_of]))
+    assert (found["a0"][0], found["a1"][0]) == ("1", "2")
+
+
+def test_a_dead_service_is_not_asked_for_every_text():
+    from shiftwell.operators.calls import Caller
+
+    tried = []
+
+    def dead():
+        def answer(texts):
+            tried.append(len(texts))
+            raise RuntimeError("down")
+
+        return answer
+
+    caller = Caller(M.BatchModel("dead", dead, attempts=2, backoff=0))
+    for _ in range(10):
+        pairs = caller.answered([f"t{i}" for i in range(32)])
+        assert pairs == [(None, "error: down")] * 32
+    # Two lists with two attempts and three texts each, then one attempt per list.
+    assert len(tried) == 2 * (2 + 3 * 2) + 8
+
+
+def test_prompts_are_made_behind_the_exchange(spark, monkeypatch):
+    from shiftwell.operators import inference
+
+    plans = []
+    kept = inference._kept
+    monkeypatch.setattr(
+        inference, "_kept", lambda answers: plans.append(answers) or kept(answers)
+    )
+    model = M.BatchModel("echo", lambda: lambda texts: [echo(t) for t in texts])
+    asked(words(spark, "a"), model, reread=True)
+    plan = plans[0]._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("Exchange hashpartitioning(key") :]
+    assert "Say: " in plan and "Say: " not in below
+
+
+def test_an_answer_that_is_lost_is_not_called_a_null_prompt(spark, monkeypatch):
+    from shiftwell.operators import inference
+
+    kept = inference._kept
+    monkeypatch.setattr(inference, "_kept", lambda answers: kept(answers).where("key IS NULL"))
+    model = M.BatchModel("echo", lambda: lambda texts: [echo(t) for t in texts])
+    found = {r.word: r.said.status for r in asked(words(spark, "a", None), model).collect()}
+    assert found == {"a": "no answer", None: "null prompt"}
+
+
+def test_embeddings_are_stored_and_told(spark, folder, tmp_path):
+    store = AnswerStore(str(tmp_path / "store"))
+
+    def vector(text):
+        return None if text == "none" else [0.1 + len(text), 1e-300, -3.0]
+
+    model = M.BatchModel("v", recorder(folder, vector))
+    frame = words(spark, "a", "bb", "a", None, "none")
+    for _ in range(2):
+        found = embed(frame, "word", model, store=store, status="told").collect()
+        assert len(calls(folder)) == 3
+        assert {(r.word, None if r.embedding is None else tuple(r.embedding), r.told) for r in found} == {
+            ("a", (1.1, 1e-300, -3.0), "ok"),
+            ("bb", (2.1, 1e-300, -3.0), "ok"),
+            (None, None, "null prompt"),
+            ("none", None, "no answer"),
+        }
+
+
 def test_wrong_number_of_answers_is_a_failure(spark):
     model = M.BatchModel("short", lambda: lambda texts: [], attempts=1)
     row = asked(words(spark, "a"), model).first()["said"]

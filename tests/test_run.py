@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -47,6 +49,8 @@ def test_whole_run(spark, workspace, files):
         "drivers_reason_tags",
         "driver_reason_embeddings",
         "embedding_points",
+        "embedding_point_bins",
+        "embedding_failures",
         "articles_metrics",
     }
     metrics = marts["drivers_metrics"]
@@ -63,6 +67,42 @@ def test_whole_run(spark, workspace, files):
     assert rows(build_marts(workspace)["drivers_metrics"]) == before
 
 
+def test_a_run_can_be_repeated_and_leaves_no_scratch(spark, workspace, files):
+    def scratch():
+        return {path.name for path in Path(scratch_root(spark)).iterdir()}
+
+    before = scratch()
+    articles = shipped.articles(spark, FOLDER)
+
+    def said(prompts):
+        return ["no"] * len(prompts)
+
+    flags = {flag: BatchModel(flag, lambda: said) for flag in Models().articles}
+    marts = []
+    for _ in range(2):
+        run = run_all(workspace, *files, articles, Models(articles=flags))
+        marts.append({name: rows(frame) for name, frame in run.items()})
+    assert marts[0] == marts[1] and len(marts[1]["articles_metrics"]) == 200
+    assert scratch() == before
+
+
+def test_texts_that_could_not_be_embedded_are_reported(workspace, files, tmp_path):
+    def embedder():
+        def answer(texts):
+            if any("Income worry" in text for text in texts):
+                raise RuntimeError("too long")
+            return [[float(len(text)), 1.0, 0.5] for text in texts]
+
+        return answer
+
+    models = Models(embedding=BatchModel("e", embedder, attempts=1))
+    marts = run_all(workspace, *files, models=models, store=AnswerStore(str(tmp_path / "store")))
+    failed = marts["embedding_failures"].collect()
+    assert failed and {r.embedding_status for r in failed} == {"error: too long"}
+    tagged = marts["drivers_reason_tags"].where("stress_report_tags IS NOT NULL").count()
+    assert marts["embedding_points"].count() == tagged - len(failed)
+
+
 def test_run_with_a_store_asks_once(workspace, files, tmp_path):
     import uuid
 
