@@ -2,55 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The written forms that are understood, tried in this order. Zones are offsets here:
-# names have become offsets before.
+# The written forms that are understood, tried in this order, once names of months are
+# cut to three letters and names of zones are offsets. Parts in brackets may be missing.
 TIMESTAMP_FORMS = (
-    "d MMM yyyy HH:mm:ss xx",
-    "d MMM yyyy HH:mm:ss VV",
-    "d MMM yyyy HH:mm:ss",
-    "d MMM yyyy HH:mm xx",
-    "d MMM yyyy HH:mm VV",
-    "d MMM yyyy HH:mm",
-    "d MMM yyyy",
-    "d MMM yy HH:mm:ss xx",
-    "d MMM yy HH:mm:ss",
-    "d MMM yy HH:mm xx",
-    "d MMM yy HH:mm",
-    "d MMM yy",
-    "d MMMM yyyy HH:mm:ss xx",
-    "d MMMM yyyy HH:mm:ss",
-    "d MMMM yyyy HH:mm xx",
-    "d MMMM yyyy HH:mm",
-    "d MMMM yyyy",
-    "MMM d yyyy HH:mm:ss xx",
-    "MMM d yyyy HH:mm:ss",
-    "MMM d yyyy HH:mm",
-    "MMM d yyyy h:mm a",
-    "MMM d yyyy h:mm:ss a",
-    "MMM d yyyy",
-    "MMM d HH:mm:ss yyyy",
-    "MMM d HH:mm:ss xx yyyy",
-    "MMMM d yyyy HH:mm:ss xx",
-    "MMMM d yyyy HH:mm:ss",
-    "MMMM d yyyy HH:mm",
-    "MMMM d yyyy h:mm a",
-    "MMMM d yyyy h:mm:ss a",
-    "MMMM d yyyy",
-    "yyyy/M/d HH:mm:ss",
-    "yyyy/M/d",
-    "M/d/yyyy HH:mm:ss",
-    "M/d/yyyy h:mm a",
-    "M/d/yyyy",
-    "yyyyMMdd'T'HHmmssxx",
-    "yyyyMMdd'T'HHmmss",
-    "yyyyMMdd",
+    "d MMM yyyy[ HH:mm[:ss]][ xx]",
+    "d MMM yyyy HH:mm[:ss] VV",
+    "d MMM yy[ HH:mm[:ss]][ xx]",
+    "MMM d yyyy[ HH:mm[:ss]][ xx]",
+    "MMM d yyyy h:mm[:ss] a",
+    "MMM d HH:mm:ss[ xx] yyyy",
+    "yyyy/M/d[ HH:mm[:ss]]",
+    "M/d/yyyy[ HH:mm[:ss]]",
+    "M/d/yyyy h:mm[:ss] a",
+    "yyyyMMdd['T'HHmmss][xx]",
 )
 
 # The zone names of mail and feed dates, each of one offset all year.
 ZONES = {
+    "Z": "+0000",
     "UT": "+0000",
     "UTC": "+0000",
     "GMT": "+0000",
@@ -64,6 +38,8 @@ ZONES = {
     "PDT": "-0700",
 }
 
+_ZONE = rf"(?i)(?<=[\dM]) ({'|'.join(ZONES)})(?= \d{{4}}$|$)"
+_MONTH = r"(?i)\b(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.?"
 _WEEKDAY = r"(?i)^\s*(mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?,?\s+"
 
 
@@ -75,17 +51,32 @@ def free_timestamp(text: Column, forms: tuple[str, ...] = TIMESTAMP_FORMS) -> Co
     without a zone is taken in the session's time zone; years of two digits are those
     of this century.
     """
-    bare = F.trim(F.regexp_replace(text, _WEEKDAY, ""))
-    plain = F.trim(F.regexp_replace(F.regexp_replace(bare, ",", " "), r"\s+", " "))
-    plain = F.regexp_replace(plain, r"(?i)(?<=\d) ?p\.?m\.?(?![a-z])", " PM")
-    plain = F.regexp_replace(plain, r"(?i)(?<=\d) ?a\.?m\.?(?![a-z])", " AM")
-    plain = F.regexp_replace(plain, r"(?<=\d{6})Z$", "+0000")
-    plain = F.regexp_replace(plain, r"(?i) Z$", " +0000")
-    plain = F.regexp_replace(plain, r"(?<= [+-]\d{2}):(?=\d{2})", "")
-    for name, offset in ZONES.items():
-        plain = F.regexp_replace(plain, rf"(?i)(?<=[\dM]) {name}(?= \d{{4}}$|$)", f" {offset}")
-    iso = F.when(bare.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), bare.try_cast("timestamp"))
-    return F.coalesce(iso, *(F.try_to_timestamp(plain, F.lit(form)) for form in forms))
+    offsets = F.create_map(*(F.lit(part) for pair in ZONES.items() for part in pair))
+
+    def with_offset(plain: Column) -> Column:
+        zone = F.upper(F.regexp_extract(plain, _ZONE, 1))
+        offset = F.concat(F.lit(" "), F.try_element_at(offsets, zone))
+        return F.when(zone == "", plain).otherwise(F.regexp_replace(plain, F.lit(_ZONE), offset))
+
+    def read(bare: Column) -> Column:
+        plain = F.trim(F.regexp_replace(bare, r"[,\s]+", " "))
+        plain = F.regexp_replace(plain, _MONTH, "$1")
+        plain = F.regexp_replace(plain, r"(?i)(?<=\d) ?([ap])\.?m\.?(?![a-z])", " $1M")
+        plain = F.regexp_replace(plain, r"(?<=\d{6})Z$", "+0000")
+        plain = F.regexp_replace(plain, r"(?<= [+-]\d{2}):(?=\d{2})", "")
+        iso = F.when(bare.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), bare.try_cast("timestamp"))
+        tried = _once(
+            _once(plain, with_offset),
+            lambda p: F.coalesce(*(F.try_to_timestamp(p, F.lit(form)) for form in forms)),
+        )
+        return F.coalesce(iso, tried)
+
+    return _once(F.trim(F.regexp_replace(text, _WEEKDAY, "")), read)
+
+
+def _once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with ``value`` worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), then), 0)
 
 
 def iso_text(moment: Column) -> Column:
