@@ -255,9 +255,9 @@ def fit(
 ) -> CoTrained | None:
     """Co-trained views from about ``labelled_rows`` labelled and ``pool_rows`` other rows.
 
-    Both samples are drawn by seeded hashes of the keys and come to the driver as
-    features, a bounded number of rows whatever the tables hold. None if the sample
-    does not hold both classes.
+    Both samples are drawn by seeded hashes of the rows and come to the driver as
+    features, about that many rows whatever the tables hold. None if the sample does
+    not hold both classes.
     """
     known = (
         labels.where(F.col(key).isNotNull() & F.col(label).isNotNull())
@@ -265,14 +265,17 @@ def fit(
         .agg(F.min(label).cast("int").alias("truth"))
     )
 
-    def share(frame: DataFrame, rows: int) -> Column:
-        total = max(frame.count(), 1)
-        draw = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1 << 32))
-        return draw < int(min(1.0, rows / total) * (1 << 32))
-
-    chosen = known.where(share(known, labelled_rows))
-    labelled = documents.join(F.broadcast(chosen), key)
-    pool = documents.where(share(documents, pool_rows))
+    def thinned(frame: DataFrame, rows: int, *by: Column) -> DataFrame:
+        """About ``rows`` of the rows, by a seeded hash."""
+        total = frame.select(key).count()
+        draw = F.pmod(F.xxhash64(F.lit(seed), *by), F.lit(1 << 32))
+        return frame.where(draw < int(min(1.0, rows / max(total, 1)) * (1 << 32)))
+
+    # Rows, not keys, are drawn from documents: a key may be repeated very often.
+    row = (F.col(key), F.monotonically_increasing_id())
+    chosen = thinned(known, labelled_rows, F.col(key))
+    labelled = thinned(documents.join(F.broadcast(chosen), key), labelled_rows, *row)
+    pool = thinned(documents, pool_rows, *row)
     labelled = _features(labelled, keep=[key, "truth"], **columns).collect()
     taken = {row[key] for row in labelled}
     pool = [row for row in _features(pool, keep=[key], **columns).collect() if row[key] not in taken]
