@@ -112,12 +112,8 @@ def leaf_budgets(
     for depth in range(1, len(levels) + 1):
         capacity = F.when(_weight(levels[:depth], weights) > 0, capacity).otherwise(F.lit(0))
     leaves = leaves.withColumn("capacity", capacity)
-    whole = F.sum("tokens") if total_tokens is None else F.lit(total_tokens)
-    budget = leaves.agg(
-        F.least(
-            F.coalesce(whole, F.lit(0)), F.coalesce(F.sum("capacity"), F.lit(0))
-        ).cast("bigint").alias("budget")
-    )
+    held, given = leaves.agg(F.sum("capacity"), F.sum("tokens")).first()
+    budget = min(held or 0, (given or 0) if total_tokens is None else total_tokens)
     level = None
     for depth in range(1, len(levels) + 1):
         path = list(levels[:depth])
@@ -127,7 +123,7 @@ def leaf_budgets(
             .withColumn("weight", F.greatest(_weight(path, weights), F.lit(1)))
         )
         if level is None:
-            nodes = nodes.join(F.broadcast(budget))
+            nodes = nodes.withColumn("budget", F.lit(budget).cast("bigint"))
         else:
             nodes = nodes.join(level, path[:-1])
         level = _shared_out(nodes, path[:-1], path).select(
