@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from shiftwell import files
 from shiftwell.llm.tables import written
 
 SLOTS = 4096
@@ -179,10 +180,9 @@ def assigned(
     if map_path is None:
         slot_map = written(first_map(sizes, shards), "slot-map")
     else:
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(map_path)
-        known = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
-        old = load_map(spark, map_path) if known else None
-        store_map(first_map(sizes, shards) if old is None else rebalanced(old, sizes, shards), map_path)
+        old = load_map(spark, map_path) if files.exists(spark, map_path) else None
+        new = first_map(sizes, shards) if old is None else rebalanced(old, sizes, shards)
+        store_map(new, map_path)
         slot_map = load_map(spark, map_path)
     # slots x parts rows at most, a fixed number: small enough to send to every task.
     before = (
