@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -13,17 +14,18 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shiftwell.llm.groups import slices
 from shiftwell.llm.tables import written
 
 BASE = math.sqrt(2)
 MIN_PAIR = 2
 DISCOUNT = 0.75
-PROBES = 7
+PROBES = 6
 BLOCK_BITS = 1 << 19
 MOST_BLOCKS = 1 << 10
 FREQUENT = 1 << 18
 CHUNK_CHARS = 1 << 21
-HELD_PAIRS = 1 << 22
+HELD_PAIRS = 1 << 21
 HELD_WORDS = 1 << 19
 LEAST_LEFT = 0.02
 
@@ -81,29 +83,45 @@ class Filter:
     blocks: int
     bits: np.ndarray
 
-    def place(self, keys: np.ndarray) -> np.ndarray:
-        """The block of each entry, all of whose bits lie in it."""
-        return block_of(keys, self.blocks)
+    def holds(self, keys: np.ndarray, levels: int | np.ndarray) -> np.ndarray:
+        """Whether each entry is in with the level, by all of its probes."""
+        found = np.zeros(len(keys), dtype=bool)
+        start = block_of(keys, self.blocks).astype(np.int64) * (BLOCK_BITS // 8)
+        first, step = probe_steps(keys, levels)
+        alive = np.arange(len(keys))
+        for probe in range(PROBES):
+            at = probe_bit(first, step, probe)
+            hit = (self.bits[start + (at >> 3)] >> (at & 7).astype(np.uint8)) & 1 == 1
+            if not hit.all():
+                alive, start, first, step = alive[hit], start[hit], first[hit], step[hit]
+            if not len(alive):
+                return found
+        found[alive] = True
+        return found
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
-        """The level of each entry: probes go up until one misses."""
-        found = np.zeros(len(keys), dtype=np.int64)
-        alive = np.arange(len(keys))
-        start = block_of(keys, self.blocks).astype(np.int64) * (BLOCK_BITS // 8)
-        level = 0
+        """The level of each entry.
+
+        An entry is in with every level up to its own, so probes go up in doubling
+        steps until one misses, and then halve the gap that is left.
+        """
+        low = np.zeros(len(keys), dtype=np.int64)
+        high = np.zeros(len(keys), dtype=np.int64)
+        alive, level = np.arange(len(keys)), 1
         while len(alive):
-            level += 1
-            first, step = probe_steps(keys[alive], level)
-            for probe in range(PROBES):
-                at = probe_bit(first, step, probe)
-                byte = self.bits[start[alive] + (at >> 3)]
-                hit = (byte >> (at & 7).astype(np.uint8)) & 1 == 1
-                if not hit.all():
-                    alive, first, step = alive[hit], first[hit], step[hit]
-                if not len(alive):
-                    break
-            found[alive] = level
-        return found
+            hit = self.holds(keys[alive], level)
+            high[alive[~hit]] = level
+            alive = alive[hit]
+            low[alive] = level
+            level *= 2
+        open_ = np.flatnonzero(high - low > 1)
+        while len(open_):
+            middle = (low[open_] + high[open_]) // 2
+            hit = self.holds(keys[open_], middle)
+            low[open_[hit]] = middle[hit]
+            high[open_[~hit]] = middle[~hit]
+            open_ = open_[high[open_] - low[open_] > 1]
+        return low
 
 
 def block_of(keys: np.ndarray, blocks: int) -> np.ndarray:
@@ -155,15 +173,22 @@ class Coded:
     lengths: np.ndarray
 
 
+class Numbers(dict):
+    """Numbers things in the order in which they are first asked for."""
+
+    def __missing__(self, thing: bytes) -> int:
+        self[thing] = number = len(self)
+        return number
+
+
 def coded(texts: list[str | None]) -> Coded:
     """Tokens of texts; the context of a text's first token is the start mark."""
-    numbers: dict[bytes, int] = {END: 0, START: 1}
-    number = numbers.setdefault
+    numbers = Numbers({END: 0, START: 1})
     flat: list[int] = []
     lengths = []
     for text in texts:
         words = words_of(text)
-        flat += [number(word, len(numbers)) for word in words]
+        flat.extend(map(numbers.__getitem__, words))
         flat.append(0)
         lengths.append(len(words) + 1)
     codes = np.array(flat, dtype=np.int64)
@@ -186,19 +211,18 @@ def word_counts(texts: DataFrame, text: str) -> DataFrame:
     """word and n over all rows; counted in tasks before the shuffle."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bytes, int] = {}
+        held: Counter[bytes] = Counter()
 
         def rows() -> pa.RecordBatch:
             words = pa.array(list(held), type=pa.binary()).cast(pa.string())
             return pa.RecordBatch.from_arrays([words, pa.array(list(held.values()))], ["word", "n"])
 
-        for batch in batches:
+        for batch in slices(batches):
             values = batch[0].to_pylist()
             for start, end in _chunks(values):
                 for value in values[start:end]:
-                    for word in words_of(value):
-                        held[word] = held.get(word, 0) + 1
-                    held[END] = held.get(END, 0) + 1
+                    held.update(words_of(value))
+                    held[END] += 1
                 if len(held) >= HELD_WORDS:
                     yield rows()
                     held.clear()
@@ -218,7 +242,8 @@ def pair_counts(texts: DataFrame, text: str, least: int) -> DataFrame:
         waiting: list[np.ndarray] = []
 
         def merge() -> tuple[np.ndarray, np.ndarray]:
-            fresh = np.concatenate(waiting) if waiting else np.empty(0, dtype=np.uint64)
+            # Two sorted runs: the stable sort of both is a merge.
+            fresh = np.sort(np.concatenate([keys[:0], *waiting]))
             waiting.clear()
             both = np.concatenate([keys, fresh])
             weight = np.concatenate([counts, np.ones(len(fresh), dtype=np.int64)])
@@ -229,7 +254,7 @@ def pair_counts(texts: DataFrame, text: str, least: int) -> DataFrame:
                 [pa.array(keys.view(np.int64)), pa.array(counts)], ["pair", "n"]
             )
 
-        for batch in batches:
+        for batch in slices(batches):
             values = batch[0].to_pylist()
             for start, end in _chunks(values):
                 c = coded(values[start:end])
@@ -281,16 +306,17 @@ class Model:
         seen = np.maximum(seen, mass)
         left = np.clip(1 - mass / np.maximum(seen, 1), LEAST_LEFT, 1)
         left[mass == 0] = 1
-        pairs = c.contexts * len(c.words) + c.codes
-        distinct, which = np.unique(pairs, return_inverse=True)
-        context, word = distinct // len(c.words), distinct % len(c.words)
-        known = np.zeros(len(distinct))
-        ask = mass[context] > 0
-        keys = entry_keys(KIND_PAIR, pair_keys(c.hashes[context[ask]], c.hashes[word[ask]]))
-        counts = count_of(self.filter.levels(keys), self.least_pair)
-        known[ask] = np.maximum(counts - DISCOUNT, 0) / np.maximum(seen[context[ask]], 1)
-        probability = np.minimum(known, 1 - left[context]) + left[context] * own[word]
-        return np.log10(np.minimum(probability, 1))[which]
+        # Pairs after a context of which none is kept need no probe.
+        known = np.zeros(len(c.codes))
+        ask = np.flatnonzero(mass[c.contexts])
+        context, word = c.contexts[ask], c.codes[ask]
+        pairs = pair_keys(c.hashes[context], c.hashes[word])
+        pairs, which = np.unique(pairs, return_inverse=True)
+        levels = self.filter.levels(entry_keys(KIND_PAIR, pairs))
+        counts = count_of(levels, self.least_pair)[which]
+        known[ask] = np.maximum(counts - DISCOUNT, 0) / np.maximum(seen[context], 1)
+        rest = left[c.contexts]
+        return np.log10(np.minimum(np.minimum(known, 1 - rest) + rest * own[c.codes], 1))
 
 
 def train(texts: DataFrame, words: DataFrame, text: str, most_blocks: int = MOST_BLOCKS) -> Model:
@@ -407,6 +433,22 @@ def train(texts: DataFrame, words: DataFrame, text: str, most_blocks: int = MOST
     )
 
 
+def frequent_counts(words: DataFrame, most: int) -> dict[bytes, int]:
+    """The counts of all words from some count on, ``most`` words at most."""
+    level = _level(F.col("n"), 1)
+    sizes = words.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect()
+    least, held = None, 0
+    for row in sizes:
+        held += row["count"]
+        if held > most:
+            break
+        least = row.level
+    if least is None:
+        return {}
+    rows = words.where(level >= least).toLocalIterator()
+    return {row.word.encode(): row.n for row in rows}
+
+
 def scored(
     documents: DataFrame,
     training: Column,
@@ -438,8 +480,7 @@ def scored(
     learned = rows.where("NOT held_out")
     words = written(word_counts(learned, "text"), "words")
     model = train(learned, words, "text", most_blocks)
-    top = words.orderBy(F.desc("n"), "word").limit(frequent_words).toPandas()
-    frequent = dict(zip((word.encode() for word in top["word"]), top["n"].tolist()))
+    frequent = frequent_counts(words, frequent_words)
     # Plain values, which workers can read; the numbers go with the function.
     sent = spark.sparkContext.broadcast((model.filter.bits, frequent))
     blocks = model.filter.blocks
@@ -449,7 +490,7 @@ def scored(
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, frequent = sent.value
         model = Model(Filter(blocks, bits), *numbers)
-        for batch in batches:
+        for batch in slices(batches):
             values = batch["text"].to_pylist()
             for start, end in _chunks(values):
                 c = coded(values[start:end])
