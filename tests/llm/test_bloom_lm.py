@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from llm_fixtures import documents  # noqa: F401
 from pyspark.sql import functions as F
 
 from shiftwell.llm import bloom_lm

@@ -2,6 +2,7 @@ import hashlib
 import re
 
 import pytest
+from llm_fixtures import documents  # noqa: F401
 from pyspark.sql import functions as F
 
 from shiftwell.llm.mixing import cut_to_taken, leaf_budgets, mixed

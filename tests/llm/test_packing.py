@@ -5,6 +5,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from llm_fixtures import documents  # noqa: F401
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 

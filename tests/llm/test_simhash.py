@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from llm_fixtures import documents  # noqa: F401
 from pyspark.sql import functions as F
 
 from shiftwell.llm import simhash

@@ -1,6 +1,7 @@
 import zlib
 from collections import defaultdict
 
+from llm_fixtures import documents  # noqa: F401
 from pyspark.sql import functions as F
 
 from shiftwell.llm.slots import assigned, first_map, load_map, rebalanced, slot_bytes, store_map

@@ -4,6 +4,7 @@ import public_tokenizers
 import pytest
 import sentencepiece
 
+from llm_fixtures import documents  # noqa: F401
 from shiftwell.llm.token_counts import UnitLengths, frequent_lengths, n_pieces, token_counts
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from llm_fixtures import vectors  # noqa: F401
 from pyspark.sql import functions as F
 
 from shiftwell.llm import permutation, pstable
