@@ -75,6 +75,7 @@ class Line:
     scope: int
     pieces: list[str] = field(default_factory=list)
     linked: int = 0
+    empty: bool = False
 
 
 def _is_boilerplate(name: str, attributes: dict[str, str], in_article: bool) -> bool:
@@ -100,11 +101,14 @@ def _is_boilerplate(name: str, attributes: dict[str, str], in_article: bool) ->
 
 
 def page_lines(page: str) -> list[Line]:
-    """A page as lines: one per block, empty where only markup or boilerplate stood.
+    """A page as lines: one per block with text of its own, and one per empty block.
 
-    ``scope`` is 2 inside an article element, 1 inside main, 0 elsewhere.
+    A block is empty if nothing but white space stands between its tags; tags that only
+    nest make no line, nor does boilerplate. ``scope`` is 2 inside an article element, 1
+    inside main, 0 elsewhere.
     """
     lines: list[Line] = [Line(0)]
+    opened = None
     stack: list[tuple[str, bool, int]] = []
     links = 0
 
@@ -149,6 +153,8 @@ def page_lines(page: str) -> list[Line]:
             if name == "a":
                 links = max(0, links - 1)
             inside = any(entry[0] == name for entry in stack)
+            if inside and lines[-1] is opened and stack[-1][:2] == (name, False):
+                opened.empty = True
             close(name)
             if name in BLOCKS and (inside or name == "p"):
                 cut(now()[1])
@@ -185,7 +191,8 @@ def page_lines(page: str) -> list[Line]:
         stack.append((name, skipped, scope))
         if name in BLOCKS:
             cut(scope)
-    return lines
+            opened = lines[-1]
+    return [line for line in lines if line.empty or "".join(line.pieces).strip()]
 
 
 def _text(line: Line) -> str:
@@ -195,22 +202,33 @@ def _text(line: Line) -> str:
 def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
     """The blocks of a page between the points where its text surges and dives.
 
-    Each line weighs the length of its own text, none if it lies outside the article
-    of a page that marks one, or if over half of it is links on other pages. The sums
-    over ``window`` lines from each line on are its distribution. A surge is a line
-    whose sum exceeds the threshold (any text within a marked article, ``surge``
-    characters elsewhere), a dive the next line from which the sum is nothing; text
-    between them is kept. A page that never surges keeps all lines of any weight.
+    Each line weighs the length of its own text, none if over half of it is links on
+    other pages. Where the articles of a page, or else its main part, hold over half of
+    its text, lines outside weigh nothing. The sums over ``window`` lines from each line
+    on are the page's distribution. A surge is a line whose sum exceeds the threshold
+    (any text there, ``surge`` characters elsewhere), a dive the next line from which
+    the sum is nothing; text between them is kept. A page that never surges keeps all lines
+    of any weight.
     """
     lines = page_lines(page or "")
     texts = [_text(line) for line in lines]
-    scope = max((line.scope for line, text in zip(lines, texts) if text), default=0)
-    weights = [
-        len(text)
-        if line.scope >= scope and (scope or 2 * line.linked <= len(text) or not line.linked)
-        else 0
+    lengths = [
+        len(text) if 2 * line.linked <= len(text) or not line.linked else 0
         for line, text in zip(lines, texts)
     ]
+    scope = next(
+        scope
+        for scope in (2, 1, 0)
+        if 2 * sum(n for line, n in zip(lines, lengths) if line.scope >= scope) > sum(lengths)
+        or not scope
+    )
+    if scope:
+        weights = [
+            len(text) if line.scope >= scope else 0
+            for line, text in zip(lines, texts)
+        ]
+    else:
+        weights = lengths
     threshold = 0 if scope else surge
     sums = [sum(weights[i : i + window]) for i in range(len(weights))]
     kept, inside = [], False

@@ -68,3 +68,19 @@ def test_table(spark):
     clashing = extract_text(pages.withColumnRenamed("url", "text"))
     assert clashing.columns == ["page_id", "text", "n_chars"]
     assert extract_text(pages.limit(0)).collect() == []
+
+
+BODY = "Long body text of the page goes on here. " * 5
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<div><div><p>{BODY}</p></div><div><p>Short end.</p></div></div>", f"{BODY.strip()}\nShort end."),
+        (f"<h1>Title</h1><div><section><p>{BODY}</p></section></div>", f"Title\n{BODY.strip()}"),
+        (f"<article><p>Teaser</p></article><div><p>{BODY}</p></div>", f"Teaser\n{BODY.strip()}"),
+        (f"<main><article><p>Teaser</p></article><p>{BODY}</p></main><p>Out</p>", f"Teaser\n{BODY.strip()}"),
+    ],
+)
+def test_nesting_and_teasers_cost_no_text(page, text):
+    assert main_text(page) == text
