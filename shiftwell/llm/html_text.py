@@ -204,10 +204,10 @@ def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str
 
     Each line weighs the length of its own text, none if over half of it is links on
     other pages. Where the articles of a page, or else its main part, hold over half of
-    its text, lines outside weigh nothing. The sums over ``window`` lines from each line
-    on are the page's distribution. A surge is a line whose sum exceeds the threshold
-    (any text there, ``surge`` characters elsewhere), a dive the next line from which
-    the sum is nothing; text between them is kept. A page that never surges keeps all lines
+    its text, lines outside weigh nothing and each line of text inside half a ``surge``
+    more. The sums over ``window`` lines from each line on are the page's distribution.
+    A surge is a line whose sum exceeds ``surge``, a dive the next line from which the
+    sum is nothing; text between them is kept. A page that never surges keeps all lines
     of any weight.
     """
     lines = page_lines(page or "")
@@ -224,16 +224,15 @@ def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str
     )
     if scope:
         weights = [
-            len(text) if line.scope >= scope else 0
+            len(text) + surge / 2 if text and line.scope >= scope else 0
             for line, text in zip(lines, texts)
         ]
     else:
         weights = lengths
-    threshold = 0 if scope else surge
     sums = [sum(weights[i : i + window]) for i in range(len(weights))]
     kept, inside = [], False
     for i, total in enumerate(sums):
-        inside = total > threshold or (inside and total > 0)
+        inside = total > surge or (inside and total > 0)
         if inside and weights[i]:
             kept.append(texts[i])
     if not kept:

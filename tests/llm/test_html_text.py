@@ -84,3 +84,9 @@ BODY = "Long body text of the page goes on here. " * 5
 )
 def test_nesting_and_teasers_cost_no_text(page, text):
     assert main_text(page) == text
+
+
+def test_surge_and_dive_decide_inside_an_article():
+    gap = "<div></div>" * 3
+    page = f"<article><p>Tag</p>{gap}<h1>Title</h1><p>By me</p><p>{BODY}</p><p>End.</p>{gap}<p>Like</p></article>"
+    assert main_text(page) == f"Title\nBy me\n{BODY.strip()}\nEnd."
