@@ -14,15 +14,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shiftwell.llm.groups import slices
+from shiftwell.llm.groups import groups, slices
 from shiftwell.llm.tables import written
 
 BASE = math.sqrt(2)
-MIN_PAIR = 2
+MIN_PAIR = 1
 DISCOUNT = 0.75
 PROBES = 6
 BLOCK_BITS = 1 << 19
-MOST_BLOCKS = 1 << 10
+BROADCAST_BLOCKS = 1 << 10
+SHARD_BLOCKS = 1 << 6
+MOST_PARTITIONS = 50_000
 FREQUENT = 1 << 18
 CHUNK_CHARS = 1 << 21
 HELD_PAIRS = 1 << 21
@@ -78,15 +80,19 @@ def count_of(level: np.ndarray, least: float) -> np.ndarray:
 
 @dataclass
 class Filter:
-    """A blocked Bloom filter in which an entry of level q is put with 1, 2, .. q."""
+    """A blocked Bloom filter in which an entry of level q is put with 1, 2, .. q.
+
+    ``bits`` are those of the blocks from ``first`` on.
+    """
 
     blocks: int
     bits: np.ndarray
+    first: int = 0
 
     def holds(self, keys: np.ndarray, levels: int | np.ndarray) -> np.ndarray:
         """Whether each entry is in with the level, by all of its probes."""
         found = np.zeros(len(keys), dtype=bool)
-        start = block_of(keys, self.blocks).astype(np.int64) * (BLOCK_BITS // 8)
+        start = (block_of(keys, self.blocks).astype(np.int64) - self.first) * (BLOCK_BITS // 8)
         first, step = probe_steps(keys, levels)
         alive = np.arange(len(keys))
         for probe in range(PROBES):
@@ -124,6 +130,17 @@ class Filter:
         return low
 
 
+@dataclass
+class Answers:
+    """Levels that a filter gave, by sorted keys."""
+
+    keys: np.ndarray
+    found: np.ndarray
+
+    def levels(self, keys: np.ndarray) -> np.ndarray:
+        return self.found[np.searchsorted(self.keys, keys)].astype(np.int64)
+
+
 def block_of(keys: np.ndarray, blocks: int) -> np.ndarray:
     return (keys >> np.uint64(32)) % np.uint64(blocks)
 
@@ -281,7 +298,7 @@ def _level(n: Column, least: float) -> Column:
 class Model:
     """The filter and what is needed besides it to turn its levels into probabilities."""
 
-    filter: Filter
+    filter: Filter | Answers
     tokens: int
     distinct: int
     texts: int
@@ -301,7 +318,8 @@ class Model:
         own = (words + 1) / (self.tokens + self.distinct + 1)
         seen = words.copy()
         seen[1] = self.texts
-        mass = count_of(self.filter.levels(entry_keys(KIND_MASS, context_keys(c.hashes))), 1.0)
+        masses = self.filter.levels(entry_keys(KIND_MASS, context_keys(c.hashes)))
+        mass = count_of(masses, 1.0) * (1 - DISCOUNT)
         # A context's count is at least what its kept pairs add up to.
         seen = np.maximum(seen, mass)
         left = np.clip(1 - mass / np.maximum(seen, 1), LEAST_LEFT, 1)
@@ -319,14 +337,47 @@ class Model:
         return np.log10(np.minimum(np.minimum(known, 1 - rest) + rest * own[c.codes], 1))
 
 
-def train(texts: DataFrame, words: DataFrame, text: str, most_blocks: int = MOST_BLOCKS) -> Model:
-    """The model of the texts, whose word counts (word, n) are given.
+def asked_keys(c: Coded) -> np.ndarray:
+    """All entries that ``Model.log10`` may ask a filter for, each once."""
+    pairs = pair_keys(c.hashes[c.contexts], c.hashes[c.codes])
+    return np.unique(
+        np.concatenate(
+            [
+                entry_keys(KIND_WORD, c.hashes),
+                entry_keys(KIND_MASS, context_keys(c.hashes)),
+                entry_keys(KIND_PAIR, np.unique(pairs)),
+            ]
+        )
+    )
+
+
+def train(
+    texts: DataFrame, words: DataFrame, text: str, most_blocks: int | None = None
+) -> Model:
+    """The model of the texts, whose word counts (word, n) are given, with its whole filter."""
+    filled, blocks, numbers = filter_blocks(texts, words, text, most_blocks)
+    return Model(Filter(blocks, filter_bits(filled, blocks)), *numbers)
+
+
+def filter_bits(filled: DataFrame, blocks: int) -> np.ndarray:
+    """The bits of all blocks, on the driver."""
+    bits = np.zeros(blocks * (BLOCK_BITS // 8), dtype=np.uint8)
+    for row in filled.toLocalIterator():
+        start = row.block * (BLOCK_BITS // 8)
+        bits[start : start + BLOCK_BITS // 8] = np.frombuffer(row.bits, dtype=np.uint8)
+    return bits
+
+
+def filter_blocks(
+    texts: DataFrame, words: DataFrame, text: str, most_blocks: int | None = None
+) -> tuple[DataFrame, int, tuple[int, int, int, int, int]]:
+    """The filter's blocks as rows (block, bits), their number, and the model's numbers.
 
     Pairs are counted over all texts; those seen less than ``MIN_PAIR`` times are not
-    kept. The filter is as large as its entries ask for at ``PROBES`` probes, up to
-    ``most_blocks`` blocks (64 MiB by default): beyond that the least count kept, of
-    pairs and then of words, is raised to the first at which they fit. All three
-    numbers come from the whole table, and words left out keep their add-one share.
+    kept. The filter is as large as its entries ask for at ``PROBES`` probes and grows
+    with the texts. Only where ``most_blocks`` is given, the least count kept, of pairs
+    and then of words, is raised to the first at which they fit. All numbers come from
+    the whole table, and words left out keep their add-one share.
     """
     spark = texts.sparkSession
     totals = words.agg(F.sum("n"), F.count(F.lit(1))).first()
@@ -353,12 +404,12 @@ def train(texts: DataFrame, words: DataFrame, text: str, most_blocks: int = MOST
         lost = 2 * cut
         return sum(e * (2 * d - lost + 2) // (2 * d + 2) for d, e in by_doubling.items() if d >= cut)
 
-    room = int(most_blocks * BLOCK_BITS * math.log(2) / PROBES)
+    room = math.inf if most_blocks is None else int(most_blocks * BLOCK_BITS * math.log(2) / PROBES)
     of_pairs, of_words = spread(pairs, MIN_PAIR), spread(keyed, 1)
     cut_pairs = cut_words = 0
     # Masses are kept for contexts, no more than there are pairs or words.
     while True:
-        masses = min(entries(of_pairs, cut_pairs), entries(of_words, 0))
+        masses = min(entries(of_pairs, cut_pairs), entries(of_words, 0)) if most_blocks else 0
         needed = entries(of_pairs, cut_pairs) + entries(of_words, cut_words) + masses
         if needed <= room or (not of_pairs and not of_words) or max(cut_pairs, cut_words) > 62:
             break
@@ -367,12 +418,18 @@ def train(texts: DataFrame, words: DataFrame, text: str, most_blocks: int = MOST
         else:
             cut_words += 1
     least_pair, least_word = MIN_PAIR << cut_pairs, 1 << cut_words
-    blocks = min(most_blocks, max(1, -(-int(needed * PROBES / math.log(2)) // BLOCK_BITS)))
 
     pairs = pairs.where(F.col("n") >= least_pair)
+    # In units of what the discount leaves of one: whole numbers.
     masses = pairs.groupBy(F.shiftrightunsigned("pair", WORD_BITS).alias("key")).agg(
-        F.sum(F.col("n") - DISCOUNT).alias("n")
+        F.sum((F.col("n") - DISCOUNT) / (1 - DISCOUNT)).alias("n")
     )
+    masses = written(masses, "masses")
+    needed = entries(of_pairs, cut_pairs) + entries(of_words, cut_words)
+    needed += entries(spread(masses, 1), 0)
+    blocks = max(1, -(-int(needed * PROBES / math.log(2)) // BLOCK_BITS))
+    blocks = blocks if most_blocks is None else min(most_blocks, blocks)
+
     every = (
         pairs.select(
             F.lit(KIND_PAIR).alias("kind"),
@@ -417,19 +474,112 @@ def train(texts: DataFrame, words: DataFrame, text: str, most_blocks: int = MOST
             place = pa.array([block], type=pa.int32())
             yield pa.RecordBatch.from_pydict({"block": place, "bits": [bits.tobytes()]})
 
+    parts = max(4 * spark.sparkContext.defaultParallelism, blocks // SHARD_BLOCKS)
     filled = written(
         every.mapInArrow(keyed_entries, "block int, key bigint, level int")
-        .repartition(min(blocks, 4 * spark.sparkContext.defaultParallelism), "block")
+        .repartition(min(blocks, parts, MOST_PARTITIONS), "block")
         .mapInArrow(fill, "block int, bits binary"),
         "filter",
     )
-    bits = np.zeros(blocks * (BLOCK_BITS // 8), dtype=np.uint8)
-    # At most ``most_blocks`` rows of 64 KiB.
-    for row in filled.toLocalIterator():
-        start = row.block * (BLOCK_BITS // 8)
-        bits[start : start + BLOCK_BITS // 8] = np.frombuffer(row.bits, dtype=np.uint8)
-    return Model(
-        Filter(blocks, bits), tokens, distinct, of_end.n if of_end else 0, least_pair, least_word
+    numbers = (tokens, distinct, of_end.n if of_end else 0, least_pair, least_word)
+    return filled, blocks, numbers
+
+
+def in_chunks(rows: DataFrame) -> DataFrame:
+    """The rows and their chunk, the place of its first row; a chunk is asked for at once."""
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, size = None, 0
+        for batch in slices(batches):
+            chunks = []
+            for place, text in zip(batch["place"].to_pylist(), batch["text"].to_pylist()):
+                if chunk is None or (size and size + len(text) > CHUNK_CHARS):
+                    chunk, size = place, 0
+                size += len(text)
+                chunks.append(chunk)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(chunks, type=pa.int64()), *batch.columns], ["chunk", *batch.schema.names]
+            )
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    return rows.mapInArrow(number, f"chunk bigint, {kinds}")
+
+
+def by_shard(keys: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of keys by the shard that holds their block, and their shards in it."""
+    shard = block_of(keys, blocks).astype(np.int64) // SHARD_BLOCKS
+    order = np.argsort(shard, kind="stable")
+    return order, shard[order]
+
+
+def answered(chunks: DataFrame, filled: DataFrame, blocks: int) -> DataFrame:
+    """chunk, shard and levels: a byte for each entry that a chunk asks of a shard, in order.
+
+    A chunk's distinct keys go to the shards of the filter that hold their blocks, and
+    levels come back. No task holds more than one shard; a key is asked for once a chunk,
+    so a frequent word weighs no more than others in its shard.
+    """
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in groups(batches, "chunk"):
+            keys = asked_keys(coded(batch["text"].to_pylist()))
+            order, shard = by_shard(keys, blocks)
+            keys = keys[order]
+            first = np.flatnonzero(np.concatenate(([True], shard[1:] != shard[:-1])))
+            data = [part.tobytes() for part in np.split(keys, first[1:])]
+            chunk = batch["chunk"][0].as_py()
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(shard[first].astype(np.int32)),
+                    pa.array([chunk] * len(first), type=pa.int64()),
+                    pa.array([None] * len(first), type=pa.int32()),
+                    pa.array(data, type=pa.binary()),
+                ],
+                ["shard", "chunk", "block", "data"],
+            )
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(SHARD_BLOCKS * (BLOCK_BITS // 8), dtype=np.uint8)
+        now = None
+        for batch in slices(batches):
+            rows = zip(*(batch[name].to_pylist() for name in ("shard", "chunk", "block", "data")))
+            given = []
+            for shard, chunk, block, data in rows:
+                if shard != now:
+                    bits[:] = 0
+                    now = shard
+                held = Filter(blocks, bits, shard * SHARD_BLOCKS)
+                if chunk is None:
+                    start = (block - held.first) * (BLOCK_BITS // 8)
+                    bits[start : start + BLOCK_BITS // 8] = np.frombuffer(data, dtype=np.uint8)
+                    continue
+                levels = held.levels(np.frombuffer(data, dtype=np.uint64))
+                given.append((chunk, shard, levels.astype(np.uint8).tobytes()))
+            if given:
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(values, type=kind)
+                        for values, kind in zip(zip(*given), (pa.int64(), pa.int32(), pa.binary()))
+                    ],
+                    ["chunk", "shard", "levels"],
+                )
+
+    shards = -(-blocks // SHARD_BLOCKS)
+    of_filter = filled.select(
+        F.expr(f"cast(block div {SHARD_BLOCKS} AS int)").alias("shard"),
+        F.lit(None).cast("bigint").alias("chunk"),
+        "block",
+        F.col("bits").alias("data"),
+    )
+    # All columns are read, so that chunks are those of any other reading.
+    asked = chunks.mapInArrow(
+        ask, "shard int, chunk bigint, block int, data binary"
+    )
+    return (
+        of_filter.unionAll(asked)
+        .repartition(min(shards, MOST_PARTITIONS), "shard")
+        .sortWithinPartitions("shard", F.col("chunk").asc_nulls_first())
+        .mapInArrow(answer, "chunk bigint, shard int, levels binary")
     )
 
 
@@ -454,17 +604,19 @@ def scored(
     training: Column,
     key: str = "doc_id",
     text: str = "text",
-    most_blocks: int = MOST_BLOCKS,
+    broadcast_blocks: int = BROADCAST_BLOCKS,
     frequent_words: int = FREQUENT,
 ) -> DataFrame:
     """key, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
 
     Rows for which ``training`` holds teach the model, all are scored whole. Counts of
     words and of pairs are gathered from all training texts by shuffles that grow
-    with them; only the filter, a bounded number of blocks, and the counts of the
-    ``frequent_words`` most frequent words are broadcast. ``base_score``, the add-one
-    score of single words, is exact: words beyond the broadcast are joined with their
-    counts.
+    with them, and so does the filter. Up to ``broadcast_blocks`` blocks (64 MiB by
+    default) it is broadcast; a larger one stays in shards, to which the rows' entries
+    go and from which their levels come back by shuffles (``answered``), with the same
+    scores. The counts of the ``frequent_words`` most frequent words are broadcast.
+    ``base_score``, the add-one score of single words, is exact: words beyond the
+    broadcast are joined with their counts.
 
     NULL and empty texts are one end token. A NULL key keeps its row; where that makes
     ``training`` NULL the row teaches nothing and counts as held out. Repeated rows
@@ -479,41 +631,77 @@ def scored(
     )
     learned = rows.where("NOT held_out")
     words = written(word_counts(learned, "text"), "words")
-    model = train(learned, words, "text", most_blocks)
+    filled, blocks, numbers = filter_blocks(learned, words, "text")
+    tokens, distinct = numbers[:2]
+    in_shards = blocks > broadcast_blocks
     frequent = frequent_counts(words, frequent_words)
     # Plain values, which workers can read; the numbers go with the function.
-    sent = spark.sparkContext.broadcast((model.filter.bits, frequent))
-    blocks = model.filter.blocks
-    numbers = (model.tokens, model.distinct, model.texts, model.least_pair, model.least_word)
+    bits = None if in_shards else filter_bits(filled, blocks)
+    sent = spark.sparkContext.broadcast((bits, frequent))
     kind = rows.schema["id"].dataType.simpleString()
 
+    def results(batch: pa.RecordBatch, model: Model) -> pa.RecordBatch:
+        _, frequent = sent.value
+        c = coded(batch["text"].to_pylist())
+        edges = np.cumsum(c.lengths) - c.lengths
+        counts = np.array([frequent.get(word, 0) for word in c.words], dtype=np.int64)
+        part = np.log10(counts + 1.0)[c.codes]
+        known = (counts > 0)[c.codes].astype(np.int64)
+        rare = np.flatnonzero(~known.astype(bool))
+        owner = np.searchsorted(edges, rare, side="right") - 1
+        offsets = np.searchsorted(owner, np.arange(len(edges) + 1)).astype(np.int32)
+        all_words = pa.array(c.words, type=pa.binary()).cast(pa.string())
+        taken = all_words.take(pa.array(c.codes[rare]))
+        return pa.RecordBatch.from_pydict(
+            {
+                "id": batch["id"],
+                "held_out": batch["held_out"],
+                "n_tokens": pa.array(c.lengths.astype(np.int64)),
+                "known": pa.array(np.add.reduceat(known, edges)),
+                "logs": pa.array(np.add.reduceat(part, edges)),
+                "score": pa.array(np.add.reduceat(model.log10(c), edges)),
+                "rare": pa.ListArray.from_arrays(pa.array(offsets), taken),
+            }
+        )
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, frequent = sent.value
-        model = Model(Filter(blocks, bits), *numbers)
+        model = Model(Filter(blocks, sent.value[0]), *numbers)
         for batch in slices(batches):
-            values = batch["text"].to_pylist()
-            for start, end in _chunks(values):
-                c = coded(values[start:end])
-                edges = np.cumsum(c.lengths) - c.lengths
-                counts = np.array([frequent.get(word, 0) for word in c.words], dtype=np.int64)
-                part = np.log10(counts + 1.0)[c.codes]
-                known = (counts > 0)[c.codes].astype(np.int64)
-                rare = np.flatnonzero(~known.astype(bool))
-                owner = np.searchsorted(edges, rare, side="right") - 1
-                offsets = np.searchsorted(owner, np.arange(len(edges) + 1)).astype(np.int32)
-                all_words = pa.array(c.words, type=pa.binary()).cast(pa.string())
-                taken = all_words.take(pa.array(c.codes[rare]))
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "id": batch["id"].slice(start, end - start),
-                        "held_out": batch["held_out"].slice(start, end - start),
-                        "n_tokens": pa.array(c.lengths.astype(np.int64)),
-                        "known": pa.array(np.add.reduceat(known, edges)),
-                        "logs": pa.array(np.add.reduceat(part, edges)),
-                        "score": pa.array(np.add.reduceat(model.log10(c), edges)),
-                        "rare": pa.ListArray.from_arrays(pa.array(offsets), taken),
-                    }
-                )
+            for start, end in _chunks(batch["text"].to_pylist()):
+                yield results(batch.slice(start, end - start), model)
+
+    def score_answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in groups(batches, "chunk"):
+            texts = np.flatnonzero(batch["is_text"].to_numpy(zero_copy_only=False))
+            levels = b"".join(batch["levels"].slice(0, texts[0]).to_pylist())
+            asking = batch.slice(texts[0])
+            keys = asked_keys(coded(asking["text"].to_pylist()))
+            if len(levels) != len(keys):
+                raise ValueError("a chunk's answers are not those to its questions")
+            found = np.empty(len(keys), dtype=np.uint8)
+            found[by_shard(keys, blocks)[0]] = np.frombuffer(levels, dtype=np.uint8)
+            yield results(asking, Model(Answers(keys, found), *numbers))
+
+    if in_shards:
+        # Written rows are dealt to tasks alike each time, and so are their chunks.
+        placed = rows.withColumn("place", F.monotonically_increasing_id())
+        chunks = in_chunks(written(placed, "rows"))
+        given = answered(chunks, filled, blocks).select(
+            "chunk",
+            F.lit(False).alias("is_text"),
+            "shard",
+            "levels",
+            F.lit(None).cast(kind).alias("id"),
+            F.lit(None).cast("boolean").alias("held_out"),
+            F.lit(None).cast("string").alias("text"),
+        )
+        asking = chunks.select(
+            "chunk", F.lit(True), F.lit(None), F.lit(None), "id", "held_out", "text"
+        )
+        # Chunks are of one size, but for single long texts.
+        together = given.unionAll(asking).repartition("chunk")
+        rows = together.sortWithinPartitions("chunk", "is_text", "shard")
+        score = score_answered
 
     partly = rows.mapInArrow(
         score,
@@ -528,13 +716,13 @@ def scored(
         .groupBy("row")
         .agg(F.count(F.lit(1)).alias("more"), F.sum(F.log10(F.col("n") + 1)).alias("more_logs"))
     )
-    total = F.lit(float(np.log10(model.tokens + model.distinct + 1)))
+    total = F.lit(float(np.log10(tokens + distinct + 1)))
     return partly.drop("rare").join(late, "row", "left").select(
         F.col("id").alias(key),
         "held_out",
         "n_tokens",
         (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
-        F.lit(model.tokens).cast("bigint").alias("train_tokens"),
+        F.lit(tokens).cast("bigint").alias("train_tokens"),
         (F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) - F.col("n_tokens") * total).alias(
             "base_score"
         ),

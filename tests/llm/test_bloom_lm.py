@@ -128,3 +128,27 @@ def test_small_filter_keeps_the_frequent_counts(documents):
     assert model.filter.blocks == 1 and (model.least_word > 1 or model.least_pair > 2)
     common = model.log10(coded(["often seen words"]))
     assert (10**common[1:3] > 0.5).all()
+
+
+def test_filter_grows_with_its_entries_and_keeps_pairs_seen_once(documents):
+    rows = [(i, " ".join(f"v{i * 3000 + k}" for k in range(3000))) for i in range(30)]
+    model = model_of(documents(*rows))
+    assert model.least_pair == model.least_word == 1 and model.filter.blocks > 1
+    seen = coded(["v1 v2", "v2 v1"])
+    log = model.log10(seen)
+    assert log[1] > log[4] + 1
+
+
+@pytest.mark.parametrize("shard_blocks", [1, 64])
+def test_shards_give_the_scores_of_the_broadcast_filter(documents, shard_blocks, monkeypatch):
+    monkeypatch.setattr(bloom_lm, "SHARD_BLOCKS", shard_blocks)
+    monkeypatch.setattr(bloom_lm, "CHUNK_CHARS", 20_000)
+    rows = [(i, " ".join(f"v{(i * 2500 + k * k) % 70_000}" for k in range(3000))) for i in range(30)]
+    rows += [(None, "v1 v2"), (100, None), (101, ""), (101, ""), (102, "v1 v4 " * 9000)]
+    frame = documents(*rows)
+
+    def of(**settings):
+        found = scored(frame, F.expr(TRAINING), **settings).collect()
+        return sorted((repr(r.doc_id), *r[1:5], round(r.base_score, 6), round(r.score, 6)) for r in found)
+
+    assert of(broadcast_blocks=0) == of()
