@@ -19,11 +19,10 @@ from shiftwell.llm.workers import kept
 
 WINDOW = 4096
 END_ID = 2
-SHARD_DOCUMENTS = 512
-SHARD_TOKENS = 1 << 19
+SHARD_DOCUMENTS = 1 << 16
+SHARD_TOKENS = 1 << 23
 PARTITION_TOKENS = 1 << 22
 MOST_PARTITIONS = 50_000
-QUERY_TERMS = 32
 K1 = 1.2
 B = 0.75
 WORKER_ENTRIES = 400_000
@@ -137,21 +136,32 @@ class Bm25:
         self.weight = idf[terms[order]] * frequency * (K1 + 1) / (frequency + norm)
         self.idf = idf
         self.n = n
+        self.posted_terms = terms[order]
 
-    def neighbours(self, document: int, query_terms: int = QUERY_TERMS) -> np.ndarray:
+    def forget(self, gone: np.ndarray) -> None:
+        """Leave documents out of later answers; weights of the others stay."""
+        stay = ~gone[self.posted]
+        self.posted, self.weight = self.posted[stay], self.weight[stay]
+        self.posted_terms = self.posted_terms[stay]
+        self.found = np.bincount(self.posted_terms, minlength=1 << 16)
+        self.start = np.cumsum(self.found) - self.found
+
+    def neighbours(self, document: int) -> np.ndarray:
         """Documents that share a term with one, best first, ties by place.
 
-        The query is the document's ``query_terms`` rarest terms that others have too.
+        The query is all of the document's terms that others have too.
         """
         terms = self.terms[self.forward[document] : self.forward[document + 1]]
-        terms = terms[self.found[terms] > 1]
-        if len(terms) > query_terms:
-            terms = terms[np.lexsort((terms, self.found[terms]))[:query_terms]]
-        scores = np.zeros(self.n)
-        for term in terms.tolist():
-            start = self.start[term]
-            span = slice(start, start + self.found[term])
-            scores[self.posted[span]] += self.weight[span]
+        terms = terms[self.found[terms] > 0]
+        starts, ends = self.start[terms], self.start[terms] + self.found[terms]
+        spans = [slice(*span) for span in zip(starts.tolist(), ends.tolist())]
+        if not spans:
+            return np.empty(0, dtype=np.int64)
+        scores = np.bincount(
+            np.concatenate([self.posted[span] for span in spans]),
+            np.concatenate([self.weight[span] for span in spans]),
+            self.n,
+        )
         scores[document] = 0
         hit = np.nonzero(scores)[0]
         return hit[np.lexsort((hit, -scores[hit]))]
@@ -167,7 +177,7 @@ def pack_order(documents: list[np.ndarray], room: int, window: int = WINDOW) ->
     index = Bm25(documents)
     used = np.zeros(len(documents), dtype=bool)
     order: list[int] = []
-    first_unused = 0
+    first_unused = forgotten = 0
     seed = None
 
     def take(document: int) -> bool:
@@ -193,6 +203,10 @@ def pack_order(documents: list[np.ndarray], room: int, window: int = WINDOW) ->
             if take(seed):
                 seed = carried(seed)
                 continue
+        # Used documents are no neighbours; they go when they are a fifth of the index.
+        if 5 * (len(order) - forgotten) > len(documents) - forgotten:
+            index.forget(used)
+            forgotten = len(order)
         following = None
         for near in index.neighbours(seed).tolist():
             if not used[near] and take(near):
@@ -226,9 +240,10 @@ def packed(
     that those with common passages lie together, and dealt by ranges of it into
     partitions of about ``PARTITION_TOKENS`` tokens; equal keys are parted by a hash
     of the row, so a large group of copies is spread over as many partitions as it
-    fills. A partition is worked through in shards of bounded size, each with a BM25
-    index of its own, from which a seed's unused neighbours fill the window. Nothing
-    is left out: documents longer than a window go on in the next.
+    fills. A partition has one BM25 index, more only where it holds over ``SHARD_TOKENS``
+    tokens or ``SHARD_DOCUMENTS`` documents, from which a seed's unused neighbours by
+    all of its terms fill the window. Neighbours in other partitions are not found.
+    Nothing is left out: documents longer than a window go on in the next.
 
     A NULL or empty text is the end id alone. NULL keys and repeated rows are packed
     like others. An empty table gives no rows. Further columns are not read.

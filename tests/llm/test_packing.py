@@ -150,3 +150,22 @@ def test_documents_with_a_common_passage_often_share_their_key():
         keys = {lexical_key(np.array(x, "<u2").tobytes()) for x in (a, b)}
         same += len(keys) == 1
     assert same > 100
+
+
+def test_a_seed_asks_with_all_of_its_terms():
+    seed = list(range(1, 200))
+    # Terms 1 to 40 are the rarest; of the last document the seed shares common ones only.
+    texts = [seed, list(range(1, 41)), *[list(range(100, 200))] * 3, [100]]
+    found = Bm25([np.array(t, dtype="<u2") for t in texts]).neighbours(0)
+    assert sorted(found.tolist()) == [1, 2, 3, 4, 5]
+
+
+def test_neighbours_are_found_across_a_partition():
+    passage = np.arange(1000, 1300, dtype="<u2")
+    far = [np.array([n], dtype="<u2").tobytes() for n in range(2, 902)]
+    ids = [passage.tobytes(), *far, passage.tobytes()]
+    packer = Packer(600, 0)
+    pieces = [p for batch in packer.add(list(range(len(ids))), ids) for p in batch]
+    pieces += [p for batch in packer.finish() for p in batch]
+    where = {key: sequence for key, _, _, _, _, sequence, _, _ in pieces}
+    assert where[0] == where[len(ids) - 1]
