@@ -10,13 +10,14 @@ from operator import eq
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shiftwell.llm.tables import written
 from shiftwell.llm.workers import kept
 
 LABELLED_ROWS = 20_000
-POOL_ROWS = 20_000
 ROUNDS = 4
 CONFIDENT = 0.98
 NEW_SHARE = 0.25
@@ -27,6 +28,7 @@ SEED = 42
 PLACES = 48
 
 TEXT_FEATURES = 17
+VIEWS = ("text", "metadata")
 
 # Marks of a character's class; a word's marks are those of its characters.
 SPACE, LOWER, UPPER, DIGIT, SYMBOL = 1, 2, 4, 8, 16
@@ -156,9 +158,78 @@ class CoTrained:
         return _sigmoid(logits[0]), _sigmoid(logits[1]), _sigmoid(combined)
 
 
+def surest(
+    view: Logistic, x: np.ndarray, free: np.ndarray, confident: float, most: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """The places of the ``most`` free rows that a view is surest of, and all logits."""
+    logit = view.logit(x)
+    least = np.log(confident / (1 - confident))
+    rows = np.flatnonzero(free & (np.abs(logit) >= least))
+    return rows[np.argsort(-np.abs(logit[rows]), kind="stable")][:most], logit
+
+
+class ArrayPool:
+    """Unlabelled rows as an array of features for each view."""
+
+    def __init__(self, views: tuple[np.ndarray, np.ndarray]) -> None:
+        self.views = views
+        self.free = [np.ones(len(x), dtype=bool) for x in views]
+
+    def lessons(
+        self, teacher: int, view: Logistic, confident: float, most: int
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Features for the pupil and 0/1 of the rows the teacher is surest of, each once."""
+        pupil = 1 - teacher
+        rows, logit = surest(view, self.views[teacher], self.free[pupil], confident, most)
+        self.free[pupil][rows] = False
+        return self.views[pupil][rows], (logit[rows] >= 0).astype(float)
+
+
+class TablePool:
+    """Unlabelled rows as a table (row, x) of any size; tasks score all of its rows."""
+
+    def __init__(self, rows: DataFrame) -> None:
+        self.rows = rows
+        self.taken: list[list[int]] = [[], []]
+
+    def lessons(
+        self, teacher: int, view: Logistic, confident: float, most: int
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """As of ``ArrayPool``; what comes back is ``most`` rows, a share of the examples."""
+        pupil = 1 - teacher
+        gone = np.array(self.taken[pupil], dtype=np.int64)
+
+        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                x = batch["teacher"].flatten().to_numpy().reshape(batch.num_rows, -1)
+                free = ~np.isin(batch["row"].to_numpy(), gone)
+                rows, logit = surest(view, x, free, confident, most)
+                chosen = batch.select(["row", "pupil"]).take(pa.array(rows))
+                yield pa.RecordBatch.from_arrays(
+                    [*chosen.columns, pa.array(logit[rows])], ["row", "pupil", "logit"]
+                )
+
+        found = (
+            self.rows.select(
+                "row",
+                F.col(f"x.{VIEWS[teacher]}").alias("teacher"),
+                F.col(f"x.{VIEWS[pupil]}").alias("pupil"),
+            )
+            .mapInArrow(score, "row bigint, pupil array<double>, logit double")
+            .orderBy(F.abs("logit").desc(), F.xxhash64("row"), "row")
+            .limit(most)
+            .collect()
+        )
+        self.taken[pupil] += [row["row"] for row in found]
+        x = np.array([row.pupil for row in found], dtype=float)
+        return x, np.array([row.logit >= 0 for row in found], dtype=float)
+
+
 def co_train(
     labelled: tuple[np.ndarray, np.ndarray, np.ndarray],
-    pool: tuple[np.ndarray, np.ndarray],
+    pool: tuple[np.ndarray, np.ndarray] | TablePool,
     rounds: int = ROUNDS,
     confident: float = CONFIDENT,
     seed: int = SEED,
@@ -166,10 +237,11 @@ def co_train(
     """Views that teach each other over ``rounds``, then calibrated and combined.
 
     ``labelled`` is (text features, metadata features, 0/1), ``pool`` the same without
-    labels. In each round either view labels the rows of the pool it is most certain
-    of, at least ``confident`` and at most ``NEW_SHARE`` of its examples so far, and the
-    other view learns them. A held-out part of the labelled rows, which teaches no
-    view, calibrates both and fits the weights by which they are combined.
+    labels, or a table of them. In each round either view labels the rows of the whole
+    pool it is most certain of, at least ``confident`` and at most ``NEW_SHARE`` of its
+    examples so far, and the other view learns them. A held-out part of the labelled
+    rows, which teaches no view, calibrates both and fits the weights by which they are
+    combined.
     """
     text, metadata, y = labelled
     order = np.random.default_rng(seed).permutation(len(y))
@@ -182,23 +254,15 @@ def co_train(
     calibrate = held if len(np.unique(y[held])) == 2 else learn
     views_x = (text, metadata)
     examples = [(x[learn], y[learn].astype(float)) for x in views_x]
-    free = [np.ones(len(pool[0]), dtype=bool) for _ in views_x]
+    pool = pool if isinstance(pool, TablePool) else ArrayPool(pool)
     views = [Logistic.fit(*example) for example in examples]
     for _ in range(rounds):
         taught = False
         for teacher, pupil in ((0, 1), (1, 0)):
-            p = _sigmoid(views[teacher].logit(pool[teacher]))
-            sure = np.maximum(p, 1 - p)
-            rows = np.flatnonzero(free[pupil] & (sure >= confident))
-            most = int(NEW_SHARE * len(examples[pupil][1]))
-            rows = rows[np.argsort(-sure[rows], kind="stable")][:most]
-            if len(rows):
-                x, known = examples[pupil]
-                examples[pupil] = (
-                    np.vstack([x, pool[pupil][rows]]),
-                    np.concatenate([known, (p[rows] >= 0.5).astype(float)]),
-                )
-                free[pupil][rows] = False
+            x, known = examples[pupil]
+            more, told = pool.lessons(teacher, views[teacher], confident, int(NEW_SHARE * len(known)))
+            if len(told):
+                examples[pupil] = (np.vstack([x, more]), np.concatenate([known, told]))
                 taught = True
         if not taught:
             break
@@ -249,15 +313,15 @@ def fit(
     key: str = "doc_id",
     label: str = "quality",
     labelled_rows: int = LABELLED_ROWS,
-    pool_rows: int = POOL_ROWS,
     seed: int = SEED,
     **columns: str,
 ) -> CoTrained | None:
-    """Co-trained views from about ``labelled_rows`` labelled and ``pool_rows`` other rows.
+    """Co-trained views from about ``labelled_rows`` labelled rows and all others.
 
-    Both samples are drawn by seeded hashes of the rows and come to the driver as
-    features, about that many rows whatever the tables hold. None if the sample does
-    not hold both classes.
+    The labelled sample is drawn by seeded hashes of the rows and comes to the driver
+    as features, about that many rows whatever the tables hold. The features of all
+    other rows are written once; each round scores all of them in tasks. None if the
+    sample does not hold both classes.
     """
     known = (
         labels.where(F.col(key).isNotNull() & F.col(label).isNotNull())
@@ -275,10 +339,7 @@ def fit(
     row = (F.col(key), F.monotonically_increasing_id())
     chosen = thinned(known, labelled_rows, F.col(key))
     labelled = thinned(documents.join(F.broadcast(chosen), key), labelled_rows, *row)
-    pool = thinned(documents, pool_rows, *row)
     labelled = _features(labelled, keep=[key, "truth"], **columns).collect()
-    taken = {row[key] for row in labelled}
-    pool = [row for row in _features(pool, keep=[key], **columns).collect() if row[key] not in taken]
     y = np.array([row.truth for row in labelled], dtype=int)
     if len(np.unique(y)) < 2:
         return None
@@ -290,7 +351,10 @@ def fit(
         )
 
     order = np.lexsort((y, [row[key] for row in labelled]))
-    return co_train((*matrices([labelled[i] for i in order]), y[order]), matrices(pool), seed=seed)
+    others = documents.join(F.broadcast(chosen.select(key)), key, "left_anti")
+    pool = _features(others, keep=[], **columns).withColumn("row", F.monotonically_increasing_id())
+    pool = TablePool(written(pool, "pool"))
+    return co_train((*matrices([labelled[i] for i in order]), y[order]), pool, seed=seed)
 
 
 def classified(
@@ -310,8 +374,9 @@ def classified(
     The scores are calibrated probabilities that a document is good by its text, by
     its metadata and by both; ``kept`` says whether the last reaches ``keep``. Two
     logistic regressions learn from labelled documents and, over rounds, from each
-    other's most certain verdicts on unlabelled ones (``co_train``). They are fitted on
-    bounded samples; every document is scored whole, in the map stage.
+    other's most certain verdicts on unlabelled ones (``co_train``), all of which are asked
+    in each round. The labelled rows are a bounded sample; every document is scored
+    whole, in the map stage.
 
     A NULL or empty text has no features, NULL metadata are a value of their own. A
     document with several labels is good if all say so; labels without a key, a value

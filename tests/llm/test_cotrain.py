@@ -5,6 +5,7 @@ import pytest
 from llm_fixtures import documents  # noqa: F401
 from pyspark.sql import functions as F
 
+from shiftwell.llm import cotrain
 from shiftwell.llm.cotrain import (
     TEXT_FEATURES, Logistic, classified, co_train, metadata_features, text_features,
 )
@@ -112,3 +113,27 @@ def test_without_both_classes_all_are_kept(documents, spark, labels):
 
 def test_empty_table(documents, spark):
     assert classified(documents(), spark.createDataFrame([(1, 1, 0)], LABELS)).collect() == []
+
+
+def test_all_unlabelled_rows_are_asked(spark, monkeypatch):
+    held = []
+    monkeypatch.setattr(cotrain, "co_train", lambda labelled, pool, **_: held.append(pool))
+    rows = spark.range(25_000).selectExpr(
+        "id AS doc_id", "concat('word ', id) AS text", "'en' AS lang", "'s' AS source", "id AS n_chars"
+    )
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(100)], LABELS)
+    cotrain.fit(rows, labels, text="text", lang="lang", source="source", length="n_chars")
+    assert held[0].rows.count() == 24_900
+
+
+def test_a_table_teaches_what_arrays_teach(spark):
+    rng = np.random.default_rng(5)
+    views = [rng.standard_normal((500, width)) for width in (TEXT_FEATURES, 4)]
+    rows = [(i, (a.tolist(), b.tolist())) for i, (a, b) in enumerate(zip(*views))]
+    kind = "row bigint, x struct<text: array<double>, metadata: array<double>>"
+    pools = cotrain.TablePool(spark.createDataFrame(rows, kind)), cotrain.ArrayPool(tuple(views))
+    for teacher in (0, 1, 0):
+        y = (views[teacher][:, 0] + 0.3 * rng.standard_normal(500) > 0).astype(float)
+        view = Logistic.fit(views[teacher], y)
+        (x, told), (expected, known) = (p.lessons(teacher, view, 0.9, 60) for p in pools)
+        assert len(told) == 60 and np.allclose(x, expected) and (told == known).all()
