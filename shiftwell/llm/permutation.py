@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -155,8 +156,9 @@ def nearest(
 
     Nearness is the cosine in double precision, ties go to the smaller key. A row is
     no neighbour of its own, but a repeated row is one of the other. Vectors that are
-    NULL, zero or hold NULL or non-finite numbers take no part, nor do vectors of
-    another length than most have. Rows with a NULL key are candidates, last among
+    NULL, zero or hold NULL or non-finite numbers take no part. Vectors of
+    each length are searched among their own, with pivots and blocks of that length, one
+    after another. Rows with a NULL key are candidates, last among
     ties, and queries if the condition holds for them. Fewer than k candidates give
     fewer rows, an empty table none. Further columns are not read.
     """
@@ -172,15 +174,29 @@ def nearest(
     lengths = rows.groupBy(F.size("vector").alias("dim")).agg(
         F.count(F.lit(1)).alias("rows"), F.sum(F.col("query").cast("int")).alias("queries")
     )
-    most = lengths.orderBy(F.desc("rows"), "dim").first()
-    if most is None:
+    # One row per length.
+    asked = [row for row in lengths.orderBy("dim").collect() if row.queries]
+    found = [
+        _nearest_of_length(
+            rows.where(F.size("vector") == of.dim), of, k, pivots, prefix, share, seed
+        )
+        for of in asked
+    ]
+    if not found:
         return spark.createDataFrame([], schema).withColumnRenamed("key", key)
-    rows = rows.where(F.size("vector") == most.dim)
+    return reduce(DataFrame.unionAll, found).withColumnRenamed("key", key)
+
+
+def _nearest_of_length(
+    rows: DataFrame, of: Row, k: int, pivots: int, prefix: int, share: float, seed: int
+) -> DataFrame:
+    """``nearest`` of usable vectors of one length, ``of.rows`` of them, ``of.queries`` queries."""
+    spark = rows.sparkSession
     chosen = choose_pivots(rows, pivots, seed=seed)
     count = len(chosen)
     index = written(build_index(rows, chosen, min(prefix, count)), "permutation-index")
-    row_blocks = -(-most.rows // ROW_BLOCK)
-    query_blocks = max(1, -(-most.queries // QUERY_BLOCK))
+    row_blocks = -(-of.rows // ROW_BLOCK)
+    query_blocks = max(1, -(-of.queries // QUERY_BLOCK))
     # Both kinds of blocks hold a bounded number of rows; a row goes to a task for
     # each block of the other kind.
     as_rows = index.select(
@@ -219,4 +235,4 @@ def nearest(
     order = W.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("key"))
     best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     ids = index.where("query").select(F.col("row").alias("query"), F.col("key").alias("query_id"))
-    return best.join(ids, "query").select("query_id", "rank", F.col("key").alias(key), "score")
+    return best.join(ids, "query").select("query_id", "rank", "key", "score")

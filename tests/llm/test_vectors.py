@@ -135,3 +135,12 @@ def test_scores_are_footrule_distances():
     for i in range(4):
         for j in range(20):
             assert distance(perms[i], perms[j]) == 5 * 6 - 2 * scores[i, j]
+
+
+def test_each_length_is_searched_among_its_own(vectors):
+    rows = [(k, [1.0, k / 10, 0.0], 0) for k in range(6)]
+    rows += [(10, [1.0, 0.0], 0), (11, [1.0, 0.1], 0), (12, [0.0, 1.0], 0), (20, [1.0], 0)]
+    found = nearest(vectors(*rows, *ODD), F.col("vec_id").isin(0, 10, 20), k=2).collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id) for r in found) == [
+        (0, 1, 1), (0, 2, 2), (10, 1, 11), (10, 2, 12)
+    ]
