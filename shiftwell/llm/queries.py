@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from shiftwell.llm import (
     bloom_lm,
     cotrain,
+    divergence,
     html_text,
+    infilling,
     mixing,
     packing,
     permutation,
@@ -19,6 +21,7 @@ from shiftwell.llm import (
     simhash,
     slots,
     token_counts,
+    url_templates,
 )
 from shiftwell.llm.tables import table
 
@@ -33,6 +36,13 @@ MAX_EPOCHS = 2
 SEED = 42
 SHARDS = 16
 QUERY_EVERY = 50
+URL_RULES = (
+    url_templates.Rule("allow", "org", "/"),
+    url_templates.Rule("block", "example.org", "/es/"),
+    url_templates.Rule("block", "example.org", "/en/1"),
+    url_templates.Rule("allow", "com", "/fr/"),
+    url_templates.Rule("block", "com", "/de/"),
+)
 
 
 def _register(query: Query) -> Query:
@@ -113,3 +123,18 @@ def op10_cotrained_quality(spark: SparkSession, folder: str) -> DataFrame:
     documents, labels = (table(spark, folder, name) for name in ("documents", "labels"))
     scored = cotrain.classified(documents, labels)
     return scored.select("doc_id", "text_score", "metadata_score", "score", "kept")
+
+
+@_register
+def op11_seekable_infilling(spark: SparkSession, folder: str) -> DataFrame:
+    return infilling.transformed(table(spark, folder, "documents"), outputs=False)
+
+
+@_register
+def op12_path_templates(spark: SparkSession, folder: str) -> DataFrame:
+    return url_templates.url_verdicts(table(spark, folder, "pages"), URL_RULES)
+
+
+@_register
+def op13_skyband_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))

@@ -15,7 +15,7 @@ FOLDER = os.environ.get("LLM_FOLDER", "/root/testdata/sf0.001")
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_agrees_with_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "pages"):
         duck.execute(f"CREATE VIEW {table} AS FROM '{FOLDER}/{table}.parquet'")
     frame = QUERIES[name](spark, FOLDER)
     answer = duck.execute(SQL[name])
@@ -27,4 +27,4 @@ def test_query_agrees_with_sql(spark, name):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
