@@ -504,6 +504,21 @@ def replace_rides(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_register
+def replace_under_reader(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows that a reader opened before two replaces, the second with other columns, and
+    the rows after them."""
+    workspace = _workspace(spark)
+    table = workspace.staged("rides_data")
+    before = workspace.replace(table, _whole_rides(spark, folder), RIDES)
+    workspace.replace(table, before.where("Duration_min > 25"))
+    longer = workspace.read(table).select("Ride_ID", (F.col("Fare") * 2).alias("Fare"))
+    after = workspace.replace(table, longer)
+    return before.select("Ride_ID", "Fare", F.lit("before").alias("seen")).unionAll(
+        after.select("Ride_ID", "Fare", F.lit("after").alias("seen"))
+    )
+
+
 @_register
 def run_all_tags(spark: SparkSession, folder: str) -> DataFrame:
     """Keywords and flags after the whole run, from files to marts, made twice."""

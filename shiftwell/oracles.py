@@ -278,6 +278,9 @@ SQL: dict[str, str] = {
       SELECT Ride_ID, Driver_ID, CAST(NULL AS VARCHAR) AS City, Date,
              CAST(NULL AS DOUBLE) AS Distance_km, CAST(Duration_min AS BIGINT) AS Duration_min,
              Fare, CAST(NULL AS DOUBLE) AS Rating, CAST(NULL AS VARCHAR) AS Promo_Code FROM rides""",
+    "replace_under_reader": f"""WITH {_RIDES}
+      SELECT Ride_ID, Fare, 'before' AS seen FROM rides
+      UNION ALL SELECT Ride_ID, Fare * 2, 'after' FROM rides WHERE Duration_min > 25""",
     "view_over_tables": f"""WITH {_DRIVERS}, {_RIDES}
       SELECT d.City, COUNT(r.Ride_ID) AS rides, ROUND(SUM(r.Fare), 2) AS fare
       FROM drivers d LEFT JOIN rides r ON d.Driver_ID = r.Driver_ID GROUP BY d.City""",
