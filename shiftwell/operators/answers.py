@@ -9,9 +9,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shiftwell.keyed import BUCKET_ROWS, KEEP_SECONDS, KeyedStore
 from shiftwell.operators.calls import OK
 
-_SCHEMA = "key string, answer string, status string, model string, run string"
+_FAILURES = "key string, answer string, status string, run string"
 
 
 def answer_key(model: str, prompt: Column) -> Column:
@@ -21,45 +22,59 @@ def answer_key(model: str, prompt: Column) -> Column:
 
 @dataclass(frozen=True)
 class AnswerStore:
-    """A Parquet folder of (key, answer, status), parted by model and run.
+    """Answers by key, a keyed store for each model.
 
-    Give it a folder every executor can reach. Failed answers are kept with
-    their run but not counted as known, so a later run asks again.
+    Give it a folder every executor can reach. A lookup reads the buckets of the keys
+    asked for; files stay few however many runs add to it. Failed answers are kept
+    with their run but not counted as known, so a later run asks again. ``keep_seconds``
+    is how long files that were merged stay for the frames that read them.
     """
 
     path: str
+    bucket_rows: int = BUCKET_ROWS
+    keep_seconds: float = KEEP_SECONDS
+
+    def _store(self, spark: SparkSession, model: str) -> KeyedStore:
+        path = f"{self.path.rstrip('/')}/model={_folder(model)}"
+        return KeyedStore(
+            spark,
+            path,
+            "answer string",
+            bucket_rows=self.bucket_rows,
+            keep_seconds=self.keep_seconds,
+        )
 
-    def _rows(self, spark: SparkSession, model: str) -> DataFrame:
-        try:
-            rows = spark.read.schema(_SCHEMA).parquet(self.path)
-        except AnalysisException as failure:
-            if failure.getCondition() != "PATH_NOT_FOUND":
-                raise
-            rows = spark.createDataFrame([], _SCHEMA)
-        return rows.where(F.col("model") == _folder(model))
+    def known(self, spark: SparkSession, model: str, asked: DataFrame | None = None) -> DataFrame:
+        """Answers that need not be asked for again, one per key.
 
-    def known(self, spark: SparkSession, model: str) -> DataFrame:
-        """Answers that need not be asked for again, one per key."""
-        good = self._rows(spark, model).where(F.col("status") == OK)
-        return good.select("key", "answer", "status").dropDuplicates(["key"])
+        With ``asked``, which has a column key, those of its keys, and of others that
+        share their buckets; without it all.
+        """
+        store = self._store(spark, model)
+        rows = store.rows() if asked is None else store.lookup(asked)
+        return rows.dropDuplicates(["key"]).select("key", "answer", F.lit(OK).alias("status"))
 
     def add(self, answered: DataFrame, model: str) -> str:
-        """Keep (key, a0, s0) as answers of a new run, whose name is returned."""
+        """Keep (key, a0, s0), read up to three times, as a new run, whose name is returned."""
         run = uuid.uuid4().hex
-        parted = answered.select(
-            "key",
-            F.col("a0").alias("answer"),
-            F.col("s0").alias("status"),
-            F.lit(_folder(model)).alias("model"),
-            F.lit(run).alias("run"),
-        )
-        parted.write.mode("append").partitionBy("model", "run").parquet(self.path)
+        rows = answered.select("key", F.col("a0").alias("answer"), F.col("s0").alias("status"))
+        self._store(rows.sparkSession, model).add(rows.where(F.col("status") == OK).drop("status"))
+        failed = rows.where(F.col("status").isNull() | (F.col("status") != OK))
+        if not failed.isEmpty():
+            failed.write.parquet(f"{self._failed(model)}/run={run}")
         return run
 
-    def answers(self, spark: SparkSession, model: str, run: str) -> DataFrame:
-        """Everything known, and the failures of one run."""
-        failed = self._rows(spark, model).where((F.col("run") == run) & (F.col("status") != OK))
-        return self.known(spark, model).unionByName(failed.select("key", "answer", "status"))
+    def failures(self, spark: SparkSession, model: str) -> DataFrame:
+        """key, answer, status and run of the calls that failed."""
+        try:
+            return spark.read.schema(_FAILURES).parquet(self._failed(model))
+        except AnalysisException as failure:
+            if failure.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], _FAILURES)
+
+    def _failed(self, model: str) -> str:
+        return f"{self.path.rstrip('/')}/failed/model={_folder(model)}"
 
 
 def _folder(model: str) -> str:

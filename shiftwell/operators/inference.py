@@ -1,6 +1,7 @@
 """Asking a model about every row, once per distinct prompt.
 
-Column models are projections: nothing is shuffled and no Python runs. Batch
+Column models are projections: nothing is shuffled, and Python runs only where the
+model's own expression has a pandas function in it, as that of ``hash_embedding``. Batch
 models are asked through a second, deduplicated frame:
 
     rows -> distinct prompt inputs -> model, in tasks -> answers, written
@@ -231,26 +232,43 @@ def _through_store(
 ) -> DataFrame:
     """As ``_by_batch`` for one question, with the store's answers.
 
-    The answers needed are copied out of the store: it changes with every question,
-    and Spark takes two reads of one folder in a plan for the same.
+    The answers needed are copied out of the store, which goes on to change.
     """
-    spark, model, text = rows.sparkSession, question.model, question.prompt.render()
+    model, text = question.model, question.prompt.render()
     asked = (
         rows.select(text.alias("p0"))
         .where(F.col("p0").isNotNull())
         .distinct()
         .select(answer_key(model.name, F.col("p0")).alias("key"), "p0")
     )
-    fresh = asked.join(store.known(spark, model.name).hint("merge"), "key", "left_anti")
-    asked_now = _ask(fresh, [model], [F.col("p0")], "string", _tasks(rows, tasks))
-    run = store.add(asked_now, model.name)
-    known = store.answers(spark, model.name, run).hint("merge")
-    answers = _kept(asked.select("key").join(known, "key"))
+    stored = _stored(asked, model, model.name, store, "string", _tasks(rows, tasks))
+    answers = _kept(stored)
     keyed = _keyed(out, answer_key(model.name, text), rows)
     answer = _result(F.col("answer"), _status(F.col("status")), question.kind)
     return _joined(keyed, answers).select(*out.columns, answer.alias(question.name))
 
 
+def _stored(
+    asked: DataFrame, model: BatchModel, name: str, store: AnswerStore, kind: str, tasks: int
+) -> DataFrame:
+    """key, answer and status of every prompt of ``asked``, new ones asked and kept.
+
+    The prompts are written once: their keys choose what is read of the store, twice
+    they meet its rows. What is asked now is written before it is kept and is not read
+    back from the store.
+    """
+    spark = asked.sparkSession
+    asked = _written(asked)
+    known = store.known(spark, name, asked)
+    fresh = asked.join(known.hint("merge"), "key", "left_anti")
+    now = _ask(fresh, [model], [F.col("p0")], kind, tasks)
+    now = _written(now.withColumn("a0", F.to_json("a0")) if kind != "string" else now)
+    store.add(now, name)
+    told = now.select("key", F.col("a0").alias("answer"), F.col("s0").alias("status"))
+    met = asked.select("key").join(known.hint("merge"), "key")
+    return met.unionByName(told)
+
+
 def embed(
     rows: DataFrame,
     text: str,
@@ -291,12 +309,8 @@ def embed(
         answers = _ask(asked, [model], [F.col("p0")], "array<double>", _tasks(rows, tasks))
     else:
         # The store keeps texts: a vector is kept as JSON, which gives back each number.
-        spark = rows.sparkSession
-        fresh = asked.join(store.known(spark, name).hint("merge"), "key", "left_anti")
-        now = _ask(fresh, [model], [F.col("p0")], "array<double>", _tasks(rows, tasks))
-        run = store.add(now.withColumn("a0", F.to_json("a0")), name)
-        known = store.answers(spark, name, run).hint("merge")
-        answers = asked.select("key").join(known, "key").select(
+        stored = _stored(asked, model, name, store, "array<double>", _tasks(rows, tasks))
+        answers = stored.select(
             "key",
             F.from_json("answer", "array<double>").alias("a0"),
             F.col("status").alias("s0"),

@@ -82,7 +82,9 @@ def append_rows(
 
     ``rows`` holds the columns of the table as text or typed, or with
     ``json_lines`` one JSON object per row. ``skip_known`` leaves out ids the table
-    has and repeats within the rows, so a repeated run adds nothing.
+    has and repeats within the rows, so a repeated run adds nothing. An index beside the
+    table tells its ids: a load reads the parts of it that its own ids fall into and the
+    ids of files that are new to it, not those of the whole table.
     """
     found = checked_json(rows, schema) if json_lines else checked(rows, schema)
     return append_checked(workspace, table, schema, found, id_column, skip_known)
@@ -98,24 +100,27 @@ def append_checked(
 ) -> LoadReport:
     """``append_rows`` for rows that have been checked already."""
     workspace.ensure(table, schema)
-    watched, seen = counted(rows, bad=is_bad())
-    good = good_rows(watched)
+    kept = rows
     if skip_known:
         if id_column is None or schema[id_column].nullable:
             raise ValueError("skip_known needs a required id_column")
-        good = unknown_rows(good, workspace.read(table), id_column)
-    added, written = counted(good)
-    workspace.append(table, added)
+        ids = workspace.known_ids(table, schema[id_column])
+        ids.follow()
+        # The index is asked about the rows before they are written; checked once.
+        kept = rows.persist()
+    try:
+        watched, seen = counted(kept, bad=is_bad())
+        good = good_rows(watched)
+        if skip_known:
+            good = ids.fresh(good, asked=good_rows(kept))
+        added, written = counted(good)
+        workspace.append(table, added)
+    finally:
+        if skip_known:
+            kept.unpersist()
     return LoadReport(written.get["rows"], seen.get["bad"], bad_rows(rows, id_column))
 
 
-def unknown_rows(rows: DataFrame, known: DataFrame, id_column: str) -> DataFrame:
-    """One row for each id that ``known`` does not have."""
-    ids = known.select(id_column).distinct()
-    fresh = rows.dropDuplicates([id_column]).join(ids, id_column, "left_anti")
-    return fresh.select(*rows.columns)
-
-
 def rows_frame(
     spark: SparkSession, rows: Iterable[Mapping[str, Any]], schema: T.StructType
 ) -> DataFrame:

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shiftwell.operators.checks import bad_rows, checked_json, good_rows
-from shiftwell.sources.tables import unknown_rows
+from shiftwell.operators.known import KnownIds
 
 
 def read_appended(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -22,6 +21,12 @@ def read_appended(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         return spark.createDataFrame([], schema)
 
 
+def known_ids(spark: SparkSession, target: str, id_field: T.StructField) -> KnownIds:
+    """The index, beside a stream's target, of the ids that its batches wrote."""
+    target = target.rstrip("/")
+    return KnownIds(spark, target, f"{target}__ids/{id_field.name}", id_field)
+
+
 def append_stream(
     spark: SparkSession,
     source: str,
@@ -39,9 +44,10 @@ def append_stream(
     whole, so a batch repeated after a failure replaces its own rows and nothing else:
     the id is that of the stream's checkpoint, so several streams, and streams begun
     anew, can feed one target. With ``id_column``, which must be required, ids that
-    earlier batches of any stream wrote are left out. The default trigger takes what is
-    there and stops; pass ``{"processingTime": "1 minute"}`` to go on.
-    ``files_per_batch`` cuts a large backlog into several batches.
+    earlier batches of any stream wrote are left out: an index beside the target takes in
+    the ids of each batch once, and a batch reads the parts its own ids fall into. The
+    default trigger takes what is there and stops; pass ``{"processingTime": "1 minute"}``
+    to go on. ``files_per_batch`` cuts a large backlog into several batches.
     """
     if id_column is not None and schema[id_column].nullable:
         raise ValueError("id_column must be a required column")
@@ -54,8 +60,10 @@ def append_stream(
         try:
             good = good_rows(rows)
             if id_column is not None:
-                earlier = _before(session, target, schema, stream, batch_id)
-                good = unknown_rows(good, earlier, id_column)
+                # This batch may be a repeat: what it wrote before does not count.
+                ids = known_ids(session, target, schema[id_column])
+                ids.follow(without=folder)
+                good = ids.fresh(good, without=folder)
             good.write.mode("overwrite").parquet(f"{target}/{folder}")
             bad_rows(rows, id_column).write.mode("overwrite").parquet(f"{rejects}/{folder}")
         finally:
@@ -78,12 +86,3 @@ def _stream_id(spark: SparkSession, checkpoint: str) -> str:
     written = spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata")
     return written.first().id.replace("-", "")
 
-
-def _before(
-    spark: SparkSession, target: str, schema: T.StructType, stream: str, batch_id: int
-) -> DataFrame:
-    """Rows of batches other than this one, which may be a repeat."""
-    places = [T.StructField("stream", T.StringType()), T.StructField("batch", T.LongType())]
-    rows = read_appended(spark, target, T.StructType([*schema.fields, *places]))
-    own = (F.col("stream") == stream) & (F.col("batch") == batch_id)
-    return rows.where(~own).select(*schema.names)

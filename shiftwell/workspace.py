@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shiftwell import files
+from shiftwell.operators.known import KnownIds
 from shiftwell.versions import Version, VersionConflict, VersionLog
 
 STAGING = "staging"
@@ -21,6 +22,7 @@ KEEP_SECONDS = 24 * 3600.0
 ORPHAN_SECONDS = 7 * 24 * 3600.0
 _ROWS = "__rows_"
 _LOG = "__versions"
+_IDS = "__ids"
 
 
 class TableVersion(NamedTuple):
@@ -173,6 +175,7 @@ class Workspace:
         for version in old:
             if (folder := self._folder(table, version)) not in used:
                 files.remove(self.spark, folder)
+                files.remove(self.spark, self._index(table, folder))
             log.forget(version)
         now = time.time()
         for entry in files.entries(self.spark, root):
@@ -187,10 +190,21 @@ class Workspace:
         log = self._log(table)
         folders = {self._folder(table, log.read(number)) for number in log.numbers()}
         files.remove(self.spark, log.path)
+        files.remove(self.spark, f"{self._root(table)}/{_name(table)}{_IDS}")
         self.spark.sql(f"DROP TABLE IF EXISTS {table}")
         for folder in folders:
             files.remove(self.spark, folder)
 
+    def known_ids(self, table: str, id_field: T.StructField) -> KnownIds:
+        """The index of a table's ids, one for each column and version of its rows."""
+        self._current(table)
+        folder = files.qualified(self.spark, self._location(table))
+        path = f"{self._index(table, folder)}/{id_field.name}"
+        return KnownIds(self.spark, folder, path, id_field)
+
+    def _index(self, table: str, folder: str) -> str:
+        return f"{self._root(table)}/{_name(table)}{_IDS}/{folder.rsplit('/', 1)[1]}"
+
     # What the log says, and the catalog after it
 
     def _root(self, table: str) -> str:
