@@ -12,7 +12,7 @@ from shiftwell.operators.answers import AnswerStore  # noqa: E402
 from shiftwell.operators.checks import LoadReport, RejectedRows  # noqa: E402
 from shiftwell.operators.inference import Question, embed, generate, results  # noqa: E402
 from shiftwell.operators.models import BatchModel, ColumnModel  # noqa: E402
-from shiftwell.operators.projection import point_bins, project_2d  # noqa: E402
+from shiftwell.operators.projection import crowded_bins, point_bins, project_2d  # noqa: E402
 from shiftwell.plans.articles import articles_metrics  # noqa: E402
 from shiftwell.plans.drivers import drivers_metrics_core, summary_drivers  # noqa: E402
 from shiftwell.plans.embeddings import (  # noqa: E402
@@ -25,7 +25,7 @@ from shiftwell.plans.stress import driver_reason_tags, drivers_metrics  # noqa:
 from shiftwell.session import build_session  # noqa: E402
 from shiftwell.sources.feeds import load_feed  # noqa: E402
 from shiftwell.sources.tables import append_literals, append_rows, upload_csv  # noqa: E402
-from shiftwell.streaming.append import append_stream, read_appended  # noqa: E402
+from shiftwell.streaming.append import append_feed, append_stream, read_appended  # noqa: E402
 from shiftwell.workspace import Workspace  # noqa: E402
 
 __all__ = [
@@ -37,12 +37,14 @@ __all__ = [
     "Question",
     "RejectedRows",
     "Workspace",
+    "append_feed",
     "append_literals",
     "append_rows",
     "append_stream",
     "articles_metrics",
     "build_marts",
     "build_session",
+    "crowded_bins",
     "driver_reason_embeddings",
     "driver_reason_tags",
     "drivers_metrics",

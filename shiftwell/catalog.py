@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from shiftwell.functions.text import main_tag
 from shiftwell.functions.vectors import TOKEN
-from shiftwell.operators import checks, inference
+from shiftwell.operators import checks, inference, projection
 from shiftwell.operators import models as M
 from shiftwell.operators.answers import AnswerStore
 from shiftwell.operators.models import TAG_FILLER, TAG_RULES, Client
@@ -23,7 +23,7 @@ from shiftwell.plans import drivers as drivers_plan
 from shiftwell.plans import embeddings as embeddings_plan
 from shiftwell.plans import stress as stress_plan
 from shiftwell.plans.run import Models, run_all
-from shiftwell.schemas import ARTICLES, DRIVERS, RIDES
+from shiftwell.schemas import ARTICLES, DRIVERS, NEWS_ITEMS, RIDES
 from shiftwell.session import scratch_path
 from shiftwell.sources import feeds, shipped, tables
 from shiftwell.streaming import append as streaming
@@ -44,6 +44,7 @@ MIN_HITS = 2
 TAG_DIM = 64
 TEXT_DIM = 16
 HIGH_AT = 0.3
+PLOT_CELLS = 100
 LONG_DAY = 60
 
 
@@ -355,6 +356,17 @@ def embedding_point_bins(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings_plan.embedding_point_bins(_labelled_vectors(spark, folder))
 
 
+@_register
+def embedding_crowded_bins(spark: SparkSession, folder: str) -> DataFrame:
+    """A bounded plot of the first two coordinates of the vectors."""
+    points = shipped.table(spark, folder, "embeddings").select(
+        F.get("embedding", 0).cast("double").alias("x"),
+        F.get("embedding", 1).cast("double").alias("y"),
+        F.col("label").cast("string").alias("main_tag"),
+    )
+    return projection.crowded_bins(points, PLOT_CELLS)
+
+
 # Loading
 
 
@@ -666,3 +678,26 @@ def feed_table(spark: SparkSession, folder: str) -> DataFrame:
     for _ in range(2):
         feeds.load_feed(workspace, path, table, skip_known=True)
     return feeds.with_iso_dates(workspace.read(table))
+
+
+@_register
+def stream_feed(spark: SparkSession, folder: str) -> DataFrame:
+    """Feed files met by two streams into one target: one item for each link."""
+    target, rejects = (scratch_path(spark, f"feed-{part}") for part in ("out", "rejects"))
+    path = _feed_path(spark, folder)
+    for _ in range(2):
+        checkpoint = scratch_path(spark, "feed-checkpoint")
+        streaming.append_feed(spark, path, target, rejects, checkpoint).awaitTermination()
+    return feeds.with_iso_dates(streaming.read_appended(spark, target, NEWS_ITEMS))
+
+
+@_register
+def stream_feed_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """The entries of a stream of feed files that fit no item."""
+    target, rejects, checkpoint = (
+        scratch_path(spark, f"feed-{part}") for part in ("out", "rejects", "checkpoint")
+    )
+    path = _feed_path(spark, folder)
+    streaming.append_feed(spark, path, target, rejects, checkpoint).awaitTermination()
+    title = F.get_json_object("raw_row", "$.title").alias("title")
+    return spark.read.parquet(rejects).select(title, F.concat_ws("; ", checks.ERRORS).alias("errors"))

@@ -294,6 +294,37 @@ SQL: dict[str, str] = {
       FROM feed WHERE link IS NULL OR undated""",
 }
 
+SQL["embedding_crowded_bins"] = f"""
+WITH points AS (
+  SELECT embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y, label::VARCHAR AS main_tag
+  FROM embeddings),
+frame AS (SELECT min(x) AS x0, min(y) AS y0, greatest(max(x) - min(x), max(y) - min(y)) AS side
+          FROM points),
+fine AS (
+  SELECT least(floor((x - x0) / side * 4096.0::DOUBLE)::BIGINT, 4095) AS fx,
+         least(floor((y - y0) / side * 4096.0::DOUBLE)::BIGINT, 4095) AS fy, main_tag
+  FROM points, frame),
+around AS (
+  SELECT level::INT AS level, fx >> (12 - level) AS x_cell, fy >> (12 - level) AS y_cell, main_tag
+  FROM fine, range(13) AS levels(level)),
+nodes AS (SELECT level, x_cell, y_cell, count(*) AS points FROM around GROUP BY ALL),
+met AS (
+  SELECT n.*, a.points AS outer_points
+  FROM nodes n LEFT JOIN nodes a
+    ON a.level = n.level - 1 AND a.x_cell = n.x_cell >> 1 AND a.y_cell = n.y_cell >> 1),
+cells AS (
+  SELECT power, level, x_cell, y_cell
+  FROM met, (SELECT 1::BIGINT << k::INT AS power FROM range(40) AS powers(k)) p
+  WHERE (outer_points IS NULL OR outer_points > power) AND NOT (points > power AND level < 12)),
+chosen AS (
+  SELECT min(power) AS power
+  FROM (SELECT power FROM cells GROUP BY power HAVING count(*) <= {catalog.PLOT_CELLS}) c)
+SELECT level, x_cell, y_cell, main_tag, count(*) AS points
+FROM around JOIN cells USING (level, x_cell, y_cell) JOIN chosen USING (power)
+GROUP BY ALL"""
+SQL["stream_feed"] = SQL["feed_table"]
+SQL["stream_feed_rejects"] = SQL["feed_rejects"]
+
 _EMBEDDED = f"""WITH {_TAGS}, texts AS (
     SELECT driver_ID, stress_report_tags FROM tags WHERE stress_report_tags IS NOT NULL),
   {_hash_vectors("texts", "driver_ID, stress_report_tags", "stress_report_tags", catalog.TAG_DIM)}

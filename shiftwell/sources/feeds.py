@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from typing import Literal
+from typing import Literal, TypeVar
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader
 
 from shiftwell.functions.dates import free_timestamp, iso_text
 from shiftwell.functions.text import or_empty
@@ -14,6 +15,8 @@ from shiftwell.schemas import NEWS_ITEMS
 from shiftwell.sources.tables import append_checked
 from shiftwell.workspace import Workspace
 
+Reader = TypeVar("Reader", DataFrameReader, DataStreamReader)
+
 RSS_ITEM = "title string, link string, description string, pubDate string, summary string"
 ATOM_ENTRY = (
     "title string, link array<struct<_href:string,_rel:string>>, content string, "
@@ -25,8 +28,13 @@ def read_feed(
     spark: SparkSession, path: str | list[str], kind: Literal["rss", "atom"] = "rss"
 ) -> DataFrame:
     """The entries of RSS or Atom files as written, one row each."""
+    return feed_entries(spark.read, kind).load(path)
+
+
+def feed_entries(reader: Reader, kind: Literal["rss", "atom"] = "rss") -> Reader:
+    """A reader, of files or of a stream of them, set to the entries of feeds."""
     tag, schema = ("item", RSS_ITEM) if kind == "rss" else ("entry", ATOM_ENTRY)
-    return spark.read.format("xml").option("rowTag", tag).schema(schema).load(path)
+    return reader.format("xml").option("rowTag", tag).schema(schema)
 
 
 def checked_items(entries: DataFrame) -> DataFrame:

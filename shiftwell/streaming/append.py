@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import Literal
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamReader, StreamingQuery
 
 from shiftwell.operators.checks import bad_rows, checked_json, good_rows
 from shiftwell.operators.known import KnownIds
+from shiftwell.schemas import NEWS_ITEMS
+from shiftwell.sources.feeds import checked_items, feed_entries
 
 
 def read_appended(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -51,30 +56,77 @@ def append_stream(
     """
     if id_column is not None and schema[id_column].nullable:
         raise ValueError("id_column must be a required column")
+    return append_batches(
+        _limited(spark, files_per_batch).text(source),
+        lambda batch: checked_json(batch, schema),
+        schema,
+        target,
+        rejects,
+        checkpoint,
+        id_column,
+        trigger,
+    )
+
+
+def _limited(spark: SparkSession, files_per_batch: int | None) -> DataStreamReader:
+    reader = spark.readStream
+    return reader if files_per_batch is None else reader.option("maxFilesPerTrigger", files_per_batch)
+
+
+def append_feed(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    rejects: str,
+    checkpoint: str,
+    kind: Literal["rss", "atom"] = "rss",
+    trigger: dict | None = None,
+    files_per_batch: int | None = None,
+) -> StreamingQuery:
+    """Append the items of feed files arriving in ``source``, one for each link.
+
+    As ``append_stream``: an item whose link an earlier batch of any stream into
+    ``target`` wrote is left out, entries without title, link or date go to ``rejects``,
+    and a batch that is repeated replaces its own rows. A file that is no XML has no
+    items.
+    """
+    entries = feed_entries(_limited(spark, files_per_batch), kind).load(source)
+    return append_batches(
+        entries, checked_items, NEWS_ITEMS, target, rejects, checkpoint, "link", trigger
+    )
+
+
+def append_batches(
+    rows: DataFrame,
+    check: Callable[[DataFrame], DataFrame],
+    schema: T.StructType,
+    target: str,
+    rejects: str,
+    checkpoint: str,
+    id_column: str | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Append a stream's rows, checked batch by batch; see ``append_stream``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         stream = _stream_id(session, checkpoint)
         folder = f"stream={stream}/batch={batch_id}"
-        rows = checked_json(batch, schema).persist()
+        found = check(batch).persist()
         try:
-            good = good_rows(rows)
+            good = good_rows(found)
             if id_column is not None:
                 # This batch may be a repeat: what it wrote before does not count.
                 ids = known_ids(session, target, schema[id_column])
                 ids.follow(without=folder)
                 good = ids.fresh(good, without=folder)
             good.write.mode("overwrite").parquet(f"{target}/{folder}")
-            bad_rows(rows, id_column).write.mode("overwrite").parquet(f"{rejects}/{folder}")
+            bad_rows(found, id_column).write.mode("overwrite").parquet(f"{rejects}/{folder}")
         finally:
-            rows.unpersist()
+            found.unpersist()
 
-    reader = spark.readStream
-    if files_per_batch is not None:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return (
-        reader.text(source)
-        .writeStream.foreachBatch(write)
+        rows.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()

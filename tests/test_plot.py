@@ -1,0 +1,78 @@
+"""A plot of bounded size at any spread of the points."""
+
+import random
+from collections import Counter
+
+import pytest
+
+from shiftwell.operators.projection import crowded_bins
+
+
+def points(spark, rows):
+    return spark.createDataFrame(rows, "x double, y double, main_tag string")
+
+
+def drawn(spark, rows, **options):
+    return crowded_bins(points(spark, rows), **options).collect()
+
+
+def brute(rows, most, depth):
+    """The tree built from above, for one threshold after another."""
+    placed = [r for r in rows if None not in r[:2]]
+    x0, y0 = min(r[0] for r in placed), min(r[1] for r in placed)
+    side = max(max(r[0] for r in placed) - x0, max(r[1] for r in placed) - y0) or 1.0
+    fine = 1 << depth
+    cells = [
+        (min(int((x - x0) / side * fine), fine - 1), min(int((y - y0) / side * fine), fine - 1), tag)
+        for x, y, tag in placed
+    ]
+
+    def tree(level, x, y, inside, limit):
+        if len(inside) <= limit or level == depth:
+            return [(level, x, y, inside)]
+        up = depth - level - 1
+        parts = {}
+        for cell in inside:
+            parts.setdefault((cell[0] >> up, cell[1] >> up), []).append(cell)
+        return [leaf for (a, b), part in parts.items() for leaf in tree(level + 1, a, b, part, limit)]
+
+    limit = 1
+    while len(leaves := tree(0, 0, 0, cells, limit)) > most:
+        limit *= 2
+    found = Counter()
+    for level, x, y, inside in leaves:
+        for _, _, tag in inside:
+            found[level, x, y, tag] += 1
+    return found
+
+
+def spread(seed, n, scale):
+    draw = random.Random(seed)
+    near = [(draw.gauss(0, 1), draw.gauss(5, 1), draw.choice("ab")) for _ in range(n)]
+    return near + [(draw.uniform(0, scale), draw.uniform(0, scale), None) for _ in range(n // 10)]
+
+
+@pytest.mark.parametrize("scale", [1, 1e3, 1e9])
+def test_equals_a_tree_built_from_above(spark, scale):
+    rows = spread(1, 800, scale)
+    found = {(r.level, r.x_cell, r.y_cell, r.main_tag): r.points for r in drawn(spark, rows, most=60)}
+    assert found == brute(rows, 60, 12)
+    assert sum(found.values()) == len(rows)
+    assert len({key[:3] for key in found}) <= 60
+
+
+def test_crowded_parts_are_drawn_finely(spark):
+    rows = spread(2, 1000, 100.0)
+    found = drawn(spark, rows, most=200)
+    assert max(r.level for r in found) >= 6 and min(r.level for r in found) <= 3
+
+
+def test_edge_cases(spark):
+    nan = float("nan")
+    rows = [(1.0, 1.0, "a")] * 50 + [(None, 1.0, "a"), (nan, 2.0, None), (float("inf"), 0.0, "b")]
+    found = {(r.level, r.x_cell, r.main_tag): r.points for r in drawn(spark, rows, most=1)}
+    assert found == {(12, 0, "a"): 50, (None, None, "a"): 1, (None, None, None): 1, (None, None, "b"): 1}
+    assert drawn(spark, []) == []
+    assert sum(r.points for r in drawn(spark, rows, depth=0)) == 53
+    with pytest.raises(ValueError):
+        drawn(spark, rows, most=0)

@@ -3,8 +3,8 @@ import json
 import pytest
 from conftest import rows
 
-from shiftwell.schemas import ARTICLES, RIDES
-from shiftwell.streaming.append import append_stream, read_appended
+from shiftwell.schemas import ARTICLES, NEWS_ITEMS, RIDES
+from shiftwell.streaming.append import append_feed, append_stream, read_appended
 
 ARTICLE = {"article_name": "One", "published": "2025-06-11", "content": "Text"}
 
@@ -80,3 +80,46 @@ def test_ids_that_may_be_missing_are_refused(spark, tmp_path):
     paths = [str(tmp_path / part) for part in ("in", "target", "rejects", "checkpoint")]
     with pytest.raises(ValueError, match="required"):
         append_stream(spark, paths[0], RIDES, *paths[1:], id_column="Driver_ID")
+
+
+def item(number, title="News", date="2025-06-10"):
+    return f"<item><title>{title}</title><link>http://n.test/{number}</link><pubDate>{date}</pubDate></item>"
+
+
+def feed(folder, name, *items):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text(f"<rss><channel>{''.join(items)}</channel></rss>")
+
+
+def feed_run(spark, tmp_path, source="in", **options):
+    paths = [str(tmp_path / part) for part in ("target", "rejects", f"checkpoint-{source}")]
+    append_feed(spark, str(tmp_path / source), *paths, **options).awaitTermination()
+    found = read_appended(spark, paths[0], NEWS_ITEMS)
+    return sorted(row.link.rsplit("/", 1)[1] for row in found.collect())
+
+
+def test_feed_goes_on_after_a_restart(spark, tmp_path):
+    feed(tmp_path / "in", "a.xml", item(1), item(1), item(2, date="someday"))
+    assert feed_run(spark, tmp_path) == ["1"]
+    feed(tmp_path / "in", "b.xml", item(1), item(3))
+    feed(tmp_path / "in", "c.xml", item(3), item(4))
+    assert feed_run(spark, tmp_path, files_per_batch=1) == ["1", "3", "4"]
+    assert feed_run(spark, tmp_path) == ["1", "3", "4"]
+    rejects = spark.read.parquet(str(tmp_path / "rejects")).collect()
+    assert [row["row_errors"] for row in rejects] == [["published: not a date"]]
+
+
+def test_feed_batch_that_is_repeated(spark, tmp_path):
+    feed(tmp_path / "in", "a.xml", item(1), item(2))
+    feed_run(spark, tmp_path)
+    for note in (tmp_path / "checkpoint-in" / "commits").iterdir():
+        note.unlink()
+    assert feed_run(spark, tmp_path) == ["1", "2"]
+
+
+def test_two_feeds_share_their_links(spark, tmp_path):
+    feed(tmp_path / "first", "a.xml", item(1), item(2))
+    feed(tmp_path / "second", "a.xml", item(2), item(3))
+    (tmp_path / "second" / "broken.xml").write_text("<item><title>no end")
+    feed_run(spark, tmp_path, "first")
+    assert feed_run(spark, tmp_path, "second") == ["1", "2", "3"]
