@@ -26,12 +26,14 @@ from shiftwell.session import build_session  # noqa: E402
 from shiftwell.sources.feeds import load_feed  # noqa: E402
 from shiftwell.sources.tables import append_literals, append_rows, upload_csv  # noqa: E402
 from shiftwell.streaming.append import append_feed, append_stream, read_appended  # noqa: E402
+from shiftwell.streaming.days import DayStates  # noqa: E402
 from shiftwell.workspace import Workspace  # noqa: E402
 
 __all__ = [
     "AnswerStore",
     "BatchModel",
     "ColumnModel",
+    "DayStates",
     "LoadReport",
     "Models",
     "Question",

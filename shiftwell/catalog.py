@@ -27,6 +27,7 @@ from shiftwell.schemas import ARTICLES, DRIVERS, NEWS_ITEMS, RIDES
 from shiftwell.session import scratch_path
 from shiftwell.sources import feeds, shipped, tables
 from shiftwell.streaming import append as streaming
+from shiftwell.streaming.days import DayStates
 from shiftwell.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -701,3 +702,20 @@ def stream_feed_rejects(spark: SparkSession, folder: str) -> DataFrame:
     streaming.append_feed(spark, path, target, rejects, checkpoint).awaitTermination()
     title = F.get_json_object("raw_row", "$.title").alias("title")
     return spark.read.parquet(rejects).select(title, F.concat_ws("; ", checks.ERRORS).alias("errors"))
+
+
+@_register
+def stream_driver_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """Metrics of drivers from rides that two streams brought in batches."""
+    states = DayStates(spark, scratch_path(spark, "day-states"))
+    target, rejects = (scratch_path(spark, f"rides-{part}") for part in ("out", "rejects"))
+    rides = _whole_rides(spark, folder)
+    for part in range(2):
+        source, checkpoint = (scratch_path(spark, f"rides-{p}") for p in ("in", "checkpoint"))
+        lines = rides.where(F.col("Ride_ID") % 2 == part).select(F.to_json(F.struct("*")))
+        lines.repartition(2).write.text(source)
+        streaming.append_stream(
+            spark, source, RIDES, target, rejects, checkpoint, files_per_batch=1, then=states.add
+        ).awaitTermination()
+    core = states.metrics(shipped.drivers(spark, folder))
+    return core.withColumn("stddev_fare", F.round("stddev_fare", 6))

@@ -13,7 +13,7 @@ most k buckets of each run, chosen by name before any file is opened.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from typing import Any
 
@@ -49,7 +49,11 @@ def hash_of(key: Column) -> Column:
 
 
 class KeyedStore:
-    """Rows with a ``key`` and the columns of ``payload``, one for each ``unique`` set."""
+    """Rows with a ``key`` and the columns of ``payload``.
+
+    When runs are merged, ``merged`` makes one frame of their rows: one row for each set
+    of ``unique`` columns unless given. A store of partial sums adds them up there.
+    """
 
     def __init__(
         self,
@@ -60,9 +64,11 @@ class KeyedStore:
         bucket_rows: int = BUCKET_ROWS,
         merge_at: int = MERGE_AT,
         keep_seconds: float = KEEP_SECONDS,
+        merged: Callable[[DataFrame], DataFrame] | None = None,
     ) -> None:
         self.spark = spark
         self.path = path.rstrip("/")
+        self.merged = merged or (lambda rows: rows.dropDuplicates(self.unique))
         self.schema = T.StructType.fromDDL(f"hash bigint, key string, {payload}")
         self.unique = list(unique)
         self.bucket_rows = bucket_rows
@@ -180,7 +186,7 @@ class KeyedStore:
             level += 1
 
     def _merge_runs(self, full: list[Run], level: int) -> None:
-        rows = self._read([self._place(run) for run in full]).dropDuplicates(self.unique)
+        rows = self.merged(self._read([self._place(run) for run in full]))
         made = self._write(rows, sum(run.rows for run in full), level)
         names = {run.name for run in full}
         done = False

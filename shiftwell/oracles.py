@@ -322,6 +322,7 @@ chosen AS (
 SELECT level, x_cell, y_cell, main_tag, count(*) AS points
 FROM around JOIN cells USING (level, x_cell, y_cell) JOIN chosen USING (power)
 GROUP BY ALL"""
+SQL["stream_driver_metrics"] = f"WITH {_CORE} {_CORE_COLUMNS}"
 SQL["stream_feed"] = SQL["feed_table"]
 SQL["stream_feed_rejects"] = SQL["feed_rejects"]
 

@@ -17,7 +17,8 @@ _PERSON = ("Driver_ID", "Age", "City", "Experience_Years")
 _PROFILE = (*_PERSON, "Average_Rating")
 
 
-def _rides_per_day(rides: DataFrame) -> DataFrame:
+def rides_per_day(rides: DataFrame) -> DataFrame:
+    """Driver_ID, Date, day_rides, day_fare and day_minutes: sums that add up further."""
     return (
         rides.where(F.col("Driver_ID").isNotNull())
         .groupBy("Driver_ID", "Date")
@@ -36,7 +37,7 @@ def _folded(drivers: DataFrame) -> DataFrame:
 
 def _summary(folded: DataFrame, rides: DataFrame) -> DataFrame:
     """Folded drivers with each of their days; the copies weigh the sums."""
-    days = _rides_per_day(rides).withColumnRenamed("Driver_ID", "ride_driver")
+    days = rides_per_day(rides).withColumnRenamed("Driver_ID", "ride_driver")
     no_rides = F.lit(0).cast("bigint")
     return folded.join(days, F.col("Driver_ID") == F.col("ride_driver"), "left").withColumns(
         {
@@ -95,7 +96,12 @@ def drivers_metrics_core_unique(drivers: DataFrame, rides: DataFrame) -> DataFra
     before the join, and the join moves that one row instead of every day. Check
     with ``has_unique_ids`` first; with repeated ids the result would differ.
     """
-    days = _rides_per_day(rides).withColumn("day_fare", F.round("day_fare", 2))
+    return metrics_of_days(drivers, rides_per_day(rides))
+
+
+def metrics_of_days(drivers: DataFrame, days: DataFrame) -> DataFrame:
+    """``drivers_metrics_core_unique`` from one row per driver and day."""
+    days = days.withColumn("day_fare", F.round("day_fare", 2))
     per_driver = days.groupBy(F.col("Driver_ID").alias("ride_driver")).agg(
         F.count("Date").alias("active_days"),
         F.sum("day_rides").alias("rides"),

@@ -42,6 +42,7 @@ def append_stream(
     id_column: str | None = None,
     trigger: dict | None = None,
     files_per_batch: int | None = None,
+    then: Callable[[DataFrame, str, int], object] | None = None,
 ) -> StreamingQuery:
     """Append JSON lines arriving in ``source`` to ``target``, bad ones to ``rejects``.
 
@@ -53,6 +54,9 @@ def append_stream(
     the ids of each batch once, and a batch reads the parts its own ids fall into. The
     default trigger takes what is there and stops; pass ``{"processingTime": "1 minute"}``
     to go on. ``files_per_batch`` cuts a large backlog into several batches.
+    ``then`` gets each batch's rows as they were written, the stream's id and the batch's
+    number, before the batch counts as done; it may see a batch again, as in
+    ``DayStates.add``.
     """
     if id_column is not None and schema[id_column].nullable:
         raise ValueError("id_column must be a required column")
@@ -65,6 +69,7 @@ def append_stream(
         checkpoint,
         id_column,
         trigger,
+        then,
     )
 
 
@@ -105,6 +110,7 @@ def append_batches(
     checkpoint: str,
     id_column: str | None = None,
     trigger: dict | None = None,
+    then: Callable[[DataFrame, str, int], object] | None = None,
 ) -> StreamingQuery:
     """Append a stream's rows, checked batch by batch; see ``append_stream``."""
 
@@ -122,6 +128,9 @@ def append_batches(
                 good = ids.fresh(good, without=folder)
             good.write.mode("overwrite").parquet(f"{target}/{folder}")
             bad_rows(found, id_column).write.mode("overwrite").parquet(f"{rejects}/{folder}")
+            if then is not None:
+                rows_now = session.read.schema(good.schema).parquet(f"{target}/{folder}")
+                then(rows_now, stream, batch_id)
         finally:
             found.unpersist()
 
