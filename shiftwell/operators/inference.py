@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from heapq import heappop, heappush
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -38,6 +39,9 @@ NULL_PROMPT = "null prompt"
 NO_ANSWER = "no answer"
 UNREADABLE = "unreadable answer"
 BROADCAST_BYTES = 8 * 1024 * 1024
+SLOTS_A_TASK = 64
+# What a call costs besides its text, in bytes of text.
+ROW_BYTES = 64
 _KEY = "__prompt_key"
 _HAS_KEY = "__prompt_asked"
 
@@ -162,11 +166,33 @@ def _ask(
     the bytes of the batches that tasks get.
     """
     fields = ", ".join(f"a{i} {answer}, s{i} string" for i in range(len(models)))
-    dealt = asked.repartition(tasks, "key")
+    dealt = _dealt(_written(asked), tasks)
     rendered = dealt.select("key", *(prompt.alias(f"p{i}") for i, prompt in enumerate(prompts)))
     return rendered.mapInPandas(model_task(list(models)), f"key string, {fields}")
 
 
+def _dealt(asked: DataFrame, tasks: int) -> DataFrame:
+    """The rows in ``tasks`` partitions of near equal bytes.
+
+    Rows fall into many times more slots than tasks by a hash of their key. The slots'
+    bytes, a number of rows that depends on the tasks alone, come to the driver, which
+    gives the heaviest slot left to the lightest task; so a task is above the others by
+    a slot at most, or by one input that is longer than a task's share.
+    """
+    texts = [name for name in asked.columns if name != "key"]
+    size = reduce(Column.__add__, (F.octet_length(name).cast("bigint") for name in texts))
+    slot = F.pmod(F.xxhash64("key"), F.lit(tasks * SLOTS_A_TASK)).cast("int")
+    weighed = asked.groupBy(slot.alias("slot")).agg(F.sum(size + ROW_BYTES).alias("bytes"))
+    loads = [(0, task) for task in range(tasks)]
+    place = [0] * (tasks * SLOTS_A_TASK)
+    for row in sorted(weighed.collect(), key=lambda row: (-row.bytes, row.slot)):
+        load, task = heappop(loads)
+        place[row.slot] = task
+        heappush(loads, (load + row.bytes, task))
+    task = F.element_at(F.lit(place), slot + 1)
+    return asked.repartitionById(tasks, task)
+
+
 def _kept(answers: DataFrame) -> DataFrame:
     """The answers as a written table, marked for the join their size allows."""
     spark = answers.sparkSession

@@ -190,7 +190,7 @@ def test_prompts_are_made_behind_the_exchange(spark, monkeypatch):
     model = M.BatchModel("echo", lambda: lambda texts: [echo(t) for t in texts])
     asked(words(spark, "a"), model, reread=True)
     plan = plans[0]._jdf.queryExecution().executedPlan().toString()
-    below = plan[plan.index("Exchange hashpartitioning(key") :]
+    below = plan[plan.index("Exchange ") :]
     assert "Say: " in plan and "Say: " not in below
 
 
@@ -443,3 +443,30 @@ def test_long_texts_are_read_whole(spark):
     length = sum(c * c for c in counts) ** 0.5
     found = embed(words(spark, text), "word", M.hash_embedding(8)).first()["embedding"]
     assert found == pytest.approx([c / length for c in counts])
+
+
+def test_tasks_get_equal_bytes(spark):
+    """Whole documents of 1 to 20,000 words, as prompts of their own."""
+    from statistics import median
+
+    from shiftwell.operators.inference import _dealt
+
+    texts = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    asked = texts.select(F.sha2("text", 256).alias("key"), F.col("text").alias("p0")).distinct()
+    dealt = _dealt(asked, 16)
+    assert dealt.rdd.getNumPartitions() == 16
+    sizes = dealt.groupBy(F.spark_partition_id()).agg(F.sum(F.octet_length("p0")).alias("n"))
+    loads = [row.n for row in sizes.collect()]
+    by_hash = asked.repartition(16, "key").groupBy(F.spark_partition_id()).agg(
+        F.sum(F.octet_length("p0")).alias("n")
+    )
+    hashed = [row.n for row in by_hash.collect()]
+    assert max(loads) <= 1.05 * median(loads) < max(hashed)
+    assert dealt.count() == asked.count()
+
+
+def test_fewer_prompts_than_tasks(spark):
+    model = M.BatchModel("echo", lambda: lambda texts: [echo(t) for t in texts])
+    found = results(asked(words(spark, "a", "b"), model, tasks=9), ["said"])
+    assert rows(found) == [(0, "a", "a"), (1, "b", "b")]
+    assert results(asked(words(spark), model, tasks=3), ["said"]).count() == 0
