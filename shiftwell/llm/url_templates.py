@@ -17,6 +17,7 @@ LEAST_SHARE = 50
 ALPHA = 0.05
 WEIGHT = 2.0
 REJECT_ABOVE = 0.5
+SENT_BYTES = 8 * 1024 * 1024
 
 # The letters that are lower-cased, no others.
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -183,13 +184,24 @@ def _nodes(rows: DataFrame, level: int) -> DataFrame:
     )
 
 
+def _sized(rows: DataFrame, label: str) -> DataFrame:
+    """The rows, written; sent to every task where they measure little.
+
+    Urls of one host or node then stay where they are. Larger tables are joined by sort
+    and merge, with the urls as the side that adaptive execution splits.
+    """
+    stored = written(rows, label)
+    measured = stored.agg(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return stored.hint("broadcast" if measured <= SENT_BYTES else "merge")
+
+
 def _smoothed(blocked: Column, labelled: Column, above: Column) -> Column:
     return (blocked + F.lit(WEIGHT) * above) / (labelled + F.lit(WEIGHT))
 
 
 def _descended(rows: DataFrame, level: int) -> DataFrame:
     """The rows one level further down, with the counts and the purity of their node."""
-    nodes = _nodes(rows, level)
+    nodes = _sized(_nodes(rows, level), "url-nodes")
     segment = F.try_element_at("segments", F.lit(level))
     met = F.filter("groups", lambda g: F.array_contains(g["members"], segment))
     joined = rows.join(
@@ -238,8 +250,8 @@ def url_verdicts(
 
     Levels beyond ``depth`` count as one. A level is one aggregation by (host, node,
     segment), reduced in the map stage, one by (host, node) over branches that last, at
-    most ``LEAST_SHARE`` a node, and a join in which the rows are the side that can be
-    split. Levels are written, so a lost executor costs one at most. Rules become one
+    most ``LEAST_SHARE`` a node, and a join with these, sent to all tasks while they measure
+    ``SENT_BYTES`` at most. Levels are written, so a lost executor costs one at most. Rules become one
     expression and are meant to be few.
 
     NULL urls and urls without ``://`` have an empty host and path and are one host's
@@ -265,7 +277,7 @@ def url_verdicts(
         ),
         "urls",
     )
-    hosts = written(
+    hosts = _sized(
         judged.groupBy("host").agg(
             F.count(F.lit(1)).alias("pages"),
             F.sum(F.col("labelled").cast("int")).alias("node_labelled"),

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from shiftwell.llm import url_templates
 from shiftwell.llm.queries import URL_RULES
 from shiftwell.llm.url_templates import Rule, host_of, path_of, url_verdicts
 
@@ -113,3 +114,10 @@ def test_no_python_runs(spark):
     pages = spark.createDataFrame([(1, "http://a.org/x/y")], "page_id bigint, url string")
     plan = url_verdicts(pages, URL_RULES)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_nodes_too_large_to_send(judged, monkeypatch):
+    urls = [f"http://{h}.com/{p}/{i}" for h in "ab" for p in ("de", "fr", "x") for i in range(9)]
+    sent = judged(urls)
+    monkeypatch.setattr(url_templates, "SENT_BYTES", -1)
+    assert judged(urls) == sent
