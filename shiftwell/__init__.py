@@ -11,6 +11,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 from shiftwell.operators.answers import AnswerStore  # noqa: E402
 from shiftwell.operators.checks import LoadReport, RejectedRows  # noqa: E402
 from shiftwell.operators.inference import Question, embed, generate, results  # noqa: E402
+from shiftwell.operators.layout import layout_2d  # noqa: E402
 from shiftwell.operators.models import BatchModel, ColumnModel  # noqa: E402
 from shiftwell.operators.projection import crowded_bins, point_bins, project_2d  # noqa: E402
 from shiftwell.plans.articles import articles_metrics  # noqa: E402
@@ -55,6 +56,7 @@ __all__ = [
     "embedding_point_bins",
     "embedding_points",
     "generate",
+    "layout_2d",
     "load_feed",
     "point_bins",
     "project_2d",

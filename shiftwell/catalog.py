@@ -357,6 +357,12 @@ def embedding_point_bins(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings_plan.embedding_point_bins(_labelled_vectors(spark, folder))
 
 
+@_register
+def embedding_layout(spark: SparkSession, folder: str) -> DataFrame:
+    """Points that keep near vectors near; iterated, so without SQL."""
+    return embeddings_plan.embedding_layout(_labelled_vectors(spark, folder))
+
+
 @_register
 def embedding_crowded_bins(spark: SparkSession, folder: str) -> DataFrame:
     """A bounded plot of the first two coordinates of the vectors."""

@@ -9,6 +9,7 @@ from shiftwell.functions.text import main_tag
 from shiftwell.functions.vectors import has_vector
 from shiftwell.operators.answers import AnswerStore
 from shiftwell.operators.inference import embed
+from shiftwell.operators.layout import layout_2d
 from shiftwell.operators.models import Model
 from shiftwell.operators.projection import point_bins, project_2d
 from shiftwell.schemas import DRIVER_REASON_EMBEDDINGS
@@ -67,6 +68,14 @@ def embedding_points(embeddings: DataFrame) -> DataFrame:
     )
 
 
+def embedding_layout(embeddings: DataFrame) -> DataFrame:
+    """As ``embedding_points``, with places that keep near embeddings near."""
+    placed = layout_2d(with_embedding(embeddings), "embedding")
+    return placed.select(
+        "driver_ID", "x", "y", main_tag(F.col("stress_report_tags")).alias("main_tag")
+    )
+
+
 def embedding_point_bins(embeddings: DataFrame, width: float = 0.05) -> DataFrame:
     """Counts per square and main tag: a plot whose size does not grow with rows."""
     return point_bins(embedding_points(embeddings), width)

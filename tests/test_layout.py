@@ -1,0 +1,86 @@
+"""A layout that keeps neighbours, against the projection and against itself."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from shiftwell.catalog import QUERIES
+from shiftwell.operators.layout import _nearness, _squares, landmarks, laid_out, layout_2d
+from shiftwell.operators.projection import project_2d
+
+FOLDER = "/root/testdata/sf0.1"
+
+
+def kept(vectors, places, k=10):
+    """The share of each vector's k nearest that are among its k nearest in the picture."""
+    lists = []
+    for rows in (vectors, places):
+        apart = _squares(rows, rows)
+        np.fill_diagonal(apart, np.inf)
+        lists.append(np.argsort(apart, axis=1)[:, :k])
+    return np.mean([len(set(a) & set(b)) / k for a, b in zip(*lists, strict=True)])
+
+
+def test_more_neighbours_are_kept_than_by_projection(spark):
+    rows = spark.read.parquet(f"{FOLDER}/embeddings.parquet").select(
+        F.col("embedding").cast("array<double>").alias("v")
+    )
+
+    def share(frame):
+        found = frame.select("v", "x", "y").collect()
+        return kept(np.array([r.v for r in found]), np.array([(r.x, r.y) for r in found]))
+
+    assert share(layout_2d(rows, "v")) >= 5 * share(project_2d(rows, "v"))
+
+
+def test_groups_stay_together(spark):
+    draw = np.random.default_rng(1)
+    centres = draw.normal(size=(5, 16)) * 8
+    data = [((centres[i % 5] + draw.normal(size=16)).tolist(), i % 5) for i in range(400)]
+    rows = spark.createDataFrame(data, "v array<double>, g int")
+    found = layout_2d(rows, "v", most=120).collect()
+    places, group = np.array([(r.x, r.y) for r in found]), np.array([r.g for r in found])
+    apart = _squares(places, places)
+    np.fill_diagonal(apart, np.inf)
+    assert (group[apart.argmin(axis=1)] == group).mean() > 0.98
+
+
+def test_places_do_not_depend_on_partitions(spark):
+    data = [([float(i % 17), float(i % 5), 1.0], i) for i in range(200)]
+    rows = spark.createDataFrame(data, "v array<double>, id int")
+    one, many = (
+        {r.id: (r.x, r.y) for r in layout_2d(rows.repartition(n), "v", most=40).collect()}
+        for n in (1, 7)
+    )
+    for key, place in one.items():
+        assert many[key] == pytest.approx(place, abs=1e-6)
+    assert one[0] == pytest.approx(one[85], abs=1e-9)
+
+
+def test_landmarks_are_few_and_distinct(spark):
+    same = spark.range(5000).select(F.array(F.lit(1.0), F.lit(2.0)).alias("v"))
+    others = spark.range(3000).select(F.array(F.col("id") * 1.0, F.lit(0.5)).alias("v"))
+    found = landmarks(same.unionAll(others), "v", 200)
+    assert 150 <= len(found) <= 200
+    assert len({tuple(row) for row in found}) == len(found)
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 5])
+def test_few_vectors(spark, n):
+    data = [([float(i), 1.0], i) for i in range(n)] + [(None, -1), ([], -2)]
+    rows = spark.createDataFrame(data, "v array<double>, id int")
+    found = {r.id: (r.x, r.y) for r in layout_2d(rows, "v").collect()}
+    assert found[-1] == found[-2] == (None, None)
+    assert all(np.isfinite(found[i]).all() for i in range(n))
+
+
+def test_equal_vectors():
+    assert np.isfinite(laid_out(np.ones((20, 4)))).all()
+    near = _nearness(np.zeros((3, 50)), 10)
+    assert near.sum(axis=1) == pytest.approx([1, 1, 1])
+
+
+def test_query(spark):
+    found = QUERIES["embedding_layout"](spark, "/root/testdata/sf0.001")
+    assert found.columns == ["driver_ID", "x", "y", "main_tag"]
+    assert found.where("x IS NULL").count() == 0 and found.count() == 500

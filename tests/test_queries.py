@@ -34,7 +34,11 @@ def ordered(columns, data):
     return sorted((tuple(plain(row[i]) for i in order) for row in data), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+# Iterated layouts have tests of their own.
+WITHOUT_SQL = {"embedding_layout"}
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES.keys() - WITHOUT_SQL))
 def test_query_agrees_with_sql(spark, duck, name):
     frame = QUERIES[name](spark, FOLDER)
     answer = duck.execute(SQL[name])
@@ -50,5 +54,5 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert QUERIES.keys() == SQL.keys()
+    assert QUERIES.keys() - WITHOUT_SQL == SQL.keys()
     assert queries().items() >= QUERIES.items() and oracle_sql().items() >= SQL.items()
