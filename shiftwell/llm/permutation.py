@@ -7,6 +7,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -31,15 +32,22 @@ def choose_pivots(
 ) -> np.ndarray:
     """Unit pivots: the first of at most ``sample`` seeded rows that are unlike each other.
 
-    The rows with the smallest seeded hashes are sampled; the bound holds for every
-    size of the table. Rows alike are passed over, so a large group of copies gives
+    Rows whose seeded hash is below a limit are sampled, the limit being that which about
+    as many rows fall under; tasks send no others, however many tasks there are, and the
+    bound holds for every size of the table. Rows alike are passed over, so a large group of copies gives
     one pivot, but where too few rows differ the passed ones fill up the number.
     """
-    drawn = vectors.orderBy(F.xxhash64(F.lit(seed), F.col("vector")), "row").limit(sample)
-    rows = [row.vector for row in drawn.select("vector").collect()]
-    if not rows:
+    total = vectors.count()
+    if not total:
         return np.empty((0, 0))
-    rows = unit(np.array(rows, dtype=np.float64))
+    turn = F.xxhash64(F.lit(seed), F.col("vector"), F.col("row"))
+    # Five times the spread of the number that falls under the limit, so few tables
+    # give less than the sample.
+    share = min(1.0, (sample + 5 * sample**0.5) / total)
+    below = F.pmod(turn, F.lit(1 << 40)) < F.lit(int(share * (1 << 40)))
+    drawn = vectors.where(below).select("vector", "row", turn.alias("turn")).collect()
+    drawn = sorted(drawn, key=lambda row: (row.turn, row.row))[:sample]
+    rows = unit(np.array([row.vector for row in drawn], dtype=np.float64))
     chosen: list[int] = []
     for place in range(len(rows)):
         if not chosen or (rows[chosen] @ rows[place]).max() < ALIKE:
@@ -102,6 +110,11 @@ def footrule_scores(queries: np.ndarray, rows: np.ndarray, pivots: int) -> np.nd
     return scores
 
 
+def _scaled(rows: np.ndarray) -> np.ndarray:
+    """Rows brought near one by a power of two, which no digit of a cosine notices."""
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1, keepdims=True))[1])
+
+
 def _nearest_of_block(
     queries: pa.RecordBatch, rows: pa.RecordBatch, pivots: int, k: int, share: float, least: int
 ) -> pa.RecordBatch:
@@ -111,16 +124,19 @@ def _nearest_of_block(
     scores = footrule_scores(asked, posted, pivots)
     query_row, row = queries["row"].to_numpy(), rows["row"].to_numpy()
     scores[query_row[:, None] == row[None, :]] = -1
-    q, x = matrix(queries["vector"]), matrix(rows["vector"])
+    q, x = _scaled(matrix(queries["vector"])), _scaled(matrix(rows["vector"]))
     q_norm, x_norm = np.linalg.norm(q, axis=1), np.linalg.norm(x, axis=1)
-    keys = rows["key"].to_numpy(zero_copy_only=False).astype(np.float64)
+    # The places of the keys in order: NULLs are last, no key is rounded.
+    by_key = np.empty(rows.num_rows, dtype=np.int64)
+    by_key[pc.sort_indices(rows["key"]).to_numpy()] = np.arange(rows.num_rows)
     wanted = min(len(row), max(least, k + 1, int(np.ceil(share * len(row)))))
     out: dict[str, list[np.ndarray]] = {"query": [], "at": [], "score": []}
     for i in range(len(q)):
         floor = np.partition(scores[i], len(row) - wanted)[len(row) - wanted]
         near = np.nonzero(scores[i] >= max(floor, 0))[0]
-        cosine = (x[near] @ q[i]) / (x_norm[near] * q_norm[i])
-        best = np.lexsort((keys[near], -cosine))[:k]
+        # Summed row by row in one order, so that equal rows have equal scores.
+        cosine = (x[near] * q[i]).sum(axis=1) / (x_norm[near] * q_norm[i])
+        best = np.lexsort((by_key[near], -cosine))[:k]
         out["query"].append(np.full(len(best), query_row[i]))
         out["at"].append(near[best])
         out["score"].append(cosine[best])
@@ -155,7 +171,8 @@ def nearest(
     rows meets each block of queries in a task of its own.
 
     Nearness is the cosine in double precision, ties go to the smaller key. A row is
-    no neighbour of its own, but a repeated row is one of the other. Vectors that are
+    no neighbour of its own, but a repeated row is one of the other. Numbers near the
+    ends of the doubles are scaled by a power of two first. Vectors that are
     NULL, zero or hold NULL or non-finite numbers take no part. Vectors of
     each length are searched among their own, with pivots and blocks of that length, one
     after another. Rows with a NULL key are candidates, last among

@@ -144,3 +144,32 @@ def test_each_length_is_searched_among_its_own(vectors):
     assert sorted((r.query_id, r["rank"], r.vec_id) for r in found) == [
         (0, 1, 1), (0, 2, 2), (10, 1, 11), (10, 2, 12)
     ]
+
+
+def test_equal_vectors_go_by_their_keys(spark):
+    """A third of all rows are one vector; ids that a double cannot hold."""
+    rng = np.random.default_rng(3)
+    rows, base = rng.standard_normal((900, 24)), 1 << 60
+    rows[::3] = rows[0]
+    data = [(base + i, [float(v) for v in row]) for i, row in enumerate(rows)]
+    frame = spark.createDataFrame(data, "vec_id bigint, embedding array<double>")
+    query = F.col("vec_id") == base + 6
+    found = nearest(frame.repartition(5), query, share=1.0).orderBy("rank").collect()
+    assert [r.vec_id - base for r in found] == [0, 3, 9, 12, 15]
+    assert len({r.score for r in found}) == 1
+
+
+def test_scores_near_the_ends_of_doubles(spark):
+    data = [(1, [1e300, 0.0]), (2, [1e300, 1e300]), (3, [1e-300, 1e-300])]
+    frame = spark.createDataFrame(data, "vec_id bigint, embedding array<double>")
+    found = {r.vec_id: r.score for r in nearest(frame, F.col("vec_id") == 1).collect()}
+    assert found[2] == found[3] == pytest.approx(0.5**0.5, abs=1e-15)
+
+
+def test_pivots_are_a_bounded_sample_at_any_number_of_tasks(spark):
+    rows = spark.range(20000).select(
+        F.col("id").alias("row"), F.array(*(F.rand(i) for i in range(4))).alias("vector")
+    )
+    rows = rows.checkpoint()
+    few, many = (permutation.choose_pivots(rows.repartition(n), 16, 300) for n in (2, 64))
+    assert few.shape == (16, 4) and np.array_equal(few, many)
