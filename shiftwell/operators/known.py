@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shiftwell.keyed import BUCKET_ROWS, MERGE_AT, KeyedStore
-from shiftwell.session import scratch_path
+from shiftwell.session import written_aside
 
 # The part of a path that tells the stream and the batch that wrote a file.
 ORIGIN = r"stream=[^/]+/batch=[^/]+"
@@ -90,11 +90,9 @@ class KnownIds:
             .where(F.col("key").isNotNull())
             .distinct()
         )
-        path = scratch_path(self.spark, "ids")
-        found.write.parquet(path)
-        read = self.spark.read.schema("key string, origin string").parquet(path)
-        # Writes met by another loader meanwhile are named again, which does no harm.
-        self.store.add(read, {"met": sorted(met | set(new))})
+        with written_aside(found, "ids") as read:
+            # Writes met by another loader meanwhile are named again, which does no harm.
+            self.store.add(read, {"met": sorted(met | set(new))})
         return len(new)
 
     def fresh(

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from shiftwell import files
 
@@ -79,3 +79,15 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A folder name under the shared scratch folder that nobody else uses."""
     return f"{_SCOPE.get() or scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def written_aside(rows: DataFrame, label: str) -> Iterator[DataFrame]:
+    """The rows as a table in scratch, for steps that read them again; removed after."""
+    spark = rows.sparkSession
+    path = scratch_path(spark, label)
+    try:
+        rows.write.parquet(path)
+        yield spark.read.schema(rows.schema).parquet(path)
+    finally:
+        files.remove(spark, path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shiftwell.keyed import BUCKET_ROWS, KEEP_SECONDS, MERGE_AT, KeyedStore
 from shiftwell.plans.drivers import metrics_of_days, rides_per_day
-from shiftwell.session import scratch_path
+from shiftwell.session import written_aside
 
 _STATE = "Driver_ID bigint, Date date, day_rides bigint, day_fare double, day_minutes bigint"
 _SUMS = ("day_rides", "day_fare", "day_minutes")
@@ -53,12 +53,10 @@ class DayStates:
         counted = newest.body.get("batches", {}) if newest else {}
         if counted.get(stream, -1) >= batch:
             return False
-        path = scratch_path(self.spark, "days")
         key = F.col("Driver_ID").cast("string").alias("key")
         days = rides_per_day(rides).select(key, "Driver_ID", "Date", *_SUMS)
-        days.write.parquet(path)
-        stored = self.spark.read.schema(f"key string, {_STATE}").parquet(path)
-        self.store.add(stored, {"batches": counted | {stream: batch}})
+        with written_aside(days, "days") as stored:
+            self.store.add(stored, {"batches": counted | {stream: batch}})
         return True
 
     def days(self, drivers: DataFrame | None = None) -> DataFrame:
