@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from operator import eq
 
@@ -158,31 +158,14 @@ class CoTrained:
         return _sigmoid(logits[0]), _sigmoid(logits[1]), _sigmoid(combined)
 
 
-def surest(
-    view: Logistic, x: np.ndarray, free: np.ndarray, confident: float, most: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """The places of the ``most`` free rows that a view is surest of, and all logits."""
-    logit = view.logit(x)
-    least = np.log(confident / (1 - confident))
-    rows = np.flatnonzero(free & (np.abs(logit) >= least))
-    return rows[np.argsort(-np.abs(logit[rows]), kind="stable")][:most], logit
+# Certainties are told apart by these bits at a time, the highest first: at most some
+# 32,768 bins at first, then 4,096 and fewer.
+BIN_SHIFTS = (48, 36, 24, 12, 0)
 
 
-class ArrayPool:
-    """Unlabelled rows as an array of features for each view."""
-
-    def __init__(self, views: tuple[np.ndarray, np.ndarray]) -> None:
-        self.views = views
-        self.free = [np.ones(len(x), dtype=bool) for x in views]
-
-    def lessons(
-        self, teacher: int, view: Logistic, confident: float, most: int
-    ) -> tuple[np.ndarray, np.ndarray]:
-        """Features for the pupil and 0/1 of the rows the teacher is surest of, each once."""
-        pupil = 1 - teacher
-        rows, logit = surest(view, self.views[teacher], self.free[pupil], confident, most)
-        self.free[pupil][rows] = False
-        return self.views[pupil][rows], (logit[rows] >= 0).astype(float)
+def certainties(logits: np.ndarray) -> np.ndarray:
+    """Whole numbers in the order of the logits' absolute values."""
+    return np.abs(logits).view(np.int64)
 
 
 class TablePool:
@@ -195,49 +178,116 @@ class TablePool:
     def lessons(
         self, teacher: int, view: Logistic, confident: float, most: int
     ) -> tuple[np.ndarray, np.ndarray]:
-        """As of ``ArrayPool``; what comes back is ``most`` rows, a share of the examples."""
+        """Features for the pupil and 0/1 of the ``most`` rows the teacher is surest of.
+
+        Each row teaches a pupil once, and among equally sure ones a hash of the row
+        decides. Tasks count rows by certainty first; only the rows above the cut that
+        these counts give reach the driver, about twice ``most`` however many tasks and
+        rows there are.
+        """
         pupil = 1 - teacher
         gone = np.array(self.taken[pupil], dtype=np.int64)
+        least = np.log(confident / (1 - confident))
+        rows = self.rows.select(
+            "row",
+            F.col(f"x.{VIEWS[teacher]}").alias("teacher"),
+            F.col(f"x.{VIEWS[pupil]}").alias("pupil"),
+        )
 
-        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def sure(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+            """The places of a batch's free rows that are sure enough, and their logits."""
+            x = batch["teacher"].flatten().to_numpy().reshape(batch.num_rows, -1)
+            logit = view.logit(x)
+            free = ~np.isin(batch["row"].to_numpy(), gone)
+            places = np.flatnonzero(free & (np.abs(logit) >= least))
+            return places, logit[places]
+
+        def counted(within: int | None, above: int, shift: int) -> list[tuple[int, int]]:
+            """Bins of certainty with their rows, the surest first, inside a wider bin."""
+
+            def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                for batch in batches:
+                    if not batch.num_rows:
+                        continue
+                    sureness = certainties(sure(batch)[1])
+                    if within is not None:
+                        sureness = sureness[sureness >> above == within]
+                    bins, numbers = np.unique(sureness >> shift, return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(bins), pa.array(numbers)], ["bin", "rows"]
+                    )
+
+            found = rows.select("row", "teacher").mapInArrow(count, "bin bigint, rows bigint")
+            tally = found.groupBy("bin").agg(F.sum("rows").alias("rows")).collect()
+            return sorted(((row.bin, row.rows) for row in tally), reverse=True)
+
+        floor, share = certainty_cut(counted, most)
+
+        def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 if not batch.num_rows:
                     continue
-                x = batch["teacher"].flatten().to_numpy().reshape(batch.num_rows, -1)
-                free = ~np.isin(batch["row"].to_numpy(), gone)
-                rows, logit = surest(view, x, free, confident, most)
-                chosen = batch.select(["row", "pupil"]).take(pa.array(rows))
+                places, logit = sure(batch)
+                high = certainties(logit) >= floor
+                picked = batch.select(["row", "pupil"]).take(pa.array(places[high]))
                 yield pa.RecordBatch.from_arrays(
-                    [*chosen.columns, pa.array(logit[rows])], ["row", "pupil", "logit"]
+                    [*picked.columns, pa.array(logit[high]), pa.array(certainties(logit[high]))],
+                    ["row", "pupil", "logit", "sureness"],
                 )
 
+        # A hash of its own for each lesson: the rows low in the last one's are gone.
+        turn = F.xxhash64(F.lit(len(gone)), "row")
         found = (
-            self.rows.select(
-                "row",
-                F.col(f"x.{VIEWS[teacher]}").alias("teacher"),
-                F.col(f"x.{VIEWS[pupil]}").alias("pupil"),
+            rows.mapInArrow(chosen, "row bigint, pupil array<double>, logit double, sureness bigint")
+            .withColumn("turn", turn)
+            .where(
+                (F.col("sureness") > floor)
+                | (F.pmod("turn", F.lit(1 << 32)) < F.lit(int(share * (1 << 32))))
             )
-            .mapInArrow(score, "row bigint, pupil array<double>, logit double")
-            .orderBy(F.abs("logit").desc(), F.xxhash64("row"), "row")
-            .limit(most)
             .collect()
         )
-        self.taken[pupil] += [row["row"] for row in found]
+        found = sorted(found, key=lambda row: (-row.sureness, row.turn, row.row))[:most]
+        self.taken[pupil] += [row.row for row in found]
         x = np.array([row.pupil for row in found], dtype=float)
         return x, np.array([row.logit >= 0 for row in found], dtype=float)
 
 
+def certainty_cut(
+    counted: Callable[[int | None, int, int], list[tuple[int, int]]], most: int
+) -> tuple[int, float]:
+    """The least certainty asked for, and the share drawn of the rows exactly that sure.
+
+    ``counted(within, above, shift)`` gives (bin, rows), highest first, of the certainties
+    cut by ``shift`` bits whose value cut by ``above`` bits is ``within``. The bin in which
+    the rows reach ``most`` is cut finer until the rows from it on are few enough to take
+    whole; equal certainties that are more than that are drawn, with some to spare.
+    """
+    within, above, over = None, 63, 0
+    for shift in BIN_SHIFTS:
+        for bin_, rows in counted(within, above, shift):
+            if over + rows >= most:
+                break
+            over += rows
+        else:
+            return 0, 1.0
+        if over + rows <= 2 * most:
+            return bin_ << shift, 1.0
+        within, above = bin_, shift
+    need = most - over
+    return bin_, min(1.0, (need + 5 * need**0.5 + 20) / rows)
+
+
 def co_train(
     labelled: tuple[np.ndarray, np.ndarray, np.ndarray],
-    pool: tuple[np.ndarray, np.ndarray] | TablePool,
+    pool: TablePool,
     rounds: int = ROUNDS,
     confident: float = CONFIDENT,
     seed: int = SEED,
 ) -> CoTrained:
     """Views that teach each other over ``rounds``, then calibrated and combined.
 
-    ``labelled`` is (text features, metadata features, 0/1), ``pool`` the same without
-    labels, or a table of them. In each round either view labels the rows of the whole
+    ``labelled`` is (text features, metadata features, 0/1), ``pool`` a table of the same
+    without labels. In each round either view labels the rows of the whole
     pool it is most certain of, at least ``confident`` and at most ``NEW_SHARE`` of its
     examples so far, and the other view learns them. A held-out part of the labelled
     rows, which teaches no view, calibrates both and fits the weights by which they are
@@ -254,7 +304,6 @@ def co_train(
     calibrate = held if len(np.unique(y[held])) == 2 else learn
     views_x = (text, metadata)
     examples = [(x[learn], y[learn].astype(float)) for x in views_x]
-    pool = pool if isinstance(pool, TablePool) else ArrayPool(pool)
     views = [Logistic.fit(*example) for example in examples]
     for _ in range(rounds):
         taught = False

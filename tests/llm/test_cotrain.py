@@ -37,7 +37,15 @@ def test_logistic_regression_finds_the_weights():
     assert np.corrcoef(Logistic.fit(x, y).logit(x), logit)[0, 1] > 0.999
 
 
-def test_views_teach_each_other():
+POOL = "row bigint, x struct<text: array<double>, metadata: array<double>>"
+
+
+def table_pool(spark, views, tasks=4):
+    rows = [(i, (a.tolist(), b.tolist())) for i, (a, b) in enumerate(zip(*views))]
+    return cotrain.TablePool(spark.createDataFrame(rows, POOL).repartition(tasks, "row"))
+
+
+def test_views_teach_each_other(spark):
     """Each view is given too few labels alone; what the other is sure of helps it."""
     rng = np.random.default_rng(3)
 
@@ -51,7 +59,7 @@ def test_views_teach_each_other():
     few, (pool_a, pool_b, _), test = sample(24), sample(4000), sample(4000)
     accuracy = []
     for rounds in (0, 5):
-        model = co_train(few, (pool_a, pool_b), rounds=rounds)
+        model = co_train(few, table_pool(spark, (pool_a, pool_b)), rounds=rounds)
         p = model.probabilities(test[0], test[1])
         accuracy.append([((q > 0.5) == test[2]).mean() for q in p])
     assert accuracy[1][0] > accuracy[0][0] and accuracy[1][1] > accuracy[0][1]
@@ -126,14 +134,60 @@ def test_all_unlabelled_rows_are_asked(spark, monkeypatch):
     assert held[0].rows.count() == 24_900
 
 
-def test_a_table_teaches_what_arrays_teach(spark):
+@pytest.fixture
+def collected(monkeypatch, spark):
+    """The numbers of rows that each collect brings to the driver."""
+    kind, sizes = type(spark.range(1)), []
+    plain = kind.collect
+
+    def collect(frame):
+        rows = plain(frame)
+        sizes.append(len(rows))
+        return rows
+
+    monkeypatch.setattr(kind, "collect", collect)
+    return sizes
+
+
+@pytest.mark.parametrize("tasks", [1, 4, 64])
+def test_the_surest_rows_of_all_tasks_teach(spark, tasks, collected):
     rng = np.random.default_rng(5)
-    views = [rng.standard_normal((500, width)) for width in (TEXT_FEATURES, 4)]
-    rows = [(i, (a.tolist(), b.tolist())) for i, (a, b) in enumerate(zip(*views))]
-    kind = "row bigint, x struct<text: array<double>, metadata: array<double>>"
-    pools = cotrain.TablePool(spark.createDataFrame(rows, kind)), cotrain.ArrayPool(tuple(views))
+    views = [rng.standard_normal((3000, width)) for width in (5, 4)]
+    pool = table_pool(spark, views, tasks)
+    free = [np.ones(3000, dtype=bool) for _ in views]
     for teacher in (0, 1, 0):
-        y = (views[teacher][:, 0] + 0.3 * rng.standard_normal(500) > 0).astype(float)
+        y = (views[teacher][:, 0] + 0.3 * rng.standard_normal(3000) > 0).astype(float)
         view = Logistic.fit(views[teacher], y)
-        (x, told), (expected, known) = (p.lessons(teacher, view, 0.9, 60) for p in pools)
-        assert len(told) == 60 and np.allclose(x, expected) and (told == known).all()
+        collected.clear()
+        x, told = pool.lessons(teacher, view, 0.9, 60)
+        logit = view.logit(views[teacher])
+        rows = np.argsort(np.where(free[1 - teacher], -np.abs(logit), 0))[:60]
+        free[1 - teacher][rows] = False
+        assert np.allclose(x, views[1 - teacher][rows]) and (told == (logit[rows] >= 0)).all()
+        assert collected[-1] <= 120
+
+
+def test_equally_sure_rows_are_drawn_in_bounds(spark, collected):
+    """A third of all rows alike: the rows above them come first, few of them reach the driver."""
+    x = np.zeros((6000, 2))
+    x[:2000] = [3.0, 1.0]
+    x[2000:2030] = [4.0, 1.0]
+    x[2030:, 0] = np.linspace(-1, 1, 3970)
+    pool = table_pool(spark, (x, x), 32)
+    view = Logistic(np.zeros(2), np.ones(2), np.array([2.0, 0.0, 0.0]))
+    seen = []
+    for _ in range(3):
+        found, told = pool.lessons(0, view, 0.95, 100)
+        assert len(told) == 100 and told.all()
+        seen.append((found[:, 0] == 4.0).sum())
+        assert collected[-1] <= 300
+    assert seen == [30, 0, 0] and len(set(pool.taken[1])) == 300
+
+
+def test_fewer_sure_rows_than_asked_for_all_teach(spark):
+    x = np.linspace(-4, 4, 9)[:, None]
+    view = Logistic(np.zeros(1), np.ones(1), np.array([1.0, 0.0]))
+    pool = table_pool(spark, (x, x))
+    found, told = pool.lessons(0, view, 0.9, 100)
+    assert sorted(found[:, 0]) == [-4, -3, 3, 4] and sorted(told) == [0, 0, 1, 1]
+    assert len(pool.lessons(0, view, 0.9, 100)[1]) == 0
