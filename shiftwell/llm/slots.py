@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -14,11 +14,33 @@ PARTS = 16
 MAP_SCHEMA = "version int, virtual_slot int, bytes bigint, shard int"
 
 
-def slot_of(key: str, text: str, slots: int = SLOTS):
-    """The virtual slot of a row: by its id, or by its text where the id is NULL."""
-    return F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.col(text))), F.lit(slots)).cast(
-        "int"
+def key_hash(key: str, text: str) -> Column:
+    """The hash of a row's id, or of its text where the id is NULL."""
+    return F.xxhash64(F.coalesce(F.col(key).cast("string"), F.col(text)))
+
+
+def slot_of(hashed: Column, salt: Column, slots: int = SLOTS) -> Column:
+    """The virtual slot of a row by the hash of its key and, if it has one, by its salt."""
+    spread = F.when(salt.isNotNull(), F.xxhash64(hashed, salt)).otherwise(hashed)
+    return F.pmod(spread, F.lit(slots)).cast("int")
+
+
+def heavy_keys(rows: DataFrame, shards: int, slots: int = SLOTS) -> DataFrame:
+    """The ``hash`` of keys of several rows that hold over an eighth of a shard's bytes.
+
+    There are 8 x ``shards`` of them at most. Only the rows of slots that hold as much
+    are grouped by key, so where no slot stands out nothing is shuffled but slots.
+    """
+    slot = F.pmod("hash", F.lit(slots))
+    sums = rows.groupBy(slot.alias("slot")).agg(F.sum("size").alias("bytes"))
+    share = F.sum("bytes").over(W.partitionBy(F.lit(0))) / (8 * shards)
+    full = sums.withColumn("share", share).where(F.col("bytes") > F.col("share"))
+    # One row a slot at most, a fixed number.
+    inside = rows.withColumn("slot", slot).join(F.broadcast(full.drop("bytes")), "slot")
+    keys = inside.groupBy("hash").agg(
+        F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"), F.first("share").alias("share")
     )
+    return keys.where((F.col("rows") > 1) & (F.col("bytes") > F.col("share"))).select("hash")
 
 
 def slot_bytes(rows: DataFrame, slots: int = SLOTS) -> DataFrame:
@@ -122,6 +144,17 @@ def rebalanced(current: DataFrame, sizes: DataFrame, shards: int) -> DataFrame:
     )
 
 
+def even_map(spark: SparkSession, shards: int, slots: int = SLOTS) -> DataFrame:
+    """Version 1 before any bytes are known: slots dealt to the shards in turn."""
+    slot = F.col("id").cast("int")
+    return spark.range(slots).select(
+        F.lit(1).alias("version"),
+        slot.alias("virtual_slot"),
+        F.lit(0).cast("bigint").alias("bytes"),
+        F.pmod(slot, F.lit(shards)).alias("shard"),
+    )
+
+
 def store_map(slot_map: DataFrame, path: str) -> None:
     """Add a version to the map's table; versions before it stay readable."""
     slot_map.write.mode("append").partitionBy("version").parquet(path)
@@ -153,6 +186,10 @@ def assigned(
     in these, through a fixed order of rows. No window holds more than a part of a
     virtual slot, so a hot source, text or id length meets no single task.
 
+    A row's virtual slot comes from its key alone. Where many rows repeat one key, or one
+    text without a key, and hold over an eighth of a shard together, each of them is
+    hashed with its place in the written table, so that they spread over all slots.
+
     size is the text's UTF-8 bytes plus 1. A NULL text counts as empty, a NULL key is
     hashed by its text and stays NULL. Equal rows take places of their own. An empty
     table gives no rows and a map with all slots of no bytes. Of further columns none
@@ -160,16 +197,25 @@ def assigned(
     """
     spark = documents.sparkSession
     whole = F.coalesce(F.col(text), F.lit(""))
-    rows = documents.select(
-        F.col(key),
-        (F.octet_length(whole).cast("long") + 1).alias("size"),
-        F.crc32(whole.cast("binary")).alias("text_crc32"),
-        slot_of(key, text, slots).alias("virtual_slot"),
-        F.pmod(
-            F.xxhash64(F.lit(1), F.coalesce(F.col(key).cast("string"), F.col(text))), F.lit(PARTS)
-        ).alias("part"),
-    )
-    rows = written(rows, "sharded-rows")
+    rows = written(
+        documents.select(
+            F.col(key),
+            (F.octet_length(whole).cast("long") + 1).alias("size"),
+            F.crc32(whole.cast("binary")).alias("text_crc32"),
+            key_hash(key, text).alias("hash"),
+            F.monotonically_increasing_id().alias("row"),
+        ),
+        "sharded-rows",
+    )
+    heavy = written(heavy_keys(rows, shards, slots), "heavy-keys").withColumn("heavy", F.lit(True))
+    salt = F.when(F.col("heavy"), F.col("row"))
+    rows = rows.join(F.broadcast(heavy), "hash", "left").select(
+        key,
+        "size",
+        "text_crc32",
+        slot_of(F.col("hash"), salt, slots).alias("virtual_slot"),
+        F.pmod(F.xxhash64(F.lit(1), "hash", salt), F.lit(PARTS)).alias("part"),
+    )
     parts = written(
         rows.groupBy("virtual_slot", "part").agg(
             F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows")

@@ -4,7 +4,9 @@ from collections import defaultdict
 from llm_fixtures import documents  # noqa: F401
 from pyspark.sql import functions as F
 
-from shiftwell.llm.slots import assigned, first_map, load_map, rebalanced, slot_bytes, store_map
+from shiftwell.llm.slots import (
+    assigned, even_map, first_map, load_map, rebalanced, slot_bytes, store_map,
+)
 
 
 def check(found, documents, shards):
@@ -32,6 +34,38 @@ def test_shards_are_near_equal(documents):
     assert max(load) - min(load) <= 100
 
 
+def test_rows_of_one_key_are_spread(documents):
+    """A repeated id, equal rows and equal texts without an id, each with many bytes."""
+    rows = [(i, "x" * (i % 50)) for i in range(600)]
+    rows += [(-1, f"{i} " + "y" * 90) for i in range(400)]
+    rows += [(-2, "z" * 99)] * 300 + [(None, "w" * 99)] * 300
+    found = assigned(documents(*rows), 16).collect()
+    load = check(found, rows, 16)
+    assert max(load) - min(load) <= 110
+    assert all(len({r.virtual_slot for r in found if r.doc_id == k}) > 200 for k in (-1, -2, None))
+
+
+def test_one_long_row_stays_in_the_slot_of_its_key(documents):
+    rows = [(i, "x") for i in range(50)]
+    slots = [
+        {r.doc_id: r.virtual_slot for r in assigned(documents(*rows, (50, text)), 4).collect()}
+        for text in ("x", "long " * 10_000)
+    ]
+    assert slots[0] == slots[1]
+
+
+def test_even_map_is_edited_for_the_bytes(documents, spark, tmp_path):
+    path = f"file://{tmp_path}/map"
+    store_map(even_map(spark, 4, 64), path)
+    rows = [(i, "x" * (i % 7) ** 3) for i in range(900)]
+    found = assigned(documents(*rows), 4, slots=64, map_path=path).collect()
+    load = check(found, rows, 4)
+    assert {r.version for r in found} == {2} and max(load) <= 1.02 * sum(load) / 4
+    one = {r.virtual_slot: r.shard for r in load_map(spark, path, 1).collect()}
+    two = {r.virtual_slot: r.shard for r in load_map(spark, path).collect()}
+    assert len(one) == len(two) == 64 and 0 < sum(one[s] != two[s] for s in one) < 32
+
+
 def test_place_depends_on_the_row_alone(documents):
     rows = [(i, "x" * i) for i in range(50)]
     first = {r.doc_id: r.virtual_slot for r in assigned(documents(*rows), 4).collect()}
