@@ -43,6 +43,7 @@ NO_CONTENT = frozenset(
 )
 CELLS = frozenset("td th br wbr img".split())
 HEADINGS = "header"
+HEADS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 WRAPPERS = frozenset("html body main article".split())
 SAME_CLOSES = {
     "li": ("ul", "ol", "menu"),
@@ -76,6 +77,7 @@ class Line:
     pieces: list[str] = field(default_factory=list)
     linked: int = 0
     empty: bool = False
+    heading: bool = False
 
 
 def _is_boilerplate(name: str, attributes: dict[str, str], in_article: bool) -> bool:
@@ -192,6 +194,7 @@ def page_lines(page: str) -> list[Line]:
         if name in BLOCKS:
             cut(scope)
             opened = lines[-1]
+            opened.heading = name in HEADS
     return [line for line in lines if line.empty or "".join(line.pieces).strip()]
 
 
@@ -199,6 +202,18 @@ def _text(line: Line) -> str:
     return " ".join(html.unescape("".join(line.pieces)).split())
 
 
+def _headed(lines: list[Line], texts: list[str]) -> list[int]:
+    """The places of all lines but the empty ones between a heading and what it heads."""
+    places, headed = [], False
+    for place, (line, text) in enumerate(zip(lines, texts)):
+        if text:
+            headed = line.heading
+        elif headed:
+            continue
+        places.append(place)
+    return places
+
+
 def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
     """The blocks of a page between the points where its text surges and dives.
 
@@ -207,11 +222,14 @@ def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str
     its text, lines outside weigh nothing and each line of text inside half a ``surge``
     more. The sums over ``window`` lines from each line on are the page's distribution.
     A surge is a line whose sum exceeds ``surge``, a dive the next line from which the
-    sum is nothing; text between them is kept. A page that never surges keeps all lines
+    sum is nothing; text between them is kept. Empty blocks between a heading and the
+    text under it count as no lines. A page that never surges keeps all lines
     of any weight.
     """
     lines = page_lines(page or "")
     texts = [_text(line) for line in lines]
+    places = _headed(lines, texts)
+    lines, texts = [lines[i] for i in places], [texts[i] for i in places]
     lengths = [
         len(text) if 2 * line.linked <= len(text) or not line.linked else 0
         for line, text in zip(lines, texts)

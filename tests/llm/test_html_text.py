@@ -90,3 +90,11 @@ def test_surge_and_dive_decide_inside_an_article():
     gap = "<div></div>" * 3
     page = f"<article><p>Tag</p>{gap}<h1>Title</h1><p>By me</p><p>{BODY}</p><p>End.</p>{gap}<p>Like</p></article>"
     assert main_text(page) == f"Title\nBy me\n{BODY.strip()}\nEnd."
+
+
+@pytest.mark.parametrize("scope", ["article", "div"])
+def test_empty_blocks_do_not_part_a_heading_from_its_text(scope):
+    gap = "<div></div>" * 3
+    page = f"<{scope}><h1>T</h1>{gap}<p>{BODY}</p></{scope}>"
+    assert main_text(page) == f"T\n{BODY.strip()}"
+    assert main_text(page.replace("h1>", "p>")) == BODY.strip()
