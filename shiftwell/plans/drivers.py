@@ -10,7 +10,7 @@ the driver id.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _PERSON = ("Driver_ID", "Age", "City", "Experience_Years")
@@ -30,6 +30,23 @@ def rides_per_day(rides: DataFrame) -> DataFrame:
     )
 
 
+def spread_of_cents(fares: str) -> Column:
+    """The sample standard deviation of fares in whole cents, whatever their order.
+
+    Whole numbers add up exactly, so a spread of half a cent comes out as one and is
+    printed alike each time. Fares whose squares, in cents, add up to 2^63 or more, or
+    are no numbers, have the deviation of floating point.
+    """
+    cents = F.rint(F.col(fares) * 100).try_cast("bigint")
+    squares = F.try_multiply(cents, cents)
+    n, total, of_squares = F.count(squares), F.try_sum(cents), F.try_sum(squares)
+    wide = "decimal(19,0)"
+    parted = n.cast(wide) * of_squares.cast(wide) - total.cast(wide) * total.cast(wide)
+    exact = F.sqrt(parted.cast("double") / (n * (n - 1)).cast("double")) / 100
+    whole = (n > 1) & (n == F.count(fares)) & of_squares.isNotNull() & total.isNotNull()
+    return F.when(whole, exact).otherwise(F.stddev(fares))
+
+
 def _folded(drivers: DataFrame) -> DataFrame:
     """Equal driver rows as one row with their number."""
     return drivers.groupBy(*_PROFILE).agg(F.count(F.lit(1)).alias("copies"))
@@ -83,7 +100,7 @@ def drivers_metrics_core(drivers: DataFrame, rides: DataFrame) -> DataFrame:
             F.avg("total_rides").alias("avg_rides"),
             F.min("total_fare").alias("min_fare"),
             F.max("total_fare").alias("max_fare"),
-            F.stddev("total_fare").alias("stddev_fare"),
+            spread_of_cents("total_fare").alias("stddev_fare"),
             F.sum("total_duration_min").alias("total_duration_min_all_days"),
         )
     )
@@ -109,7 +126,7 @@ def metrics_of_days(drivers: DataFrame, days: DataFrame) -> DataFrame:
         F.avg("day_rides").alias("avg_rides"),
         F.min("day_fare").alias("min_fare"),
         F.max("day_fare").alias("max_fare"),
-        F.stddev("day_fare").alias("stddev_fare"),
+        spread_of_cents("day_fare").alias("stddev_fare"),
         F.sum("day_minutes").alias("total_duration_min_all_days"),
     )
     none = F.lit(0).cast("bigint")

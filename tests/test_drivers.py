@@ -15,8 +15,10 @@ from shiftwell.plans.drivers import (
     drivers_metrics_core,
     drivers_metrics_core_unique,
     has_unique_ids,
+    spread_of_cents,
     summary_drivers,
 )
+from shiftwell.plans.stress import driver_prompts
 
 DRIVERS = (
     "Driver_ID bigint, Age bigint, City string, Experience_Years bigint, Average_Rating double"
@@ -235,3 +237,26 @@ def test_hot_driver_is_spread(spark):
     assert core[1]["total_rides_all_days"] == 18000
     assert sum(row["total_rides_all_days"] for row in core.values()) == 20000
     assert summary_drivers(drivers, rides).where("Driver_ID = 1").count() <= days
+
+
+def test_a_spread_of_half_a_cent_is_exact(spark):
+    # Four days, one of them 49 cents above the others: a spread of 24.5 cents.
+    fares = [10.24, 10.24, 10.24, 10.73]
+    rides = [(i, 1, dt.date(2025, 1, 1 + i), 10, fare) for i, fare in enumerate(fares)]
+    people, all_rides = frames(spark, [driver(1), driver(2)], rides)
+    for core in (drivers_metrics_core, drivers_metrics_core_unique):
+        found = driver_prompts(core(people, all_rides)).where("driver_ID = 1").first()
+        assert "standard deviation $0.25.\n" in found.score_prompt
+        assert "standard deviation of fares: $0.25\n" in found.reason_prompt
+
+
+def test_spreads_that_are_no_whole_cents_or_too_large(spark):
+    values = [[1e14, 3e14, 5e14], [1.0, float("nan"), 2.0], [None, 7.0, 9.0], [4.0], [None]]
+    frame = spark.createDataFrame(
+        [(i, value) for i, group in enumerate(values) for value in group], "i int, fare double"
+    )
+    found = dict(frame.groupBy("i").agg(spread_of_cents("fare")).collect())
+    assert found[0] == pytest.approx(2e14)
+    assert math.isnan(found[1])
+    assert found[2] == pytest.approx(math.sqrt(2))
+    assert found[3] is None and found[4] is None
