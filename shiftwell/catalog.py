@@ -47,6 +47,9 @@ TEXT_DIM = 16
 HIGH_AT = 0.3
 PLOT_CELLS = 100
 LONG_DAY = 60
+# A task reads a feed file as a whole, and one file is one task's to write.
+FEED_FILE_ITEMS = 1 << 10
+RIDE_FILE_ROWS = 1 << 18
 
 
 def _register(query: Query) -> Query:
@@ -638,7 +641,7 @@ MOMENTS = (
 
 
 def _feed_path(spark: SparkSession, folder: str) -> str:
-    """Documents as items of RSS files: some without a link or a date."""
+    """Documents as items of RSS files of bounded length: some without a link or a date."""
     path = scratch_path(spark, "feed")
     documents = shipped.table(spark, folder, "documents")
 
@@ -655,7 +658,8 @@ def _feed_path(spark: SparkSession, folder: str) -> str:
         .alias("pubDate"),
         text.alias("description"),
     )
-    items.write.format("xml").option("rootTag", "channel").option("rowTag", "item").save(path)
+    xml = items.write.format("xml").option("rootTag", "channel").option("rowTag", "item")
+    xml.option("maxRecordsPerFile", FEED_FILE_ITEMS).save(path)
     return path
 
 

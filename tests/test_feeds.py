@@ -4,6 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from shiftwell import catalog
 from shiftwell.functions.dates import free_timestamp, iso_text
 from shiftwell.sources.feeds import checked_items, load_feed, read_feed, with_iso_dates
 
@@ -108,3 +109,12 @@ def test_free_dates(spark):
 def test_published_is_a_timestamp(spark, rss):
     row = checked_items(read_feed(spark, rss)).where("title = 'No text'").first()
     assert isinstance(row["published"], dt.datetime)
+
+
+def test_feed_files_of_documents_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(catalog, "FEED_FILE_ITEMS", 16, raising=False)
+    folder = "/root/testdata/sf0.001"
+    items = read_feed(spark, catalog._feed_path(spark, folder)).withColumn("file", F.input_file_name())
+    sizes = [row["count"] for row in items.groupBy("file").count().collect()]
+    assert max(sizes) <= 16
+    assert sum(sizes) == spark.read.parquet(f"{folder}/documents.parquet").count()
