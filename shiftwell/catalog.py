@@ -716,16 +716,26 @@ def stream_feed_rejects(spark: SparkSession, folder: str) -> DataFrame:
 
 @_register
 def stream_driver_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    """Metrics of drivers from rides that two streams brought in batches."""
+    """Metrics of drivers from rides that two streams brought in two batches each."""
     states = DayStates(spark, scratch_path(spark, "day-states"))
     target, rejects = (scratch_path(spark, f"rides-{part}") for part in ("out", "rejects"))
     rides = _whole_rides(spark, folder)
+    # About so many: a line of an order is a ride.
+    in_batch = shipped.table(spark, folder, "lineitem").count() // 4
+    files_per_batch = 1 + in_batch // RIDE_FILE_ROWS
     for part in range(2):
         source, checkpoint = (scratch_path(spark, f"rides-{p}") for p in ("in", "checkpoint"))
         lines = rides.where(F.col("Ride_ID") % 2 == part).select(F.to_json(F.struct("*")))
-        lines.repartition(2).write.text(source)
+        lines.repartition(2 * files_per_batch).write.text(source)
         streaming.append_stream(
-            spark, source, RIDES, target, rejects, checkpoint, files_per_batch=1, then=states.add
+            spark,
+            source,
+            RIDES,
+            target,
+            rejects,
+            checkpoint,
+            files_per_batch=files_per_batch,
+            then=states.add,
         ).awaitTermination()
     core = states.metrics(shipped.drivers(spark, folder))
     return core.withColumn("stddev_fare", F.round("stddev_fare", 6))

@@ -6,7 +6,9 @@ import random
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
+from shiftwell import catalog
 from shiftwell.plans.drivers import drivers_metrics_core_unique
 from shiftwell.schemas import RIDES
 from shiftwell.streaming.append import append_stream, read_appended
@@ -85,3 +87,23 @@ def test_given_drivers_read_their_buckets_alone(spark, tmp_path):
 def test_nothing_yet(spark, tmp_path, drivers):
     states = DayStates(spark, f"{tmp_path}/states")
     assert states.metrics(drivers).where("total_rides_all_days = 0").count() == 13
+
+
+def test_ride_files_grow_in_number_only(spark, monkeypatch):
+    monkeypatch.setattr(catalog, "RIDE_FILE_ROWS", 500, raising=False)
+    folder = "/root/testdata/sf0.001"
+    sources, append = [], catalog.streaming.append_stream
+
+    def noted(session, source, *args, **options):
+        sources.append(source)
+        return append(session, source, *args, **options)
+
+    monkeypatch.setattr(catalog.streaming, "append_stream", noted)
+    found = rows(catalog.stream_driver_metrics(spark, folder))
+    sizes = []
+    for source in sources:
+        lines = spark.read.text(source).groupBy(F.input_file_name()).count()
+        sizes += [row["count"] for row in lines.collect()]
+    assert len(sources) == 2 and max(sizes) <= 600
+    assert sum(sizes) == spark.read.parquet(f"{folder}/lineitem.parquet").count()
+    assert found == rows(catalog.drivers_metrics_core_count_rewrite(spark, folder))
