@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,10 +27,17 @@ MOST_PARTITIONS = 50_000
 K1 = 1.2
 B = 0.75
 WORKER_ENTRIES = 400_000
+# So many characters, of so many texts, are split into words at once.
+BATCH_CHARS = 1 << 23
+TEXTS = 1 << 12
 
 # Letters that have one form and one small letter each, then signs that end the word
 # for the tokenizer; an apostrophe may begin an ending and is not among them.
 WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@[-`{-~]*)")
+# Texts of these signs alone have the same normal form when they are made small first.
+SIMPLE = re.compile("[\x00-\x7fÀ-ÖØ-öø-ÿ]*")
+# Where letters end and signs begin, as in WORD.
+WORD_END = "([A-Za-zÀ-ÖØ-öø-ÿ])([!-&(-/:-@\\[-`{-~])"
 # Fixed value: how special tokens begin; the tokenizer finds them anywhere in a text.
 SPECIAL = "<|"
 
@@ -55,22 +63,21 @@ class ChunkIds(dict):
         self.written = {ord(c): level.pre_tokenize_str(c)[0][0] for c in latin}
         self[""] = b""
 
-    def encode(self, chunk: str) -> bytes:
-        parts = WORD.fullmatch(chunk)
-        if parts is None:
+    def encode(self, chunk: str, is_word: bool) -> bytes:
+        if not is_word:
             ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
         else:
-            letters, signs = parts.groups()
-            if signs or not letters.islower():
-                return self[letters.lower()] + self[signs]
             # The chunk is its own normal form and one word: only merges are left.
-            if not letters.isascii():
-                letters = letters.translate(self.written)
+            letters = chunk if chunk.isascii() else chunk.translate(self.written)
             ids = [token.id for token in self.model.tokenize(letters)]
         return struct.pack(f"<{len(ids)}H", *ids)
 
     def __missing__(self, chunk: str) -> bytes:
-        ids = self.encode(chunk)
+        parts = WORD.fullmatch(chunk)
+        if parts is not None and (parts[2] or not parts[1].islower()):
+            # Not kept: its parts are.
+            return self[parts[1].lower()] + self[parts[2]]
+        ids = self.encode(chunk, parts is not None)
         if len(self) >= WORKER_ENTRIES:
             self.clear()
             self[""] = b""
@@ -80,12 +87,41 @@ class ChunkIds(dict):
 
 def text_ids(text: str, chunks: ChunkIds) -> bytes:
     """The ids of a whole text, two bytes each."""
-    if SPECIAL in text:
-        ids = chunks.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u2").tobytes()
-    if text.isascii():
-        text = text.lower()
-    return b"".join([chunks[chunk] for chunk in text.replace("\n", " ").split(" ")])
+    return texts_ids([text], chunks)[0]
+
+
+def texts_ids(texts: list[str], chunks: ChunkIds) -> list[bytes]:
+    """The ids of whole texts; each distinct word of all of them is looked up once."""
+    found: list[bytes] = []
+    start = size = 0
+    for end, text in enumerate(texts):
+        if size and size + len(text) > BATCH_CHARS:
+            found += _looked_up(texts[start:end], chunks)
+            start, size = end, 0
+        size += len(text)
+    return found + _looked_up(texts[start:], chunks)
+
+
+def _looked_up(texts: list[str], chunks: ChunkIds) -> list[bytes]:
+    plain = []
+    for text in texts:
+        text = "" if SPECIAL in text else text
+        plain.append((text.lower() if SIMPLE.fullmatch(text) else text).replace("\n", " "))
+    apart = pc.replace_substring_regex(pa.array(plain, type=pa.string()), WORD_END, r"\1 \2")
+    split = pc.split_pattern(apart, " ")
+    words = split.flatten().dictionary_encode()
+    ids = pa.array([chunks[word] for word in words.dictionary.to_pylist()], type=pa.binary())
+    # The words' ids lie one after another, so a text's are one range of the bytes.
+    in_turn = ids.take(words.indices)
+    edges = np.frombuffer(in_turn.buffers()[1], dtype=np.int32)[split.offsets.to_numpy()].tolist()
+    data = in_turn.buffers()[2]
+    data = b"" if data is None else data.to_pybytes()
+    found = [data[start:end] for start, end in zip(edges, edges[1:])]
+    for place, text in enumerate(texts):
+        if SPECIAL in text:
+            whole = chunks.tokenizer.encode(text, add_special_tokens=False).ids
+            found[place] = np.array(whole, dtype="<u2").tobytes()
+    return found
 
 
 def tokenized(
@@ -97,8 +133,8 @@ def tokenized(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks = kept(("chunk ids", path), lambda: ChunkIds(path))
-        for rows in slices(batches):
-            ids = [text_ids(t, chunks) + end for t in rows["text"].to_pylist()]
+        for rows in slices(batches, TEXTS):
+            ids = [one + end for one in texts_ids(rows["text"].to_pylist(), chunks)]
             lexical = pa.array([lexical_key(one) for one in ids], type=pa.int64())
             columns = [rows["key"], pa.array(ids, type=pa.binary()), lexical]
             yield pa.RecordBatch.from_arrays(columns, ["key", "ids", "lexical"])

@@ -10,7 +10,16 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from shiftwell.llm import packing
-from shiftwell.llm.packing import Bm25, ChunkIds, Packer, lexical_key, pack_order, packed, text_ids
+from shiftwell.llm.packing import (
+    Bm25,
+    ChunkIds,
+    Packer,
+    lexical_key,
+    pack_order,
+    packed,
+    text_ids,
+    texts_ids,
+)
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ODD = [" ", "  ", "\n", "a", "The", "é", "é", "́", "\t", "'s", "'", "don't", "<|endoftext|>"]
@@ -169,3 +178,19 @@ def test_neighbours_are_found_across_a_partition():
     pieces += [p for batch in packer.finish() for p in batch]
     where = {key: sequence for key, _, _, _, _, sequence, _, _ in pieces}
     assert where[0] == where[len(ids) - 1]
+
+
+def test_a_batch_looks_each_word_up_once():
+    asked = []
+
+    class Noted(ChunkIds):
+        def __getitem__(self, chunk):
+            asked.append(chunk)
+            return super().__getitem__(chunk)
+
+    library = Tokenizer.from_file(PATH)
+    texts = ["One, two. Two! it's\n(one)"] * 50 + ["", "é Ñandú, one", "a <|endoftext|> b", "H\u0331 A."]
+    found = [np.frombuffer(ids, "<u2").tolist() for ids in texts_ids(texts, Noted(PATH))]
+    assert found == [ids_of(library, text) for text in texts]
+    assert asked.count("one") == asked.count("two") == 1
+    assert "two." not in asked
