@@ -5,16 +5,18 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shiftwell.llm.groups import groups, slices
+from shiftwell.llm.groups import groups, joined, slices
 from shiftwell.llm.tables import written
 
 BASE = math.sqrt(2)
@@ -24,9 +26,12 @@ PROBES = 6
 BLOCK_BITS = 1 << 19
 BROADCAST_BLOCKS = 1 << 10
 SHARD_BLOCKS = 1 << 6
+SHARD_TOKENS = 1 << 21
+LEAST_SHARDS = 1 << 5
 MOST_PARTITIONS = 50_000
 FREQUENT = 1 << 18
-CHUNK_CHARS = 1 << 21
+CHUNK_CHARS = 1 << 22
+CHUNKS_A_TASK = 1 << 4
 HELD_PAIRS = 1 << 21
 HELD_WORDS = 1 << 19
 LEAST_LEFT = 0.02
@@ -35,6 +40,8 @@ LEAST_LEFT = 0.02
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 END = b"\n"
 START = b" "
+# Their names among words that are joined by spaces: no text in UTF-8 has these bytes.
+END_NAME, START_NAME = b"\xfe", b"\xff"
 WORD_BITS = 28
 KIND_WORD, KIND_PAIR, KIND_MASS = 1, 2, 3
 
@@ -130,17 +137,6 @@ class Filter:
         return low
 
 
-@dataclass
-class Answers:
-    """Levels that a filter gave, by sorted keys."""
-
-    keys: np.ndarray
-    found: np.ndarray
-
-    def levels(self, keys: np.ndarray) -> np.ndarray:
-        return self.found[np.searchsorted(self.keys, keys)].astype(np.int64)
-
-
 def block_of(keys: np.ndarray, blocks: int) -> np.ndarray:
     return (keys >> np.uint64(32)) % np.uint64(blocks)
 
@@ -166,6 +162,19 @@ def set_bits(block: np.ndarray, keys: np.ndarray, levels: np.ndarray) -> None:
         np.bitwise_or.at(block, at >> 3, np.left_shift(np.uint8(1), (at & 7).astype(np.uint8)))
 
 
+def filter_of(keys: np.ndarray, levels: np.ndarray) -> Filter:
+    """A filter as large as its entries ask for at ``PROBES`` probes."""
+    blocks = max(1, math.ceil(int(levels.sum()) * PROBES / math.log(2) / BLOCK_BITS))
+    flags = np.zeros(blocks * BLOCK_BITS, dtype=bool)
+    every = np.repeat(keys, levels)
+    start = block_of(every, blocks).astype(np.int64) * BLOCK_BITS
+    level = np.arange(len(every)) - np.repeat(np.cumsum(levels) - levels, levels) + 1
+    first, step = probe_steps(every, level)
+    for probe in range(PROBES):
+        flags[start + probe_bit(first, step, probe)] = True
+    return Filter(blocks, np.packbits(flags, bitorder="little"))
+
+
 def _chunks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
     """Ranges of texts of bounded length; a longer text is a range of its own."""
     start = size = 0
@@ -198,8 +207,8 @@ class Numbers(dict):
         return number
 
 
-def coded(texts: list[str | None]) -> Coded:
-    """Tokens of texts; the context of a text's first token is the start mark."""
+def tokenized(texts: list[str | None]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Distinct words of texts, the tokens as their numbers, and each text's length."""
     numbers = Numbers({END: 0, START: 1})
     flat: list[int] = []
     lengths = []
@@ -208,13 +217,36 @@ def coded(texts: list[str | None]) -> Coded:
         flat.extend(map(numbers.__getitem__, words))
         flat.append(0)
         lengths.append(len(words) + 1)
-    codes = np.array(flat, dtype=np.int64)
+    return list(numbers), np.array(flat, dtype=np.int64), np.array(lengths)
+
+
+def hashes_of(words: Iterable[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64)
+
+
+def contexts_of(codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The token before each; that of a text's first token is the start mark."""
     contexts = np.empty_like(codes)
     contexts[1:] = codes[:-1]
     contexts[np.cumsum(lengths) - lengths] = 1
-    digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(w) for w in numbers), dtype=np.uint64, count=len(numbers))
-    return Coded(list(numbers), hashes, codes, contexts, np.array(lengths))
+    return contexts
+
+
+def coded(texts: list[str | None]) -> Coded:
+    """Tokens of texts; the context of a text's first token is the start mark."""
+    words, codes, lengths = tokenized(texts)
+    return Coded(words, hashes_of(words), codes, contexts_of(codes, lengths), lengths)
+
+
+def planes(numbers: np.ndarray, size: int = 4) -> bytes:
+    """Whole numbers, first all their lowest bytes: small ones leave runs of zeros."""
+    numbers = numbers.astype(f"<u{size}")
+    return numbers.view(np.uint8).reshape(-1, size).T.tobytes()
+
+
+def from_planes(data: bytes, size: int = 4) -> np.ndarray:
+    numbers = np.frombuffer(data, dtype=np.uint8).reshape(size, -1).T
+    return np.ascontiguousarray(numbers).view(f"<u{size}").ravel().astype(np.int64)
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -298,7 +330,7 @@ def _level(n: Column, least: float) -> Column:
 class Model:
     """The filter and what is needed besides it to turn its levels into probabilities."""
 
-    filter: Filter | Answers
+    filter: Filter | None
     tokens: int
     distinct: int
     texts: int
@@ -306,49 +338,45 @@ class Model:
     least_word: int
 
     def log10(self, c: Coded) -> np.ndarray:
-        """log10 of each token's probability after the one before it.
+        """log10 of each token's probability after the one before it."""
+        words = self.filter.levels(entry_keys(KIND_WORD, c.hashes))
+        masses = self.filter.levels(entry_keys(KIND_MASS, context_keys(c.hashes)))
+        # Pairs after a context of which none is kept need no probe.
+        ask = np.flatnonzero(masses[c.contexts])
+        keys = pair_keys(c.hashes[c.contexts[ask]], c.hashes[c.codes[ask]])
+        keys, which = np.unique(keys, return_inverse=True)
+        pairs = np.zeros(len(c.codes), dtype=np.int64)
+        pairs[ask] = self.filter.levels(entry_keys(KIND_PAIR, keys))[which]
+        return self.log10_of(c.contexts, c.codes, words, masses, pairs)
+
+    def log10_of(
+        self,
+        contexts: np.ndarray,
+        codes: np.ndarray,
+        words: np.ndarray,
+        masses: np.ndarray,
+        pairs: np.ndarray,
+    ) -> np.ndarray:
+        """The same from the levels of words and masses, by code, and those of the pairs.
 
         Counts of pairs, discounted, over the count of the context; what the discount
         and the pairs not kept leave of a context is shared by the words' own
         probabilities, add-one smoothed. Counts are what the filter's levels stand for.
         """
-        words = count_of(
-            self.filter.levels(entry_keys(KIND_WORD, c.hashes)), self.least_word
-        )
+        every = np.arange(256)
+        words = count_of(every, self.least_word)[words]
         own = (words + 1) / (self.tokens + self.distinct + 1)
         seen = words.copy()
         seen[1] = self.texts
-        masses = self.filter.levels(entry_keys(KIND_MASS, context_keys(c.hashes)))
-        mass = count_of(masses, 1.0) * (1 - DISCOUNT)
+        mass = count_of(every, 1.0)[masses] * (1 - DISCOUNT)
         # A context's count is at least what its kept pairs add up to.
         seen = np.maximum(seen, mass)
         left = np.clip(1 - mass / np.maximum(seen, 1), LEAST_LEFT, 1)
         left[mass == 0] = 1
-        # Pairs after a context of which none is kept need no probe.
-        known = np.zeros(len(c.codes))
-        ask = np.flatnonzero(mass[c.contexts])
-        context, word = c.contexts[ask], c.codes[ask]
-        pairs = pair_keys(c.hashes[context], c.hashes[word])
-        pairs, which = np.unique(pairs, return_inverse=True)
-        levels = self.filter.levels(entry_keys(KIND_PAIR, pairs))
-        counts = count_of(levels, self.least_pair)[which]
-        known[ask] = np.maximum(counts - DISCOUNT, 0) / np.maximum(seen[context], 1)
-        rest = left[c.contexts]
-        return np.log10(np.minimum(np.minimum(known, 1 - rest) + rest * own[c.codes], 1))
-
-
-def asked_keys(c: Coded) -> np.ndarray:
-    """All entries that ``Model.log10`` may ask a filter for, each once."""
-    pairs = pair_keys(c.hashes[c.contexts], c.hashes[c.codes])
-    return np.unique(
-        np.concatenate(
-            [
-                entry_keys(KIND_WORD, c.hashes),
-                entry_keys(KIND_MASS, context_keys(c.hashes)),
-                entry_keys(KIND_PAIR, np.unique(pairs)),
-            ]
-        )
-    )
+        counts = np.maximum(count_of(every, self.least_pair) - DISCOUNT, 0)[pairs]
+        known = counts / np.maximum(seen, 1)[contexts]
+        rest = left[contexts]
+        return np.log10(np.minimum(np.minimum(known, 1 - rest) + rest * own[codes], 1))
 
 
 def train(
@@ -485,120 +513,285 @@ def filter_blocks(
     return filled, blocks, numbers
 
 
-def in_chunks(rows: DataFrame) -> DataFrame:
-    """The rows and their chunk, the place of its first row; a chunk is asked for at once."""
+def in_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows together whose texts are of bounded length; a longer text is a chunk of its own."""
+    held, size = [], 0
+    for batch in slices(batches):
+        start = 0
+        for end, length in enumerate(pc.utf8_length(batch["text"]).to_pylist()):
+            if size and size + length + 1 > CHUNK_CHARS:
+                if end > start:
+                    held.append(batch.slice(start, end - start))
+                yield joined(held)
+                held, size, start = [], 0, end
+            size += length + 1
+        if start < batch.num_rows:
+            held.append(batch.slice(start))
+    if held:
+        yield joined(held)
+
+
+def coded_chunks(rows: DataFrame) -> DataFrame:
+    """Rows (id, held_out, text) as chunks, one row each, whose texts are tokens.
+
+    tokens counts all, taught and texts the tokens and texts that teach.
+    """
+    kind = rows.schema["id"].dataType.simpleString()
 
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, size = None, 0
-        for batch in slices(batches):
-            chunks = []
-            for place, text in zip(batch["place"].to_pylist(), batch["text"].to_pylist()):
-                if chunk is None or (size and size + len(text) > CHUNK_CHARS):
-                    chunk, size = place, 0
-                size += len(text)
-                chunks.append(chunk)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(chunks, type=pa.int64()), *batch.columns], ["chunk", *batch.schema.names]
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_chunks(batches):
+            words, codes, lengths = tokenized(batch["text"].to_pylist())
+            learned = ~batch["held_out"].to_numpy(zero_copy_only=False)
+            edges = pa.array([0, len(lengths)], type=pa.int32())
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "tokens": [len(codes)],
+                    "taught": [int(lengths[learned].sum())],
+                    "texts": [int(learned.sum())],
+                    "ids": pa.ListArray.from_arrays(edges, batch["id"]),
+                    "held_out": pa.ListArray.from_arrays(edges, batch["held_out"]),
+                    "lengths": pa.ListArray.from_arrays(edges, pa.array(lengths)),
+                    "words": [zstandard.compress(b" ".join(words[2:]))],
+                    "codes": [zstandard.compress(planes(codes))],
+                }
             )
 
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
-    return rows.mapInArrow(number, f"chunk bigint, {kinds}")
+    chunks = rows.mapInArrow(
+        code,
+        f"tokens bigint, taught bigint, texts bigint, ids array<{kind}>, "
+        "held_out array<boolean>, lengths array<bigint>, words binary, codes binary",
+    )
+    return chunks.withColumn("chunk", F.monotonically_increasing_id())
 
 
-def by_shard(keys: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
-    """The order of keys by the shard that holds their block, and their shards in it."""
-    shard = block_of(keys, blocks).astype(np.int64) // SHARD_BLOCKS
-    order = np.argsort(shard, kind="stable")
-    return order, shard[order]
+def unpacked(batch: pa.RecordBatch, row: int) -> tuple[Coded, np.ndarray]:
+    """The tokens of a chunk, and which texts are held out."""
+    words = [END, START, *zstandard.decompress(batch["words"][row].as_py()).split()]
+    codes = from_planes(zstandard.decompress(batch["codes"][row].as_py()))
+    lengths = batch["lengths"][row].values.to_numpy()
+    held_out = batch["held_out"][row].values.to_numpy(zero_copy_only=False)
+    return Coded(words, hashes_of(words), codes, contexts_of(codes, lengths), lengths), held_out
 
 
-def answered(chunks: DataFrame, filled: DataFrame, blocks: int) -> DataFrame:
-    """chunk, shard and levels: a byte for each entry that a chunk asks of a shard, in order.
+@dataclass
+class Split:
+    """Contexts too frequent for one shard: sorted hashes, and the shards each is dealt to."""
 
-    A chunk's distinct keys go to the shards of the filter that hold their blocks, and
-    levels come back. No task holds more than one shard; a key is asked for once a chunk,
-    so a frequent word weighs no more than others in its shard.
-    """
+    hashes: np.ndarray
+    pieces: np.ndarray
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in groups(batches, "chunk"):
-            keys = asked_keys(coded(batch["text"].to_pylist()))
-            order, shard = by_shard(keys, blocks)
-            keys = keys[order]
-            first = np.flatnonzero(np.concatenate(([True], shard[1:] != shard[:-1])))
-            data = [part.tobytes() for part in np.split(keys, first[1:])]
-            chunk = batch["chunk"][0].as_py()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(shard[first].astype(np.int32)),
-                    pa.array([chunk] * len(first), type=pa.int64()),
-                    pa.array([None] * len(first), type=pa.int32()),
-                    pa.array(data, type=pa.binary()),
-                ],
-                ["shard", "chunk", "block", "data"],
-            )
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """Where each hash is among those split, -1 for all others."""
+        place = np.searchsorted(self.hashes, hashes)
+        found = place < len(self.hashes)
+        found[found] = self.hashes[place[found]] == hashes[found]
+        return np.where(found, place, -1)
 
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(SHARD_BLOCKS * (BLOCK_BITS // 8), dtype=np.uint8)
-        now = None
-        for batch in slices(batches):
-            rows = zip(*(batch[name].to_pylist() for name in ("shard", "chunk", "block", "data")))
-            given = []
-            for shard, chunk, block, data in rows:
-                if shard != now:
-                    bits[:] = 0
-                    now = shard
-                held = Filter(blocks, bits, shard * SHARD_BLOCKS)
-                if chunk is None:
-                    start = (block - held.first) * (BLOCK_BITS // 8)
-                    bits[start : start + BLOCK_BITS // 8] = np.frombuffer(data, dtype=np.uint8)
-                    continue
-                levels = held.levels(np.frombuffer(data, dtype=np.uint64))
-                given.append((chunk, shard, levels.astype(np.uint8).tobytes()))
-            if given:
+
+def split_contexts(chunks: DataFrame, tokens: int, most: int) -> Split:
+    """The contexts of more than a quarter of a shard's tokens, ``most`` at most.
+
+    Such a context has at least half that share of some chunk's tokens; the chunks where
+    it has less make up half of its count at most. So few counts are sent and none is missed.
+    """
+    limit = SHARD_TOKENS // 4
+    if tokens <= limit:
+        return Split(np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64))
+
+    def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                words = [END, START, *zstandard.decompress(batch["words"][row].as_py()).split()]
+                codes = from_planes(zstandard.decompress(batch["codes"][row].as_py()))
+                counts = np.bincount(codes, minlength=len(words))
+                # Every token but the last is a context; a first one's is the start.
+                counts[:2] = 0, len(batch["lengths"][row])
+                frequent = np.flatnonzero(counts * 2 * (tokens / limit) >= len(codes))
+                hashes = hashes_of(words[code] for code in frequent)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(values, type=kind)
-                        for values, kind in zip(zip(*given), (pa.int64(), pa.int32(), pa.binary()))
-                    ],
-                    ["chunk", "shard", "levels"],
+                    [pa.array(hashes.view(np.int64)), pa.array(counts[frequent])], ["hash", "n"]
                 )
 
-    shards = -(-blocks // SHARD_BLOCKS)
-    of_filter = filled.select(
-        F.expr(f"cast(block div {SHARD_BLOCKS} AS int)").alias("shard"),
-        F.lit(None).cast("bigint").alias("chunk"),
-        "block",
-        F.col("bits").alias("data"),
-    )
-    # All columns are read, so that chunks are those of any other reading.
-    asked = chunks.mapInArrow(
-        ask, "shard int, chunk bigint, block int, data binary"
+    counted = chunks.select("words", "codes", "lengths").mapInArrow(often, "hash bigint, n bigint")
+    counted = counted.groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") >= limit // 2)
+    found = counted.orderBy(F.desc("n"), "hash").limit(most).collect()
+    hashes = np.array([row.hash for row in found], dtype=np.int64).view(np.uint64)
+    pieces = np.array([-(-row.n // (limit // 2)) for row in found], dtype=np.int64)
+    order = np.argsort(hashes)
+    return Split(hashes[order], pieces[order])
+
+
+@dataclass
+class Dealt:
+    """A chunk's words and distinct pairs, by the shards that count them.
+
+    Entries are shard * (number of words) + code, sorted; ``home`` is the entry of each
+    word. ``pairs`` are context * (number of words) + code in the order in which they
+    are sent, by entry; ``follow`` is their number in each, ``which`` that of each token.
+    """
+
+    entries: np.ndarray
+    home: np.ndarray
+    pairs: np.ndarray
+    follow: np.ndarray
+    which: np.ndarray
+
+    def edges(self, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The shards asked, and where their entries and their pairs begin."""
+        shards, first = np.unique(self.entries // words, return_index=True)
+        before = np.concatenate(([0], np.cumsum(self.follow)))
+        return shards, first, before[first]
+
+
+def dealt(c: Coded, shards: int, split: Split) -> Dealt:
+    """A context's pairs go with it to the shard of its hash; those of a split one to several."""
+    size = len(c.words)
+    pairs, which = np.unique(c.contexts * size + c.codes, return_inverse=True)
+    contexts = pairs // size
+    home = (c.hashes >> np.uint64(32)).astype(np.int64) % shards
+    to = home[contexts]
+    place = split.places(c.hashes)
+    spread = np.flatnonzero(place[contexts] >= 0)
+    piece = mix(c.hashes[pairs[spread] % size]) >> np.uint64(32)
+    piece = piece.astype(np.int64) % split.pieces[place[contexts[spread]]]
+    to[spread] = (to[spread] + piece) % shards
+    own = home * size + np.arange(size)
+    asked = to * size + contexts
+    entries = np.union1d(own, asked[spread])
+    entry = np.searchsorted(entries, asked)
+    order = np.argsort(entry, kind="stable")
+    at = np.empty_like(order)
+    at[order] = np.arange(len(order))
+    follow = np.bincount(entry, minlength=len(entries))
+    return Dealt(entries, np.searchsorted(entries, own), pairs[order], follow, at[which])
+
+
+def counted_in_shards(chunks: DataFrame, shards: int, split: Split) -> DataFrame:
+    """What each chunk is to know of its words and pairs: exact counts and filter levels.
+
+    A chunk's distinct words and pairs go to shards once, with how often they teach. A
+    shard adds them up over all chunks, puts the sums into its part of the filter, probes
+    it for all that it was sent and answers each chunk. All of a context is in one shard;
+    only of split contexts, the masses come back as sums (split, n) to be added up. Rows
+    with neither chunk nor split have the shards' distinct words as n.
+    """
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                yield questions(batch, row)
+
+    def questions(batch: pa.RecordBatch, row: int) -> pa.RecordBatch:
+        c, held_out = unpacked(batch, row)
+        d = dealt(c, shards, split)
+        size = len(c.words)
+        learned = np.repeat(~held_out, c.lengths)
+        codes = d.entries % size
+        counts = np.zeros(len(codes), dtype=np.int64)
+        counts[d.home] = np.bincount(c.codes[learned], minlength=size)
+        taught = np.bincount(d.which[learned], minlength=len(d.pairs))
+        words = (c.hashes[d.pairs % size] & np.uint64((1 << WORD_BITS) - 1)).astype(np.uint32)
+        names = np.array([END_NAME, START_NAME, *c.words[2:]], dtype=object)[codes]
+        asked, first, before = d.edges(size)
+        sent: dict[str, list] = {name: [] for name in ("names", "counts", "follow", "pairs", "taught")}
+        for a, b, p, q in zip(first, [*first[1:], len(codes)], before, [*before[1:], len(words)]):
+            sent["names"].append(b" ".join(names[a:b]))
+            sent["counts"].append(planes(counts[a:b]))
+            sent["follow"].append(planes(d.follow[a:b]))
+            sent["pairs"].append(words[p:q].tobytes())
+            sent["taught"].append(planes(taught[p:q]))
+        return pa.RecordBatch.from_pydict(
+            {
+                "shard": pa.array(asked.astype(np.int32)),
+                "chunk": pa.array([batch["chunk"][row].as_py()] * len(asked), type=pa.int64()),
+                **{name: pa.array(data, type=pa.binary()) for name, data in sent.items()},
+            }
+        )
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in groups(batches, "shard"):
+            yield answers(batch)
+
+    def answers(batch: pa.RecordBatch) -> pa.RecordBatch:
+        def numbers(name: str) -> list[np.ndarray]:
+            return [from_planes(data) for data in batch[name].to_pylist()]
+
+        parts = numbers("follow")
+        edges = np.cumsum([len(part) for part in parts])
+        follow = np.concatenate(parts)
+        pair_edges = np.cumsum([int(part.sum()) for part in parts])
+        names = [name for data in batch["names"].to_pylist() for name in data.split()]
+        named = pa.array(names, type=pa.binary()).dictionary_encode()
+        del names
+        marks = {END_NAME: END, START_NAME: START}
+        code = named.indices.to_numpy()
+        hashes = hashes_of(marks.get(name, name) for name in named.dictionary.to_pylist())
+        counts = np.zeros(len(hashes), dtype=np.int64)
+        np.add.at(counts, code, np.concatenate(numbers("counts")))
+        words = np.frombuffer(b"".join(batch["pairs"].to_pylist()), dtype=np.uint32)
+        keys = pair_keys(np.repeat(hashes[code], follow), words.astype(np.uint64))
+        pairs, which = np.unique(keys, return_inverse=True)
+        taught = np.zeros(len(pairs), dtype=np.int64)
+        np.add.at(taught, which, np.concatenate(numbers("taught")))
+
+        kept, known = taught > 0, counts > 0
+        # In units of what the discount leaves of one: whole numbers.
+        contexts, of_pair = np.unique(context_keys(pairs[kept]), return_inverse=True)
+        left = (taught[kept] - DISCOUNT) / (1 - DISCOUNT)
+        masses = np.bincount(of_pair, weights=left, minlength=len(contexts))
+        held = filter_of(
+            np.concatenate(
+                [
+                    entry_keys(KIND_WORD, hashes[known]),
+                    entry_keys(KIND_MASS, contexts),
+                    entry_keys(KIND_PAIR, pairs[kept]),
+                ]
+            ),
+            np.concatenate([levels_of(n, 1) for n in (counts[known], masses, taught[kept])]),
+        )
+        of_words = held.levels(entry_keys(KIND_WORD, hashes)).astype(np.uint8)[code]
+        of_masses = held.levels(entry_keys(KIND_MASS, context_keys(hashes))).astype(np.uint8)[code]
+        of_pairs = held.levels(entry_keys(KIND_PAIR, pairs)).astype(np.uint8)[which]
+        counts = counts[code]
+        given, levels = [], []
+        for a, b, p, q in zip([0, *edges[:-1]], edges, [0, *pair_edges[:-1]], pair_edges):
+            given.append(zstandard.compress(planes(counts[a:b], 8)))
+            found = (of_words[a:b], of_masses[a:b], of_pairs[p:q])
+            levels.append(zstandard.compress(np.concatenate(found).tobytes()))
+        # Sums: of distinct words, and of the masses of split contexts.
+        here = hashes[split.places(hashes) >= 0]
+        here = here[np.isin(context_keys(here), contexts)]
+        at = np.searchsorted(contexts, context_keys(here))
+        sums = [float(known.sum()), *masses[at].tolist()]
+        more = len(sums)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(batch["chunk"].to_pylist() + [None] * more, type=pa.int64()),
+                pa.array(batch["shard"].to_pylist() + [None] * more, type=pa.int32()),
+                pa.array(given + [None] * more, type=pa.binary()),
+                pa.array(levels + [None] * more, type=pa.binary()),
+                pa.array([None] * (len(given) + 1) + here.view(np.int64).tolist(), type=pa.int64()),
+                pa.array([None] * len(given) + sums, type=pa.float64()),
+            ],
+            ["chunk", "shard", "counts", "levels", "split", "n"],
+        )
+
+    asked = chunks.select("chunk", "held_out", "lengths", "words", "codes").mapInArrow(
+        deal,
+        "shard int, chunk bigint, names binary, counts binary, follow binary, pairs binary, "
+        "taught binary",
     )
+    # A shard is a task, so tasks are alike: hashes of so few numbers would fall together.
     return (
-        of_filter.unionAll(asked)
-        .repartition(min(shards, MOST_PARTITIONS), "shard")
-        .sortWithinPartitions("shard", F.col("chunk").asc_nulls_first())
-        .mapInArrow(answer, "chunk bigint, shard int, levels binary")
+        asked.repartitionById(min(shards, MOST_PARTITIONS), "shard")
+        .sortWithinPartitions("shard")
+        .mapInArrow(
+            answer,
+            "chunk bigint, shard int, counts binary, levels binary, split bigint, n double",
+        )
     )
 
 
-def frequent_counts(words: DataFrame, most: int) -> dict[bytes, int]:
-    """The counts of all words from some count on, ``most`` words at most."""
-    level = _level(F.col("n"), 1)
-    sizes = words.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect()
-    least, held = None, 0
-    for row in sizes:
-        held += row["count"]
-        if held > most:
-            break
-        least = row.level
-    if least is None:
-        return {}
-    rows = words.where(level >= least).toLocalIterator()
-    return {row.word.encode(): row.n for row in rows}
-
-
 def scored(
     documents: DataFrame,
     training: Column,
@@ -609,14 +802,14 @@ def scored(
 ) -> DataFrame:
     """key, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
 
-    Rows for which ``training`` holds teach the model, all are scored whole. Counts of
-    words and of pairs are gathered from all training texts by shuffles that grow
-    with them, and so does the filter. Up to ``broadcast_blocks`` blocks (64 MiB by
-    default) it is broadcast; a larger one stays in shards, to which the rows' entries
-    go and from which their levels come back by shuffles (``answered``), with the same
-    scores. The counts of the ``frequent_words`` most frequent words are broadcast.
-    ``base_score``, the add-one score of single words, is exact: words beyond the
-    broadcast are joined with their counts.
+    Rows for which ``training`` holds teach the model, all are scored whole. Texts are
+    tokenized once, to chunks in scratch. Their distinct words and pairs are shuffled once,
+    to shards that count them, hold the filter in parts as large as their entries ask for
+    and send levels and counts back (``counted_in_shards``). The number of shards grows
+    with the tokens. Contexts too frequent for one shard are dealt to several, at most the
+    ``frequent_words`` most frequent ones, whose list is broadcast. ``base_score``, the
+    add-one score of single words, is exact. No filter is broadcast at any size:
+    ``broadcast_blocks`` is accepted from callers and changes nothing.
 
     NULL and empty texts are one end token. A NULL key keeps its row; where that makes
     ``training`` NULL the row teaches nothing and counts as held out. Repeated rows
@@ -629,102 +822,78 @@ def scored(
         F.coalesce(F.col(text), F.lit("")).alias("text"),
         (~F.coalesce(training, F.lit(False))).alias("held_out"),
     )
-    learned = rows.where("NOT held_out")
-    words = written(word_counts(learned, "text"), "words")
-    filled, blocks, numbers = filter_blocks(learned, words, "text")
-    tokens, distinct = numbers[:2]
-    in_shards = blocks > broadcast_blocks
-    frequent = frequent_counts(words, frequent_words)
-    # Plain values, which workers can read; the numbers go with the function.
-    bits = None if in_shards else filter_bits(filled, blocks)
-    sent = spark.sparkContext.broadcast((bits, frequent))
     kind = rows.schema["id"].dataType.simpleString()
+    chunks = written(coded_chunks(rows), "chunks")
+    sums = (F.coalesce(F.sum(name), F.lit(0)) for name in ("tokens", "taught", "texts"))
+    every, tokens, texts, number = chunks.agg(*sums, F.count(F.lit(1))).first()
+    shards = max(LEAST_SHARDS, -(-every // SHARD_TOKENS))
+    split = split_contexts(chunks, every, frequent_words)
+    given = written(counted_in_shards(chunks, shards, split), "levels")
+    found = given.where("chunk IS NULL").groupBy("split").agg(F.sum("n").alias("n")).collect()
+    sums = {row.split: row.n for row in found}
+    distinct = int(sums.pop(None, 0))
+    masses = np.array([sums.get(h, 0.0) for h in split.hashes.view(np.int64).tolist()])
+    masses = np.where(masses > 0, levels_of(masses, 1), 0)
+    total = float(np.log10(tokens + distinct + 1))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(None, tokens, distinct, texts, 1, 1)
+        for batch in groups(batches, "chunk"):
+            yield results(batch, model)
 
     def results(batch: pa.RecordBatch, model: Model) -> pa.RecordBatch:
-        _, frequent = sent.value
-        c = coded(batch["text"].to_pylist())
+        last = batch.num_rows - 1
+        c, held_out = unpacked(batch, last)
+        d = dealt(c, shards, split)
+        counts, of_words, of_masses, of_pairs = [], [], [], []
+        for row in range(last):
+            counts.append(from_planes(zstandard.decompress(batch["counts"][row].as_py()), 8))
+            levels = zstandard.decompress(batch["levels"][row].as_py())
+            size = len(counts[-1])
+            cut = np.split(np.frombuffer(levels, dtype=np.uint8), [size, 2 * size])
+            for held, part in zip((of_words, of_masses, of_pairs), cut):
+                held.append(part)
+        counts, of_words, of_masses = (np.concatenate(x) for x in (counts, of_words, of_masses))
+        of_pairs = np.concatenate(of_pairs)
+        if len(counts) != len(d.entries) or len(of_pairs) != len(d.pairs):
+            raise ValueError("a chunk's answers are not those to its questions")
+        counts, of_words, of_masses = counts[d.home], of_words[d.home], of_masses[d.home]
+        place = split.places(c.hashes)
+        of_masses = of_masses.astype(np.int64)
+        of_masses[place >= 0] = masses[place[place >= 0]]
+        logs = model.log10_of(c.contexts, c.codes, of_words, of_masses, of_pairs[d.which])
         edges = np.cumsum(c.lengths) - c.lengths
-        counts = np.array([frequent.get(word, 0) for word in c.words], dtype=np.int64)
-        part = np.log10(counts + 1.0)[c.codes]
-        known = (counts > 0)[c.codes].astype(np.int64)
-        rare = np.flatnonzero(~known.astype(bool))
-        owner = np.searchsorted(edges, rare, side="right") - 1
-        offsets = np.searchsorted(owner, np.arange(len(edges) + 1)).astype(np.int32)
-        all_words = pa.array(c.words, type=pa.binary()).cast(pa.string())
-        taken = all_words.take(pa.array(c.codes[rare]))
+        base = np.add.reduceat(np.log10(counts + 1.0)[c.codes], edges) - c.lengths * total
+        known = np.add.reduceat((counts > 0).astype(np.int64)[c.codes], edges)
         return pa.RecordBatch.from_pydict(
             {
-                "id": batch["id"],
-                "held_out": batch["held_out"],
-                "n_tokens": pa.array(c.lengths.astype(np.int64)),
-                "known": pa.array(np.add.reduceat(known, edges)),
-                "logs": pa.array(np.add.reduceat(part, edges)),
-                "score": pa.array(np.add.reduceat(model.log10(c), edges)),
-                "rare": pa.ListArray.from_arrays(pa.array(offsets), taken),
+                key: batch["ids"][last].values,
+                "held_out": pa.array(held_out),
+                "n_tokens": pa.array(c.lengths),
+                "n_known": pa.array(known),
+                "train_tokens": pa.array([tokens] * len(known), type=pa.int64()),
+                "base_score": pa.array(base),
+                "score": pa.array(np.add.reduceat(logs, edges)),
             }
         )
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(Filter(blocks, sent.value[0]), *numbers)
-        for batch in slices(batches):
-            for start, end in _chunks(batch["text"].to_pylist()):
-                yield results(batch.slice(start, end - start), model)
-
-    def score_answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in groups(batches, "chunk"):
-            texts = np.flatnonzero(batch["is_text"].to_numpy(zero_copy_only=False))
-            levels = b"".join(batch["levels"].slice(0, texts[0]).to_pylist())
-            asking = batch.slice(texts[0])
-            keys = asked_keys(coded(asking["text"].to_pylist()))
-            if len(levels) != len(keys):
-                raise ValueError("a chunk's answers are not those to its questions")
-            found = np.empty(len(keys), dtype=np.uint8)
-            found[by_shard(keys, blocks)[0]] = np.frombuffer(levels, dtype=np.uint8)
-            yield results(asking, Model(Answers(keys, found), *numbers))
-
-    if in_shards:
-        # Written rows are dealt to tasks alike each time, and so are their chunks.
-        placed = rows.withColumn("place", F.monotonically_increasing_id())
-        chunks = in_chunks(written(placed, "rows"))
-        given = answered(chunks, filled, blocks).select(
-            "chunk",
-            F.lit(False).alias("is_text"),
-            "shard",
-            "levels",
-            F.lit(None).cast(kind).alias("id"),
-            F.lit(None).cast("boolean").alias("held_out"),
-            F.lit(None).cast("string").alias("text"),
-        )
-        asking = chunks.select(
-            "chunk", F.lit(True), F.lit(None), F.lit(None), "id", "held_out", "text"
-        )
-        # Chunks are of one size, but for single long texts.
-        together = given.unionAll(asking).repartition("chunk")
-        rows = together.sortWithinPartitions("chunk", "is_text", "shard")
-        score = score_answered
-
-    partly = rows.mapInArrow(
-        score,
-        f"id {kind}, held_out boolean, n_tokens bigint, known bigint, logs double, "
-        "score double, rare array<string>",
-    ).withColumn("row", F.monotonically_increasing_id())
-    partly = written(partly, "scored")
-    # Words of the broadcast are not among these, so no key here is very frequent.
-    late = (
-        partly.select("row", F.explode("rare").alias("word"))
-        .join(words, "word")
-        .groupBy("row")
-        .agg(F.count(F.lit(1)).alias("more"), F.sum(F.log10(F.col("n") + 1)).alias("more_logs"))
+    asked = ["ids", "held_out", "lengths", "words", "codes"]
+    answers = given.where("chunk IS NOT NULL").select(
+        "chunk",
+        F.col("shard"),
+        "counts",
+        "levels",
+        *(F.lit(None).cast(chunks.schema[name].dataType).alias(name) for name in asked),
     )
-    total = F.lit(float(np.log10(tokens + distinct + 1)))
-    return partly.drop("rare").join(late, "row", "left").select(
-        F.col("id").alias(key),
-        "held_out",
-        "n_tokens",
-        (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
-        F.lit(tokens).cast("bigint").alias("train_tokens"),
-        (F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) - F.col("n_tokens") * total).alias(
-            "base_score"
-        ),
-        "score",
+    asking = chunks.select("chunk", F.lit(None), F.lit(None), F.lit(None), *asked)
+    # A chunk comes after the answers to it. Chunks are of one size, but for long texts.
+    together, parts = answers.unionAll(asking), min(number // CHUNKS_A_TASK, MOST_PARTITIONS)
+    if parts > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        together = together.repartition(parts, "chunk")
+    else:
+        together = together.repartition("chunk")
+    return together.sortWithinPartitions("chunk", F.col("shard").asc_nulls_last()).mapInArrow(
+        score,
+        f"`{key}` {kind}, held_out boolean, n_tokens bigint, n_known bigint, "
+        "train_tokens bigint, base_score double, score double",
     )

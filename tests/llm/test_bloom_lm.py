@@ -2,6 +2,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -13,6 +14,7 @@ from shiftwell.llm.bloom_lm import (
     BLOCK_BITS, Filter, block_of, coded, count_of, levels_of, pair_counts, scored, set_bits,
     train, word_counts, written,
 )
+from shiftwell.session import scratch_root
 
 
 def test_levels_stand_for_their_counts():
@@ -152,3 +154,67 @@ def test_shards_give_the_scores_of_the_broadcast_filter(documents, shard_blocks,
         return sorted((repr(r.doc_id), *r[1:5], round(r.base_score, 6), round(r.score, 6)) for r in found)
 
     assert of(broadcast_blocks=0) == of()
+
+
+def brute_scores(rows):
+    """key and score by exact dictionaries of the quantised counts, without a filter."""
+
+    def level(n):
+        return float(count_of(levels_of(np.array([n]), 1), 1)[0]) if n else 0.0
+
+    words, pairs, masses, texts = Counter(), Counter(), Counter(), 0
+    for key, text in rows:
+        if key is not None and learns(key):
+            texts += 1
+            words.update(tokens(text))
+            pairs.update(zip(["start", *tokens(text)], tokens(text)))
+    for (context, _), n in pairs.items():
+        masses[context] += 4 * n - 3
+    total = sum(words.values()) + len(words) + 1
+    for key, text in rows:
+        score = 0.0
+        for context, word in zip(["start", *tokens(text)], tokens(text)):
+            mass = level(masses[context]) / 4
+            seen = max(texts if context == "start" else level(words[context]), mass)
+            rest = min(max(1 - mass / max(seen, 1), bloom_lm.LEAST_LEFT), 1) if mass else 1
+            known = min(max(level(pairs[context, word]) - 0.75, 0) / max(seen, 1), 1 - rest)
+            score += math.log10(min(known + rest * (level(words[word]) + 1) / total, 1))
+        yield repr(key), round(score, 6)
+
+
+@pytest.mark.parametrize("shard_tokens", [1 << 21, 2000])
+def test_scores_are_those_of_exact_dictionaries(documents, shard_tokens, monkeypatch):
+    monkeypatch.setattr(bloom_lm, "SHARD_TOKENS", shard_tokens)
+    monkeypatch.setattr(bloom_lm, "CHUNK_CHARS", 3_000)
+    rows = [(i, " ".join(f"The w{(i * 7 + k * k) % 90} \xff\xfe" for k in range(30))) for i in range(80)]
+    rows += [(None, "the w1"), (100, None), (101, ""), (101, ""), (102, "the THE " * 4000)]
+    chunks = bloom_lm.coded_chunks(
+        documents(*rows).selectExpr("doc_id AS id", "coalesce(text, '') AS text", "false AS held_out")
+    )
+    split = bloom_lm.split_contexts(chunks, chunks.agg(F.sum("tokens")).first()[0], 100)
+    the = bloom_lm.hashes_of([b"the"])
+    # "the" is before over half of all tokens; no shard is to hold them all.
+    assert (split.places(the)[0] >= 0) == (shard_tokens == 2000)
+    found = scored(documents(*rows), F.expr(TRAINING)).collect()
+    assert sorted((repr(r.doc_id), round(r.score, 6)) for r in found) == sorted(brute_scores(rows))
+    check(rows, found)
+
+
+def test_disk_stays_near_the_size_of_the_texts(spark, documents):
+    """Pairs are shuffled once, and no table of pairs is written."""
+    numbers = np.random.default_rng(0).zipf(1.3, (300, 3000)) % 70_000
+    rows = [(i, " ".join(f"word{n}" for n in row)) for i, row in enumerate(numbers.tolist())]
+    frame = documents(*rows).localCheckpoint()
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager()
+    folders = [str(folder) for folder in folders.diskBlockManager().localDirsString()]
+    folders.append(scratch_root(spark))
+
+    def files():
+        paths = [Path(f.removeprefix("file:")) for f in folders]
+        return {p: p.stat().st_size for f in paths for p in f.rglob("*") if p.is_file()}
+
+    before = files()
+    assert scored(frame, F.expr(TRAINING), broadcast_blocks=0).count() == 300
+    taken = sum(size for path, size in files().items() if path not in before)
+    # Once 1.97 bytes for each of the texts, with the filter in shards.
+    assert taken < sum(len(text) for _, text in rows)
