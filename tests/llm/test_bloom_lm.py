@@ -188,6 +188,7 @@ def test_scores_are_those_of_exact_dictionaries(documents, shard_tokens, monkeyp
     monkeypatch.setattr(bloom_lm, "CHUNK_CHARS", 3_000)
     rows = [(i, " ".join(f"The w{(i * 7 + k * k) % 90} \xff\xfe" for k in range(30))) for i in range(80)]
     rows += [(None, "the w1"), (100, None), (101, ""), (101, ""), (102, "the THE " * 4000)]
+    rows += [(103, "a\0 \0 \x1cb \x85c \u2028d \t\x0b\r\na\0"), (104, "\xa0 the a\0 \x1cb \ud7ff")]
     chunks = bloom_lm.coded_chunks(
         documents(*rows).selectExpr("doc_id AS id", "coalesce(text, '') AS text", "false AS held_out")
     )
